@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import clean_punct, clean_text
+from inkwell.operators.derive import compute_once
 from inkwell.schema import STOP_WORDS
 
 SEED = 80
@@ -25,7 +26,7 @@ def with_clean_review(documents: DataFrame, text: str = "review") -> DataFrame:
 
 def with_clean_sentence(sentences: DataFrame, text: str = "reviews") -> DataFrame:
     """Cleaned sentences; those with no word left are dropped."""
-    return sentences.withColumn("clean_review", clean_text(F.col(text))).where(
+    return compute_once(sentences, "clean_review", clean_text(F.col(text))).where(
         F.col("clean_review") != ""
     )
 

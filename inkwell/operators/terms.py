@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import clean_punct, plural_stem, tokens
+from inkwell.operators.derive import compute_once
 from inkwell.operators.joins import HEAVY_KEYS, enrich
 
 # The stop list holds the empty string, so no token is empty and '' can stand for
@@ -17,8 +18,7 @@ DOCUMENT_MARK = ""
 
 def with_tokens(documents: DataFrame, text: str = "review") -> DataFrame:
     """Replace the text by its tokens, stop words and empty tokens left out."""
-    kept = [c for c in documents.columns if c != text]
-    return documents.select(*kept, tokens(clean_punct(F.col(text))).alias("tokens"))
+    return compute_once(documents, "tokens", tokens(clean_punct(F.col(text)))).drop(text)
 
 
 def token_rows(tokenized: DataFrame) -> DataFrame:
@@ -39,29 +39,22 @@ def term_bags(tokenized: DataFrame) -> DataFrame:
     tokens stand together and each run is one term. No shuffle takes place.
     """
     kept = [c for c in tokenized.columns if c != "tokens"]
-    size = F.size("tokens")
-    ordered = tokenized.where(size > 0).select(
-        *kept, size.alias("n_tokens"), F.sort_array("tokens").alias("_sorted")
+    ordered = tokenized.select(
+        *kept, F.size("tokens").alias("n_tokens"), F.sort_array("tokens").alias("_sorted")
     )
-    starts = ordered.withColumn(
+    new_token = F.transform(
+        "_sorted", lambda t, i: F.when((i == 0) | (t != F.get("_sorted", i - 1)), i)
+    )
+    starts = ordered.withColumn("_starts", F.filter(new_token, lambda i: i.isNotNull()))
+    bag = F.transform(
         "_starts",
-        F.filter(
-            F.sequence(F.lit(0), F.col("n_tokens") - 1),
-            lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", i - 1)),
+        lambda at, i: F.struct(
+            F.get("_sorted", at).alias("token"),
+            (F.coalesce(F.get("_starts", i + 1), F.col("n_tokens")) - at).alias("n"),
         ),
     )
-    bags = starts.select(
-        *kept,
-        "n_tokens",
-        F.transform(
-            "_starts",
-            lambda at, i: F.struct(
-                F.get("_sorted", at).alias("token"),
-                (F.coalesce(F.get("_starts", i + 1), F.col("n_tokens")) - at).alias("n"),
-            ),
-        ).alias("_bag"),
-    )
-    return bags.select(*kept, "n_tokens", F.inline("_bag"))
+    # The outer form, because Spark repeats the input of the inner one in a filter.
+    return starts.select(*kept, "n_tokens", F.inline_outer(bag)).where(F.col("token").isNotNull())
 
 
 def term_frequencies(tokenized: DataFrame) -> DataFrame:
