@@ -7,15 +7,17 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, StopWordsRemover, Tokenizer, Word2Vec
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions.text import clean_punct, clean_text
 from inkwell.operators.derive import compute_once
+from inkwell.operators.terms import frequent_terms, token_counts
 from inkwell.schema import STOP_WORDS
+from inkwell.session import keep, scratch_path
 
 SEED = 80
-# CountVectorizer keeps this many terms, the most frequent ones (its default).
+# Count vectors hold this many tokens, the most frequent ones (the MLlib default).
 VOCABULARY = 1 << 18
 
 
@@ -31,27 +33,36 @@ def with_clean_sentence(sentences: DataFrame, text: str = "reviews") -> DataFram
     )
 
 
-def tfidf_pipeline(text: str = "review") -> Pipeline:
+def fit_tfidf(documents: DataFrame, text: str = "review") -> PipelineModel:
     """Tokens, stop words, counts (``vectors``) and tf-idf vectors (``idf``)."""
-    return Pipeline(
-        stages=[
+    return _fit_counts(
+        documents,
+        [
             Tokenizer(inputCol=text, outputCol="tokens"),
             StopWordsRemover(inputCol="tokens", outputCol="stopped", stopWords=STOP_WORDS),
-            CountVectorizer(inputCol="stopped", outputCol="vectors", vocabSize=VOCABULARY),
-            IDF(inputCol="vectors", outputCol="idf"),
-        ]
+        ],
     )
 
 
-def sentence_tfidf_pipeline(text: str = "clean_review") -> Pipeline:
+def fit_sentence_tfidf(sentences: DataFrame, text: str = "clean_review") -> PipelineModel:
     """The variant for cleaned sentences: their stop words are gone already."""
-    return Pipeline(
-        stages=[
-            Tokenizer(inputCol=text, outputCol="tokens"),
-            CountVectorizer(inputCol="tokens", outputCol="vectors", vocabSize=VOCABULARY),
-            IDF(inputCol="vectors", outputCol="idf"),
-        ]
-    )
+    return _fit_counts(sentences, [Tokenizer(inputCol=text, outputCol="tokens")])
+
+
+def _fit_counts(rows: DataFrame, stages: list) -> PipelineModel:
+    """Add counts and idf to tokenizing stages.
+
+    Fitted on the corpus, ``CountVectorizer`` would send a vocabulary of every task to
+    the driver. So the vocabulary is chosen as a DataFrame, and the vectorizer is
+    fitted on nothing but the chosen tokens.
+    """
+    column = stages[-1].getOutputCol()
+    tokenized = PipelineModel(stages).transform(rows)
+    counts = keep(token_counts(tokenized.select(F.col(column).alias("tokens"))), "vocabulary")
+    chosen = frequent_terms(counts, VOCABULARY).select(F.array("token").alias(column))
+    vectorizer = CountVectorizer(inputCol=column, outputCol="vectors", vocabSize=VOCABULARY).fit(chosen)
+    idf = IDF(inputCol="vectors", outputCol="idf").fit(vectorizer.transform(tokenized))
+    return PipelineModel([*stages, vectorizer, idf])
 
 
 def word2vec_pipeline(
@@ -78,10 +89,16 @@ def word2vec_pipeline(
     )
 
 
-def vocabulary(model: PipelineModel, frame: DataFrame) -> DataFrame:
-    """idx and token of the fitted vocabulary, ``VOCABULARY`` rows at most."""
-    words = next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary
-    return frame.sparkSession.createDataFrame(list(enumerate(words)), "idx int, token string")
+def vocabulary(model: PipelineModel, spark: SparkSession) -> DataFrame:
+    """idx and token of the fitted vocabulary, ``VOCABULARY`` rows at most.
+
+    Read from the saved stage, so the words do not pass through Python.
+    """
+    path = scratch_path(spark, "vectorizer")
+    next(s for s in model.stages if isinstance(s, CountVectorizerModel)).write().save(path)
+    return spark.read.parquet(f"{path}/data").select(
+        F.posexplode("vocabulary").alias("idx", "token")
+    )
 
 
 def vector_terms(
@@ -92,11 +109,12 @@ def vector_terms(
     return (
         transformed.select(
             *keep,
-            F.inline(
+            F.inline_outer(
                 F.arrays_zip(entries["indices"].alias("idx"), entries["values"].alias(value))
             ),
         )
-        .join(F.broadcast(vocabulary(model, transformed)), "idx")
+        .where(F.col("idx").isNotNull())
+        .join(F.broadcast(vocabulary(model, transformed.sparkSession)), "idx")
         .drop("idx")
     )
 

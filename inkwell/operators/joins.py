@@ -2,37 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-HEAVY_KEYS = 100_000
-LONGEST_HEAVY_KEY = 256
-
-
-def _is_heavy(stats: DataFrame, key: str, weight: str, heavy_keys: int) -> Column:
-    total = stats.agg(F.sum(weight)).scalar()
-    heavy = F.col(weight) >= total / F.lit(heavy_keys)
-    if isinstance(stats.schema[key].dataType, T.StringType):
-        heavy &= F.char_length(key) <= LONGEST_HEAVY_KEY
-    return heavy
+# What a broadcast may hold: this many keys, together or each no longer than this.
+HEAVY_KEYS = 400_000
+HEAVY_BYTES = 64 << 20
+LONGEST_HEAVY_KEY = 64
 
 
 def enrich(
     rows: DataFrame, stats: DataFrame, key: str, weight: str, heavy_keys: int = HEAVY_KEYS
 ) -> DataFrame:
-    """Inner join of ``rows`` with one stats row per key.
-
-    ``stats[weight]`` counts the rows a key has (or more). At most ``heavy_keys``
-    keys can hold a ``1 / heavy_keys`` share of the total each, so the stats of
-    those always fit a broadcast, and their rows, usually nearly all, are never
-    shuffled. Each key left over is rare, so the shuffle join of the rest cannot
-    be skewed. Nothing is dropped: every key takes one of the two ways.
+    """Inner join of ``rows`` with one stats row per key; a null key matches nothing.
+
+    ``stats`` is read several times, so pass a kept table; ``stats[weight]`` is the
+    number of rows a key has, or more. Up to ``heavy_keys`` keys are broadcast. Where
+    there are more, only those are that hold at least a ``1 / heavy_keys`` share of
+    the total, and there cannot be more than ``heavy_keys`` of them. Their rows, as a
+    rule nearly all, are never shuffled; every other key is rare, so the shuffle join
+    of the rest is not skewed. Nothing is dropped: each key takes one of the two ways.
     """
-    heavy = _is_heavy(stats, key, weight, heavy_keys)
-    rows = rows.where(F.col(key).isNotNull())
+    text = F.col(key).cast("string")
+    size = stats.agg(
+        F.count(key).alias("keys"),
+        F.sum(weight).alias("total"),
+        F.sum(F.octet_length(text)).alias("bytes"),
+    ).first()
+    if size["keys"] <= heavy_keys and (size["bytes"] or 0) <= HEAVY_BYTES:
+        return rows.join(F.broadcast(stats), key)
+    heavy = (F.col(weight) >= size["total"] / heavy_keys) & (
+        F.char_length(text) <= LONGEST_HEAVY_KEY
+    )
     frequent = F.broadcast(stats.where(heavy))
     rare = stats.where(~heavy)
+    rows = rows.where(F.col(key).isNotNull())
     return rows.join(frequent, key).unionByName(
         rows.join(frequent.select(key), key, "left_anti").join(rare, key)
     )

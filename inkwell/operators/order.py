@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.operators.joins import HEAVY_KEYS, enrich
-from inkwell.session import shared_dir
+from inkwell.session import keep
 
 
 def running_totals(
@@ -19,13 +19,10 @@ def running_totals(
     ``(by, order)`` must be unique, which a preceding groupBy gives. Rows are range
     partitioned, so the totals of earlier partitions are an offset of at most one row
     per partition and group; only rows of one partition are summed in a window. The
-    ranges come from sampling and are used twice, hence the checkpoint between.
+    ranges come from sampling and are used twice, hence the kept table.
     """
-    shared_dir(rows.sparkSession)
-    laid = (
-        rows.repartitionByRange(*by, order)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint()
+    laid = keep(
+        rows.repartitionByRange(*by, order).withColumn("_range", F.spark_partition_id()), "ranges"
     )
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -123,14 +120,14 @@ def label_codes(rows: DataFrame, label: str) -> DataFrame:
         .agg(F.count("*").alias("rows"))
         .withColumn("one", F.lit(1).cast("bigint"))
     )
-    return running_totals(counts, label, ["one"]).select(
-        label, (F.col("upto_one") - 1).alias("code"), "rows"
-    )
+    codes = running_totals(counts, label, ["one"])
+    return codes.select(label, (F.col("upto_one") - 1).alias("code"), "rows")
 
 
 def encode_labels(rows: DataFrame, label: str, heavy_keys: int = HEAVY_KEYS) -> DataFrame:
     """Rows with the code of their label."""
-    return enrich(rows, label_codes(rows, label), label, "rows", heavy_keys).drop("rows")
+    codes = keep(label_codes(rows, label), "codes")
+    return enrich(rows, codes, label, "rows", heavy_keys).drop("rows")
 
 
 def area_under_roc(scored: DataFrame, label: str, score: str) -> DataFrame:

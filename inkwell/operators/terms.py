@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from inkwell.functions.text import clean_punct, plural_stem, tokens
 from inkwell.operators.derive import compute_once
 from inkwell.operators.joins import HEAVY_KEYS, enrich
+from inkwell.session import keep
 
 # The stop list holds the empty string, so no token is empty and '' can stand for
 # the document itself: its document frequency is the number of documents.
@@ -22,9 +23,14 @@ def with_tokens(documents: DataFrame, text: str = "review") -> DataFrame:
 
 
 def token_rows(tokenized: DataFrame) -> DataFrame:
-    """One row per token occurrence."""
+    """One row per token occurrence.
+
+    The outer form, because Spark repeats the input of the inner one in a filter.
+    """
     kept = [c for c in tokenized.columns if c != "tokens"]
-    return tokenized.select(*kept, F.explode("tokens").alias("token"))
+    return tokenized.select(*kept, F.explode_outer("tokens").alias("token")).where(
+        F.col("token").isNotNull()
+    )
 
 
 def token_counts(tokenized: DataFrame) -> DataFrame:
@@ -53,7 +59,6 @@ def term_bags(tokenized: DataFrame) -> DataFrame:
             (F.coalesce(F.get("_starts", i + 1), F.col("n_tokens")) - at).alias("n"),
         ),
     )
-    # The outer form, because Spark repeats the input of the inner one in a filter.
     return starts.select(*kept, "n_tokens", F.inline_outer(bag)).where(F.col("token").isNotNull())
 
 
@@ -76,7 +81,7 @@ def document_frequencies(tokenized: DataFrame) -> DataFrame:
 
 def inverse_document_frequencies(tokenized: DataFrame) -> DataFrame:
     """token, df and idf = ln(N / df); N counts documents with at least one token."""
-    df = document_frequencies(tokenized)
+    df = keep(document_frequencies(tokenized), "df")
     n = df.where(F.col("token") == DOCUMENT_MARK).select("df").scalar()
     return df.where(F.col("token") != DOCUMENT_MARK).withColumn("idf", F.ln(n / F.col("df")))
 
@@ -163,6 +168,20 @@ def boosted_counts(terms: DataFrame, term: str, times: int, k: int = 100) -> Dat
     return counts.withColumn("weight", F.col("n") / F.max("n").over(Window.partitionBy()))
 
 
+def frequent_terms(counts: DataFrame, k: int) -> DataFrame:
+    """The ``k`` most frequent tokens, equal counts in order of the token.
+
+    A quantile sketch gives a count that surely more than k tokens reach, so only
+    little more than k tokens are sorted, however large the vocabulary.
+    """
+    size, accuracy = counts.count(), 100_000
+    if size > k:
+        share = max(0.0, 1 - k / size - 2 / accuracy)
+        least = counts.agg(F.percentile_approx("n", share, accuracy)).first()[0]
+        counts = counts.where(F.col("n") >= least)
+    return counts.orderBy(F.desc("n"), "token").limit(k)
+
+
 def conflated_vocabulary(tokenized: DataFrame) -> DataFrame:
     """Occurrences and word forms per plural stem, from the counted vocabulary."""
     return (
@@ -172,20 +191,14 @@ def conflated_vocabulary(tokenized: DataFrame) -> DataFrame:
     )
 
 
-def letter_counts(texts: DataFrame, text: str, letters: Sequence[str]) -> DataFrame:
-    """Occurrences of each letter, and of the spaces set between the kept letters."""
-    kept = sum(_occurrences(F.col(text), c) for c in letters)
-    found = texts.agg(
+def letter_counts(texts: DataFrame, text: str, letters: str) -> DataFrame:
+    """Occurrences of each of the letters, and of the spaces set between them."""
+    kept = F.col("_kept")
+    counts = [(F.char_length(kept) - F.char_length(F.replace(kept, F.lit(c), F.lit(""))), c) for c in letters]
+    spaces = F.greatest(F.char_length(kept) - 1, F.lit(0))
+    found = compute_once(texts, "_kept", F.regexp_replace(text, f"[^{letters}]+", "")).agg(
         F.array(
-            *[
-                F.struct(F.lit(c).alias("char"), F.sum(_occurrences(F.col(text), c)).alias("n"))
-                for c in letters
-            ],
-            F.struct(F.lit(" ").alias("char"), F.sum(F.greatest(kept - 1, F.lit(0))).alias("n")),
+            *[F.struct(F.lit(c).alias("char"), F.sum(n).alias("n")) for n, c in [*counts, (spaces, " ")]]
         ).alias("found")
     )
     return found.select(F.inline("found"))
-
-
-def _occurrences(text: Column, char: str) -> Column:
-    return F.char_length(text) - F.char_length(F.replace(text, F.lit(char), F.lit("")))

@@ -359,7 +359,7 @@ def class_report(spark, sf):
 
 def _fitted(spark, sf):
     documents = _clean_documents(spark, sf)
-    return L.tfidf_pipeline().fit(documents), documents
+    return L.fit_tfidf(documents), documents
 
 
 def count_vector_terms(spark, sf):
@@ -386,7 +386,7 @@ def nb_predictions(spark, sf):
 
 def lr_predictions(spark, sf):
     train, test = sample.split(_clean_documents(spark, sf), "doc_id")
-    model = L.tfidf_pipeline().fit(train)
+    model = L.fit_tfidf(train)
     fitted = C.logistic().fit(model.transform(train).select("class", "idf"))
     return fitted.transform(model.transform(test)).select(
         "doc_id", "class", "prediction", F.element_at(vector_to_array("probability"), 2).alias("p1")
@@ -420,7 +420,7 @@ def w2v_vectors(spark, sf):
 def lda_topics(spark, sf):
     model, documents = _fitted(spark, sf)
     vectors = model.transform(documents).select("idf")
-    return C.topic_terms(C.topic_model().fit(vectors), model, documents)
+    return C.topic_terms(C.topic_model().fit(vectors), model, spark)
 
 
 def model_roundtrip(spark, sf):

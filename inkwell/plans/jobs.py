@@ -18,6 +18,7 @@ from inkwell.learning import classifiers as C
 from inkwell.learning import features as L
 from inkwell.operators import evaluate, order, profile, reshape, sample, terms
 from inkwell.operators.joins import enrich
+from inkwell.session import keep
 
 CLASSES = ("0", "1")
 LENGTH_POINTS = 1001
@@ -101,14 +102,14 @@ def ratio_features(
         stats = profile.flag_ratio(history, key, flag).select(
             key, "total", F.col("ratio").alias(f"{key}_ratio")
         )
-        rows = enrich(rows, stats, key, "total").drop("total")
+        rows = enrich(rows, keep(stats, "ratios"), key, "total").drop("total")
     return rows
 
 
 def compare_tfidf_classifiers(documents: DataFrame, key: str = "doc_id", label: str = "class") -> DataFrame:
     """Weighted F1 of three classifiers on tf-idf vectors of cleaned documents."""
     train, test = sample.split(documents, key)
-    model = L.tfidf_pipeline().fit(train)
+    model = L.fit_tfidf(train)
     return C.compare(
         {
             "logistic regression": C.logistic(label=label),
@@ -141,7 +142,7 @@ def compare_word2vec_classifiers(
 def compare_sentence_classifier(sentences: DataFrame, key: str, label: str = "class") -> DataFrame:
     """Weighted F1 of logistic regression on tf-idf vectors of cleaned sentences."""
     train, test = sample.split(L.with_clean_sentence(sentences), key)
-    model = L.sentence_tfidf_pipeline().fit(train)
+    model = L.fit_sentence_tfidf(train)
     return C.compare(
         {"logistic regression": C.logistic(label=label)},
         model.transform(train).select(label, "idf"),
@@ -181,7 +182,7 @@ def feature_report(reviews: DataFrame) -> dict[str, DataFrame]:
     features = feature_table(reviews)
     numbers = ("has_spoiler", "book_id_ratio", "user_id_ratio", "rating")
     train, test = sample.split(features, "review_id", 0.7)
-    words = L.tfidf_pipeline("processed_review").fit(train)
+    words = L.fit_tfidf(train, "processed_review")
     model = C.naive_bayes("vectors", "has_spoiler").fit(words.transform(train))
     predictions = model.transform(words.transform(test)).select("has_spoiler", "prediction")
     return {

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(name: str, cores: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -44,3 +44,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def keep(frame: DataFrame, name: str) -> DataFrame:
+    """The frame as a table written to the shared folder.
+
+    For tables that are read several times or must not change between two reads:
+    they are computed once, a lost executor does not bring their lineage back, and
+    Spark knows their size when it picks a join.
+    """
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

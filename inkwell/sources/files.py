@@ -27,12 +27,17 @@ def write_reviews(reviews: DataFrame, path: str) -> None:
 
 
 def write_documents_csv(documents: DataFrame, path: str) -> None:
-    """Processed documents as CSV with a header; quotes are doubled inside text."""
-    documents.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    """Processed documents as CSV with a header; quotes are doubled inside text.
+
+    A file with line breaks in its text is read by one task, so files are kept short.
+    """
+    documents.write.mode("overwrite").option("maxRecordsPerFile", 100_000).csv(
+        path, header=True, quote='"', escape='"'
+    )
 
 
 def read_documents_csv(spark: SparkSession, path: str, schema=DOCUMENT) -> DataFrame:
     """Documents from CSV; text may hold line breaks."""
     return spark.read.schema(schema).csv(
-        path, header=True, quote='"', escape='"', multiLine=True, lineSep=None
+        path, header=True, quote='"', escape='"', multiLine=True
     )
