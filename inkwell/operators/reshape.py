@@ -13,13 +13,21 @@ BLOCK = 1024
 
 
 def explode_sentences(reviews: DataFrame) -> DataFrame:
-    """One row per annotated sentence; ``pos`` keeps the order in the review."""
+    """One row per annotated sentence; ``pos`` keeps the order in the review.
+
+    Reviews without a sentence vanish. The outer form and a filter are used, because
+    Spark repeats the input of an inner explode in a filter of its own.
+    """
     kept = [c for c in reviews.columns if c != "review_sentences"]
-    return reviews.select(*kept, F.posexplode("review_sentences").alias("pos", "pair")).select(
-        *kept,
-        "pos",
-        F.get("pair", F.lit(0)).alias("class"),
-        F.get("pair", F.lit(1)).alias("reviews"),
+    return (
+        reviews.select(*kept, F.posexplode_outer("review_sentences").alias("pos", "pair"))
+        .where(F.col("pos").isNotNull())
+        .select(
+            *kept,
+            "pos",
+            F.get("pair", F.lit(0)).alias("class"),
+            F.get("pair", F.lit(1)).alias("reviews"),
+        )
     )
 
 
@@ -73,19 +81,24 @@ def assemble_nested(reviews: DataFrame) -> DataFrame:
     occur in several rows, use ``assemble_reviews`` and ``attach_reviews``.
     """
     kept = [c for c in reviews.columns if c != "review_sentences"]
-    classes = F.array_distinct(F.transform("review_sentences", lambda s: F.get(s, F.lit(0))))
+    classes = F.transform(
+        F.array_distinct(F.transform("review_sentences", lambda s: F.get(s, F.lit(0)))),
+        lambda c: F.struct(c.alias("class")),
+    )
     review = F.concat_ws(
         " ",
         F.transform(
             F.filter(
                 "review_sentences",
-                lambda s: F.get(s, F.lit(0)).eqNullSafe(F.col("class")),
+                lambda s: F.get(s, F.lit(0)).eqNullSafe(F.col("found.class")),
             ),
             lambda s: F.get(s, F.lit(1)),
         ),
     )
-    return reviews.select(*kept, "review_sentences", F.explode(classes).alias("class")).select(
-        *kept, "class", review.alias("review")
+    return (
+        reviews.select(*kept, "review_sentences", F.explode_outer(classes).alias("found"))
+        .where(F.col("found").isNotNull())
+        .select(*kept, "found.class", review.alias("review"))
     )
 
 
@@ -93,6 +106,6 @@ def split_comments(comments: DataFrame, text: str = "text") -> DataFrame:
     """One row per sentence of each comment, with its line and place in the line."""
     kept = [c for c in comments.columns if c != text]
     return (
-        comments.select(*kept, F.posexplode(comment_sentences(F.col(text))).alias("line", "found"))
+        comments.select(*kept, F.posexplode_outer(comment_sentences(F.col(text))).alias("line", "found"))
         .select(*kept, "line", F.posexplode("found").alias("part", "review"))
     )

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.operators.derive import compute_once
-
 # A line longer than this stands for an annotated (class 1) sentence.
 LONG_LINE = 200
 
@@ -31,10 +29,10 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
         lambda s: F.array(F.when(F.char_length(s) > LONG_LINE, "1").otherwise("0"), s),
     )
     labelled = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
-    return compute_once(labelled, "review_sentences", sentences).select(
+    return labelled.select(
         F.col("lang").alias("user_id"),
         F.lit(None).cast("string").alias("timestamp"),
-        "review_sentences",
+        sentences.alias("review_sentences"),
         F.col("quality").cast("bigint").alias("rating"),
         (F.col("toxic") == 1).alias("has_spoiler"),
         F.col("source").alias("book_id"),

@@ -36,7 +36,7 @@ def _key(row):
 
 def compare(spark_frame, connection, sql: str) -> str | None:
     """None when both sides hold the same rows, else what differs."""
-    mine, theirs = spark_frame.toArrow(), connection.execute(sql).to_arrow_table()
+    mine, theirs = spark_frame.toArrow(), connection.sql(sql).to_arrow_table()
     if sorted(mine.column_names) != sorted(theirs.column_names):
         return f"columns {mine.column_names} / {theirs.column_names}"
     for name in mine.column_names:
