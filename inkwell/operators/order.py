@@ -14,7 +14,8 @@ from inkwell.session import keep
 def running_totals(
     rows: DataFrame, order: str, weights: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Add ``upto_<weight>``: the total of each weight up to and including the row.
+    """Add ``upto_<weight>``, the total of each weight up to and including the row, and
+    ``all_<weight>``, that of its whole group.
 
     ``(by, order)`` must be unique, which a preceding groupBy gives. Rows are range
     partitioned, so the totals of earlier partitions are an offset of at most one row
@@ -32,6 +33,7 @@ def running_totals(
             *by,
             "_range",
             *[F.coalesce(F.sum(f"_sum_{w}").over(earlier), F.lit(0)).alias(f"_off_{w}") for w in weights],
+            *[F.sum(f"_sum_{w}").over(Window.partitionBy(*by)).alias(f"all_{w}") for w in weights],
         )
     )
     inside = (
@@ -41,7 +43,9 @@ def running_totals(
     )
     summed = laid.select("*", *[F.sum(w).over(inside).alias(f"_in_{w}") for w in weights])
     return summed.join(offsets, [*by, "_range"]).select(
-        *rows.columns, *[(F.col(f"_off_{w}") + F.col(f"_in_{w}")).alias(f"upto_{w}") for w in weights]
+        *rows.columns,
+        *[(F.col(f"_off_{w}") + F.col(f"_in_{w}")).alias(f"upto_{w}") for w in weights],
+        *[F.col(f"all_{w}") for w in weights],
     )
 
 
@@ -60,10 +64,7 @@ def quantile_grid(
     """
     counts = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
     totals = running_totals(counts, value, ["n"], by)
-    sizes = totals.groupBy(*by).agg(F.max("upto_n").alias("size"))
-    placed = (
-        totals.join(sizes, list(by)) if by else totals.withColumn("size", sizes.select("size").scalar())
-    ).withColumn("gaps", F.greatest(F.col("size") - 1, F.lit(1)))
+    placed = totals.withColumn("gaps", F.greatest(F.col("all_n") - 1, F.lit(1)))
     first = "(upto_n - n)"
     low = F.struct(
         _ceil_div(f"{first} * {steps}", "gaps").alias("a"),
@@ -76,13 +77,13 @@ def quantile_grid(
 
     def points(side):
         # A group of one row has only rank 0, which serves every grid point.
-        lone = F.col("size") == 1
+        lone = F.col("all_n") == 1
         start = F.when(lone, F.lit(0)).otherwise(side["a"])
         end = F.when(lone, F.lit(steps)).otherwise(side["b"])
         return F.when(start <= end, F.sequence(start.cast("bigint"), end.cast("bigint")))
 
     ends = placed.select(
-        *by, "size", "gaps", value, points(low).alias("lows"), points(high).alias("highs")
+        *by, "gaps", value, points(low).alias("lows"), points(high).alias("highs")
     )
     tagged = ends.select(
         *by,

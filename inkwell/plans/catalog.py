@@ -110,7 +110,7 @@ def review_left_join(spark, sf):
 
 
 def split_sentences(spark, sf):
-    return reshape.split_comments(tables.table(spark, sf, "conversations").select("conv_id", "turn", "text"))
+    return reshape.split_comments(tables.text_table(spark, sf, "conversations").select("conv_id", "turn", "text"))
 
 
 # Profile
@@ -295,7 +295,7 @@ def boosted_term_counts(spark, sf):
 
 
 def clean_punct_texts(spark, sf):
-    return tables.table(spark, sf, "documents").select("doc_id", clean_punct(F.col("text")).alias("review"))
+    return tables.text_table(spark, sf, "documents").select("doc_id", clean_punct(F.col("text")).alias("review"))
 
 
 def clean_text_sentences(spark, sf):
@@ -304,15 +304,15 @@ def clean_text_sentences(spark, sf):
 
 
 def clean_pages(spark, sf):
-    return tables.table(spark, sf, "pages").select("page_id", clean_text(F.col("html")).alias("text"))
+    return tables.text_table(spark, sf, "pages").select("page_id", clean_text(F.col("html")).alias("text"))
 
 
 def letters_only_texts(spark, sf):
-    return tables.table(spark, sf, "documents").select("doc_id", letters_only(F.col("text")).alias("processed_review"))
+    return tables.text_table(spark, sf, "documents").select("doc_id", letters_only(F.col("text")).alias("processed_review"))
 
 
 def char_counts(spark, sf):
-    texts = tables.table(spark, sf, "documents").select(letters_only(F.col("text")).alias("text"))
+    texts = tables.text_table(spark, sf, "documents").select(letters_only(F.col("text")).alias("text"))
     return terms.letter_counts(texts, "text", LETTERS)
 
 
@@ -452,7 +452,7 @@ def model_roundtrip(spark, sf):
 def score_comments(spark, sf):
     model, documents = _fitted(spark, sf)
     fitted = C.logistic().fit(model.transform(documents).select("class", "idf"))
-    comments = tables.table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    comments = tables.text_table(spark, sf, "conversations").select("conv_id", "turn", "text")
     return C.score_comments(model, fitted, comments)
 
 

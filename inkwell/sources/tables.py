@@ -13,9 +13,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of long texts, spread over all cores.
+
+    Work on text is far dearer than moving it, and a small table may be one file that
+    only one task can read. A table with a split for each core is left as it is.
+    """
+    rows = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, review, source, n_chars and class for each labelled document."""
-    documents = table(spark, folder, "documents").select(
+    documents = text_table(spark, folder, "documents").select(
         "doc_id", F.col("text").alias("review"), "source", "n_chars"
     )
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("class"))
@@ -28,7 +39,7 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
         F.split("text", "\n"),
         lambda s: F.array(F.when(F.char_length(s) > LONG_LINE, "1").otherwise("0"), s),
     )
-    labelled = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    labelled = text_table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
     return labelled.select(
         F.col("lang").alias("user_id"),
         F.lit(None).cast("string").alias("timestamp"),
@@ -42,7 +53,7 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 def conversation_sentences(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns as flat sentences: review_id, pos, class, reviews."""
-    return table(spark, folder, "conversations").select(
+    return text_table(spark, folder, "conversations").select(
         F.col("conv_id").alias("review_id"),
         F.col("turn").alias("pos"),
         F.col("role").alias("class"),

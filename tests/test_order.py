@@ -13,9 +13,10 @@ def test_running_totals_over_several_ranges(many_partitions):
     rows = [(g, i, dice.randrange(9)) for g in ("a", "b", "c") for i in range(200 if g == "a" else 20)]
     frame = many_partitions.createDataFrame(rows, "g string, x int, n int").repartition(5)
     found = order.running_totals(frame, "x", ["n"], ["g"])
-    assert found.columns == ["g", "x", "n", "upto_n"]
+    assert found.columns == ["g", "x", "n", "upto_n", "all_n"]
     for r in found.collect():
         assert r.upto_n == sum(n for g, x, n in rows if g == r.g and x <= r.x)
+        assert r.all_n == sum(n for g, x, n in rows if g == r.g)
 
 
 @pytest.mark.parametrize("steps", [1, 4, 7, 100, 1000])
