@@ -65,28 +65,31 @@ def _fit_counts(rows: DataFrame, stages: list) -> PipelineModel:
     return PipelineModel([*stages, vectorizer, idf])
 
 
-def word2vec_pipeline(
+def fit_word2vec(
+    sentences: DataFrame,
     text: str = "clean_review",
     size: int = 200,
     min_count: int = 10,
-    partitions: int = 10,
-    seed: int = SEED,
-) -> Pipeline:
-    """Mean word vectors. MLlib holds the vocabulary on the driver: on a large corpus
-    raise ``min_count`` with it, and ``partitions`` with the number of executors."""
-    return Pipeline(
-        stages=[
-            Tokenizer(inputCol=text, outputCol="tokens"),
-            Word2Vec(
-                inputCol="tokens",
-                outputCol="features",
-                vectorSize=size,
-                minCount=min_count,
-                numPartitions=partitions,
-                seed=seed,
-            ),
-        ]
-    )
+    partitions: int | None = None,
+) -> PipelineModel:
+    """Mean word vectors (``features``) of cleaned sentences.
+
+    MLlib trains one task per partition: one per core, 10 at least, unless given. It
+    holds the vectors of all words on the driver, so raise ``min_count`` with the corpus.
+    """
+    cores = sentences.sparkSession.sparkContext.defaultParallelism
+    stages = [
+        Tokenizer(inputCol=text, outputCol="tokens"),
+        Word2Vec(
+            inputCol="tokens",
+            outputCol="features",
+            vectorSize=size,
+            minCount=min_count,
+            numPartitions=partitions or max(10, cores),
+            seed=SEED,
+        ),
+    ]
+    return Pipeline(stages=stages).fit(sentences)
 
 
 def vocabulary(model: PipelineModel, spark: SparkSession) -> DataFrame:

@@ -49,60 +49,41 @@ def running_totals(
     )
 
 
-def _ceil_div(a, b):
-    return F.expr(f"(({a}) + ({b}) - 1) div ({b})")
-
-
 def quantile_grid(
     rows: DataFrame, value: str, steps: int, by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact quantiles at 0, 1/steps, .., 1 with linear interpolation, per group.
 
     Equal values are counted first, so a frequent value is one row. Running totals
-    tell which ranks a value covers, and integer arithmetic which grid points need
+    tell which ranks a value covers, and integer arithmetic which grid points have
     one of these ranks as lower or upper neighbour: no group meets in one task.
     """
     counts = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
-    totals = running_totals(counts, value, ["n"], by)
-    placed = totals.withColumn("gaps", F.greatest(F.col("all_n") - 1, F.lit(1)))
-    first = "(upto_n - n)"
-    low = F.struct(
-        _ceil_div(f"{first} * {steps}", "gaps").alias("a"),
-        F.least(F.expr(f"(upto_n * {steps} + gaps - 1) div gaps - 1"), F.lit(steps)).alias("b"),
-    )
-    high = F.struct(
-        F.expr(f"if(upto_n = n, 0, ({first} - 1) * {steps} div gaps + 1)").alias("a"),
-        F.least(F.expr(f"(upto_n - 1) * {steps} div gaps"), F.lit(steps)).alias("b"),
+    placed = running_totals(counts, value, ["n"], by).withColumn(
+        "gaps", F.greatest(F.col("all_n") - 1, F.lit(1))
     )
 
-    def points(side):
+    def points(first: str, last: str, is_lower: bool):
         # A group of one row has only rank 0, which serves every grid point.
-        lone = F.col("all_n") == 1
-        start = F.when(lone, F.lit(0)).otherwise(side["a"])
-        end = F.when(lone, F.lit(steps)).otherwise(side["b"])
-        return F.when(start <= end, F.sequence(start.cast("bigint"), end.cast("bigint")))
-
-    ends = placed.select(
-        *by, "gaps", value, points(low).alias("lows"), points(high).alias("highs")
+        start = F.expr(f"if(all_n = 1, 0L, {first})")
+        end = F.expr(f"if(all_n = 1, {steps}L, least({last}, {steps}L))")
+        grid = F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(grid, lambda j: F.struct(j.alias("j"), F.lit(is_lower).alias("is_lower")))
+
+    # The value covers the ranks upto_n - n .. upto_n - 1; point j lies at j * gaps / steps.
+    as_lower = points(
+        f"((upto_n - n) * {steps} + gaps - 1) div gaps", f"(upto_n * {steps} + gaps - 1) div gaps - 1", True
     )
-    tagged = ends.select(
-        *by,
-        "gaps",
-        value,
-        F.explode(
-            F.concat(
-                F.transform(F.coalesce("lows", F.array().cast("array<bigint>")), lambda j: F.struct(j.alias("j"), F.lit(True).alias("low"))),
-                F.transform(F.coalesce("highs", F.array().cast("array<bigint>")), lambda j: F.struct(j.alias("j"), F.lit(False).alias("low"))),
-            )
-        ).alias("at"),
+    as_upper = points(
+        f"if(upto_n = n, 0L, (upto_n - n - 1) * {steps} div gaps + 1)", f"(upto_n - 1) * {steps} div gaps", False
     )
     share = F.expr(f"((j * gaps) % {steps}) / cast({steps} as double)")
     return (
-        tagged.select(*by, "gaps", value, "at.j", "at.low")
+        placed.select(*by, "gaps", value, F.inline(F.concat(as_lower, as_upper)))
         .groupBy(*by, "j", "gaps")
         .agg(
-            F.max(F.when(F.col("low"), F.col(value))).alias("lower"),
-            F.max(F.when(~F.col("low"), F.col(value))).alias("upper"),
+            F.max(F.when(F.col("is_lower"), F.col(value))).alias("lower"),
+            F.max(F.when(~F.col("is_lower"), F.col(value))).alias("upper"),
         )
         .select(
             *by,

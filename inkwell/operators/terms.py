@@ -67,6 +67,22 @@ def term_frequencies(tokenized: DataFrame) -> DataFrame:
     return term_bags(tokenized).withColumn("tf", F.col("n") / F.col("n_tokens")).drop("n", "n_tokens")
 
 
+def term_frequencies_over_rows(tokenized: DataFrame, key: str) -> DataFrame:
+    """Share of each token in documents that lie in several rows, such as sentences.
+
+    Sentences are joined by spaces, so their tokens are those of the whole document and
+    the text need not be assembled. Each row is counted by itself first; a document of
+    any length is summed by many tasks.
+    """
+    counts = term_bags(tokenized.select(key, "tokens")).groupBy(key, "token").agg(F.sum("n").alias("n"))
+    totals = (
+        tokenized.groupBy(key).agg(F.sum(F.size("tokens")).alias("n_tokens")).where(F.col("n_tokens") > 0)
+    )
+    return enrich(counts, keep(totals, "totals"), key, "n_tokens").select(
+        key, "token", (F.col("n") / F.col("n_tokens")).alias("tf")
+    )
+
+
 def document_frequencies(tokenized: DataFrame) -> DataFrame:
     """Documents per token; the row of ``DOCUMENT_MARK`` counts all that have a token."""
     return (

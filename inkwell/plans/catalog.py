@@ -17,6 +17,8 @@ from inkwell.session import scratch_path
 from inkwell.sources import files, tables
 
 BOOK = "src3"
+# The term added to the word cloud, and how often.
+BOOST, BOOST_TIMES = "dany", 5
 BINARY = (0, 1)
 LENGTH_POINTS = jobs.LENGTH_POINTS
 RATIO_POINTS = jobs.RATIO_POINTS
@@ -207,9 +209,9 @@ def systematic_sample(spark, sf):
 
 def sorted_curve(spark, sf):
     drawn = sample.systematic_sample(
-        _scaled_lengths(spark, sf), "doc_id", "scaled", "class", BINARY, RATIO_POINTS
+        _scaled_lengths(spark, sf), "doc_id", "scaled", "class", BINARY, LENGTH_POINTS
     )
-    return sample.sorted_curve(drawn, "scaled", "class", RATIO_POINTS).select("class", "j", _six("x"), "y")
+    return sample.sorted_curve(drawn, "scaled", "class", LENGTH_POINTS).select("class", "j", _six("x"), "y")
 
 
 def ratio_curve(spark, sf):
@@ -243,6 +245,16 @@ def tf(spark, sf):
     return terms.term_frequencies(_tokenized(spark, sf)).select("doc_id", "class", "source", "token", _six("tf"))
 
 
+def sentence_tf(spark, sf):
+    """Term frequencies of conversation documents, from their sentences."""
+    sentences = tables.conversation_sentences(spark, sf).select(
+        F.concat_ws("/", "review_id", "class").alias("doc_id"), F.col("reviews").alias("review")
+    )
+    return terms.term_frequencies_over_rows(terms.with_tokens(sentences), "doc_id").select(
+        "doc_id", "token", _six("tf")
+    )
+
+
 def idf(spark, sf):
     return terms.inverse_document_frequencies(_tokenized(spark, sf)).select("token", "df", _six("idf"))
 
@@ -288,7 +300,7 @@ def top_terms_per_source(spark, sf):
 
 
 def boosted_term_counts(spark, sf):
-    return terms.boosted_counts(top_terms_for_source(spark, sf), "dany", 5).select("token", "n", _six("weight"))
+    return terms.boosted_counts(top_terms_for_source(spark, sf), BOOST, BOOST_TIMES).select("token", "n", _six("weight"))
 
 
 # Text
@@ -412,7 +424,7 @@ def rf_predictions(spark, sf):
 
 def w2v_vectors(spark, sf):
     sentences = L.with_clean_sentence(tables.conversation_sentences(spark, sf))
-    return L.word2vec_pipeline().fit(sentences).transform(sentences).select(
+    return L.fit_word2vec(sentences).transform(sentences).select(
         "review_id", "pos", vector_to_array("features").alias("features")
     )
 
@@ -493,7 +505,7 @@ QUERIES = {
         user_ratio, book_ratio, ratio_features, minmax_length, minmax_rating,
         describe_numeric, correlation_matrix, label_encode,
         systematic_sample, sorted_curve, ratio_curve, quantile_curve,
-        token_counts, tf, idf, tfidf, tfidf_join, item_specificity,
+        token_counts, tf, sentence_tf, idf, tfidf, tfidf_join, item_specificity,
         top_terms_for_source, bottom_terms, top_terms_per_source, boosted_term_counts,
         clean_pages, char_counts, vocabulary_conflation,
         split_counts, split_anti, weighted_f1, auc, confusion_matrix, class_report,

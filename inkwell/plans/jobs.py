@@ -65,7 +65,7 @@ def term_weights(reviews: DataFrame) -> dict[str, DataFrame]:
     return {"weights": weights, "specificity": terms.item_specificity(weights)}
 
 
-def key_terms(reviews: DataFrame, book_id: str, boost: str = "dany", times: int = 5) -> dict[str, DataFrame]:
+def key_terms(reviews: DataFrame, book_id: str, boost: str, times: int = 5) -> dict[str, DataFrame]:
     """The 100 heaviest terms of a book, and their word-cloud weights with one term boosted."""
     tokenized = terms.with_tokens(documents_of(reviews).select("doc_id", "book_id", "review"))
     idf = terms.inverse_document_frequencies(tokenized)
@@ -123,11 +123,11 @@ def compare_tfidf_classifiers(documents: DataFrame, key: str = "doc_id", label:
 
 
 def compare_word2vec_classifiers(
-    sentences: DataFrame, key: str, label: str = "class", min_count: int = 10, partitions: int = 10
+    sentences: DataFrame, key: str, label: str = "class", min_count: int = 10, partitions: int | None = None
 ) -> DataFrame:
     """Weighted F1 of two classifiers on word vectors of cleaned sentences."""
     train, test = sample.split(L.with_clean_sentence(sentences), key)
-    model = L.word2vec_pipeline(min_count=min_count, partitions=partitions).fit(train)
+    model = L.fit_word2vec(train, min_count=min_count, partitions=partitions)
     return C.compare(
         {
             "random forest": C.random_forest(label=label),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from inkwell.plans.catalog import BOOK, FEATURES, LENGTH_POINTS, LETTERS, LONG_DOCUMENT, RATIO_POINTS
+from inkwell.plans.catalog import BOOK, BOOST, BOOST_TIMES, FEATURES, LENGTH_POINTS, LETTERS, LONG_DOCUMENT, RATIO_POINTS
 from inkwell.schema import STOP_WORDS, WHITESPACE
 from inkwell.sources.tables import LONG_LINE
 
@@ -190,8 +190,8 @@ SELECT doc_id, class, length, round((length - min(length) OVER c)
     "label_encode": """SELECT event_id, event_type, dense_rank() OVER (ORDER BY event_type) - 1 AS code FROM events""",
     "systematic_sample": f"""WITH {_SCALED}, {_sampled('scaled_', 'class', 'doc_id', 'scaled', RATIO_POINTS)}
 SELECT class, doc_id, scaled, j FROM sample_""",
-    "sorted_curve": f"""WITH {_SCALED}, {_sampled('scaled_', 'class', 'doc_id', 'scaled', RATIO_POINTS)}
-SELECT class, (row_number() OVER c - 1)::INTEGER AS j, round((row_number() OVER c - 1) / {RATIO_POINTS - 1}.0, 6)::DOUBLE AS x,
+    "sorted_curve": f"""WITH {_SCALED}, {_sampled('scaled_', 'class', 'doc_id', 'scaled', LENGTH_POINTS)}
+SELECT class, (row_number() OVER c - 1)::INTEGER AS j, round((row_number() OVER c - 1) / {LENGTH_POINTS - 1}.0, 6)::DOUBLE AS x,
     scaled AS y FROM sample_ WINDOW c AS (PARTITION BY class ORDER BY scaled)""",
     "ratio_curve": f"""WITH named_ AS (
     SELECT 'user' AS series, user_id::VARCHAR AS key, ratio FROM ({_USER})
@@ -209,6 +209,11 @@ SELECT class, (generate_subscripts(found, 1) - 1)::BIGINT AS j,
     round((generate_subscripts(found, 1) - 1) / {LENGTH_POINTS - 1}.0, 6)::DOUBLE AS p, round(unnest(found), 6) AS quantile FROM q""",
     "token_counts": f"WITH {_TOKENS} SELECT token, count(*) AS n FROM tokens_ GROUP BY token",
     "tf": f"WITH {_TF} SELECT doc_id, class, source, token, round(tf, 6) AS tf FROM tf_",
+    "sentence_tf": f"""WITH documents_ AS (
+    SELECT conv_id || '/' || role AS doc_id, string_agg(text, ' ' ORDER BY turn) AS review FROM conversations GROUP BY conv_id, role),
+split_ AS (SELECT doc_id, {_words(_clean('review'), '[ \\x09-\\x0d]')} AS token FROM documents_)
+SELECT doc_id, token, round(count(*) / sum(count(*)) OVER (PARTITION BY doc_id), 6) AS tf
+FROM split_ WHERE token NOT IN ({_STOP}) GROUP BY doc_id, token""",
     "idf": f"WITH {_TF} SELECT token, df, round(idf, 6) AS idf FROM idf_",
     "tfidf": _TFIDF,
     "tfidf_join": _TFIDF,
@@ -226,7 +231,7 @@ WHERE source = '{BOOK}' ORDER BY round(tf_idf, 6), token, doc_id LIMIT 100""",
 SELECT source, doc_id, token, tf_idf, rank FROM ranked_ WHERE rank <= 100""",
     "boosted_term_counts": f"""WITH {_WEIGHTS}, top_ AS (
     SELECT token FROM weights_ WHERE source = '{BOOK}' ORDER BY round(tf_idf, 6) DESC, token, doc_id LIMIT 100),
-bag_ AS (SELECT token FROM top_ UNION ALL SELECT unnest(['dany', 'dany', 'dany', 'dany', 'dany'])),
+bag_ AS (SELECT token FROM top_ UNION ALL SELECT unnest({[BOOST] * BOOST_TIMES})),
 counts_ AS (SELECT token, count(*) AS n FROM bag_ GROUP BY token ORDER BY n DESC, token LIMIT 100)
 SELECT token, n, round(n / max(n) OVER (), 6) AS weight FROM counts_""",
     "clean_punct": f"SELECT doc_id, {_clean('text')} AS review FROM documents",

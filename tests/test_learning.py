@@ -107,7 +107,7 @@ def test_whole_analyses_run(spark):
         for job in (jobs.corpus_profile, jobs.length_curves, jobs.label_ratios, jobs.term_weights)
         for name, frame in job(reviews).items()
     }
-    sizes |= {name: frame.count() for name, frame in jobs.key_terms(reviews, "src3").items()}
+    sizes |= {name: frame.count() for name, frame in jobs.key_terms(reviews, "src3", "extra").items()}
     assert all(sizes.values())
     report = jobs.feature_report(reviews)
     assert report["summary"].count() == 4 and report["correlation"].count() == 16

@@ -75,6 +75,6 @@ def test_plural_stem(spark, word, stem):
 
 
 def test_comment_sentences(spark):
-    comment = "Game of thrones. \n  Arya stark killed night king. He. She\n\nend. "
+    comment = "A fine tale. \n  The end surprised me. Truly. Yes\n\nend. "
     expected = [line.strip().split(". ") for line in comment.split("\n")]
     assert column(spark, X.comment_sentences, [comment]) == [expected]
