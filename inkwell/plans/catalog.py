@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
@@ -13,6 +15,7 @@ from inkwell.learning import classifiers as C
 from inkwell.learning import features as L
 from inkwell.operators import evaluate, joins, order, profile, reshape, sample, terms
 from inkwell.plans import jobs
+from inkwell.schema import STOP_WORDS
 from inkwell.session import scratch_path
 from inkwell.sources import files, tables
 
@@ -24,7 +27,7 @@ LENGTH_POINTS = jobs.LENGTH_POINTS
 RATIO_POINTS = jobs.RATIO_POINTS
 FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 # Letters that are a stop word by themselves drop out of the letter counts.
-LETTERS = "bcefghjklnpqruvwxz"
+LETTERS = "".join(c for c in ascii_lowercase if c not in STOP_WORDS)
 # The rule behind the metric queries: long documents are predicted to be class 1.
 LONG_DOCUMENT = 1500
 
@@ -163,7 +166,7 @@ def ratio_features(spark, sf):
 
 
 def minmax_length(spark, sf):
-    lengths = _documents(spark, sf).select("doc_id", "class", F.char_length(clean_punct(F.col("review"))).alias("length"))
+    lengths = _clean_documents(spark, sf).select("doc_id", "class", F.char_length("review").alias("length"))
     return profile.scale_by_class(lengths, "length", "class", BINARY).select(
         "doc_id", "class", "length", _six("scaled")
     )
@@ -218,13 +221,15 @@ def ratio_curve(spark, sf):
     """User and book ratios, scaled, sampled and sorted."""
     user = profile.flag_ratio(tables.user_flags(spark, sf), "user_id", "flag")
     book = profile.flag_ratio(tables.book_flags(spark, sf), "book_id", "flag")
-    named = user.select(F.lit("user").alias("series"), F.col("user_id").cast("string").alias("key"), "ratio").unionByName(
-        book.select(F.lit("book").alias("series"), F.col("book_id").alias("key"), "ratio")
-    )
+    of_user = user.select(F.lit("user").alias("series"), F.col("user_id").cast("string").alias("key"), "ratio")
+    of_book = book.select(F.lit("book").alias("series"), F.col("book_id").alias("key"), "ratio")
+    named = of_user.unionByName(of_book)
     series = ("user", "book")
     scaled = profile.scale_by_class(named, "ratio", "series", series)
     drawn = sample.systematic_sample(scaled, "key", "scaled", "series", series, RATIO_POINTS)
-    return sample.sorted_curve(drawn, "scaled", "series", RATIO_POINTS).select("series", "j", _six("x"), _six("y"))
+    return sample.sorted_curve(drawn, "scaled", "series", RATIO_POINTS).select(
+        "series", "j", _six("x"), _six("y")
+    )
 
 
 def quantile_curve(spark, sf):
@@ -300,7 +305,9 @@ def top_terms_per_source(spark, sf):
 
 
 def boosted_term_counts(spark, sf):
-    return terms.boosted_counts(top_terms_for_source(spark, sf), BOOST, BOOST_TIMES).select("token", "n", _six("weight"))
+    return terms.boosted_counts(top_terms_for_source(spark, sf), BOOST, BOOST_TIMES).select(
+        "token", "n", _six("weight")
+    )
 
 
 # Text
@@ -320,7 +327,9 @@ def clean_pages(spark, sf):
 
 
 def letters_only_texts(spark, sf):
-    return tables.text_table(spark, sf, "documents").select("doc_id", letters_only(F.col("text")).alias("processed_review"))
+    return tables.text_table(spark, sf, "documents").select(
+        "doc_id", letters_only(F.col("text")).alias("processed_review")
+    )
 
 
 def char_counts(spark, sf):

@@ -22,6 +22,11 @@ def convert_reviews(spark: SparkSession, source: str, target: str, partitions: i
     read_reviews(spark, source, partitions).write.mode("overwrite").parquet(target)
 
 
+def literal_comments(spark: SparkSession, texts: list[str]) -> DataFrame:
+    """A handful of comments typed in by hand, as a table to score."""
+    return spark.createDataFrame(list(enumerate(texts)), "comment_id int, text string")
+
+
 def write_reviews(reviews: DataFrame, path: str) -> None:
     reviews.select(*REVIEW.fieldNames()).write.mode("overwrite").json(path, compression="gzip")
 

@@ -12,6 +12,7 @@ from inkwell.learning import features as L
 from inkwell.plans import jobs
 from inkwell.session import scratch_path
 from inkwell.sources import tables
+from inkwell.sources.files import literal_comments
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -63,7 +64,7 @@ def test_saved_models_predict_the_same(spark, documents, fitted):
 
 
 def test_comments_are_cleaned_as_in_training(spark, fitted):
-    comments = spark.createDataFrame([(1, "Dragon KING falls! Lovely, lovely cover. \nprint")], "id int, text string")
+    comments = literal_comments(spark, ["Dragon KING falls! Lovely, lovely cover. \nprint"])
     paths = scratch_path(spark, "pipeline"), scratch_path(spark, "logistic")
     for scored in (C.score_comments(*fitted, comments), jobs.saved_model_scores(*fitted, paths, comments)):
         found = {(r.line, r.part): (r.review, r.prediction) for r in scored.collect()}

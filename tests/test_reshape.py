@@ -65,6 +65,31 @@ def test_left_join_multiplies_and_keeps_unmatched(spark):
     assert sorted(map(str, mine.collect())) == sorted(map(str, plain.collect()))
 
 
+def test_a_hot_review_is_split(spark):
+    """With small thresholds standing for a large table, AQE cuts the hot key."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        ids = F.concat(F.lit("k"), F.col("id") % 20_000)
+        documents = spark.range(20_000).select(ids.alias("review_id"), F.lit("0").alias("class"))
+        reviews = spark.range(120_000).select(
+            F.when(F.col("id") % 3 == 0, "k7").otherwise(ids).alias("review_id"), F.md5(F.col("id").cast("string")).alias("user_id")
+        )
+        found = joins.attach_reviews(documents, reviews).agg(F.count("user_id"), F.max("user_id"))
+        assert found.collect()[0][0] == 120_000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_complement(spark):
     rows = spark.range(10)
     assert sorted(r.id for r in joins.complement(rows, rows.where("id < 4"), "id").collect()) == list(range(4, 10))
