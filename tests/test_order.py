@@ -27,6 +27,7 @@ def test_quantiles_equal_numpy(many_partitions, steps):
         "ties": [float(dice.randrange(4)) for _ in range(300)],
         "two": [1.0, 5.0],
         "one": [3.0],
+        None: [2.0, 8.0, 4.0],
     }
     rows = [(g, v) for g, values in groups.items() for v in values] + [("one", None)]
     frame = many_partitions.createDataFrame(rows, "g string, v double").repartition(4)
@@ -37,6 +38,13 @@ def test_quantiles_equal_numpy(many_partitions, steps):
         assert r.p == pytest.approx(r.j / steps)
 
 
+def test_only_wanted_ranges_are_summed(many_partitions):
+    frame = many_partitions.range(1000).withColumn("n", F.lit(1).cast("bigint"))
+    some = order.running_totals(frame, "id", ["n"], wanted=F.col("before_n") == 0).collect()
+    assert 0 < len(some) < 1000
+    assert all(r.upto_n == r.id + 1 and r.all_n == 1000 for r in some)
+
+
 def test_quantiles_without_groups(many_partitions):
     frame = many_partitions.range(101)
     found = {r.j: r.quantile for r in order.quantile_grid(frame, "id", 4).collect()}
