@@ -29,7 +29,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest doc_id, of each group of near copies."""
+    """One document, the one with the smallest doc_id, of each group of near copies.
+
+    Rows that share a doc_id are one document and stay together.
+    """
     groups = ngram_join.classes(docs.select("doc_id", "text"))
     dropped = groups.where(F.col("class_id") != F.col("doc_id")).select("doc_id")
     return docs.select(*DOCUMENT).join(dropped, "doc_id", "left_anti")
@@ -43,9 +46,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a placeholder."""
-    found = secrets.find(docs).where(F.size("spans") > 0)
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(secrets.redacted(F.col("text"), F.col("spans")))
-    clean = docs.select(*DOCUMENT).join(found, "doc_id", "left").withColumn("text", text)
+    found = secrets.find(docs, carry=DOCUMENT)
+    clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col("spans")))
     return clean.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*DOCUMENT)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import bpe, decontam, langid, quality, secrets, toxicity
+from inkwell.llm import bpe, decontam, langid, ngram_join, quality, secrets, toxicity
 from inkwell.sources.tables import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -42,6 +42,10 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("doc_id", "text")
     return bpe.round_trip(documents, public_tokenizers.path(VOCABULARY)).drop("text")
@@ -61,6 +65,6 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scans, op2_language_id, op3_toxicity, op5_bpe, op6_quality, op7_decontamination)
+    for f in (op1_secret_scans, op2_language_id, op3_toxicity, op4_ngram_jaccard_join, op5_bpe, op6_quality, op7_decontamination)
 }
 ORACLE: dict[str, str] = {}

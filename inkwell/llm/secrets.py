@@ -212,13 +212,15 @@ def _length_class(run: Column) -> Column:
     return F.when(n < 32, 0).when(n < 64, 1).when(n < 128, 2).otherwise(3)
 
 
-def scan(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, base and runs of each row: its base spans, and the runs to be tested.
+def scan(documents: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``carry``, base and runs of each row: its base spans, and the runs to be tested.
 
     base holds (start, place of the kind in KINDS, end); runs holds (start, end, encoding,
     length class, p) of runs that overlap no base span and fit an encoding.
     """
-    rows = documents.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_whole"))
+    rows = documents.select(
+        F.struct(*[F.col(c) for c in carry]).alias("_carried"), F.coalesce(F.col(text), F.lit("")).alias("_whole")
+    )
     rows = compute_once(rows, "base", _base_spans(F.col("_whole")))
     none = F.array().cast("array<struct<start:int,end:int,run:string>>")
     runs = F.when(F.col("_whole").rlike(RUN), located(F.col("_whole"), RUN)).otherwise(none)
@@ -238,7 +240,7 @@ def scan(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
             p_value(r["run"], r["encoding"]).alias("p"),
         ),
     )
-    return rows.select(F.col(key), "base", tested.alias("runs"))
+    return rows.select("_carried", "base", tested.alias("runs"))
 
 
 def thresholds(scanned: DataFrame, share: float = SHARE) -> DataFrame:
@@ -267,13 +269,15 @@ def thresholds(scanned: DataFrame, share: float = SHARE) -> DataFrame:
     return counts.select("encoding", "length_class", (F.get(accepted, F.lit(0)) / _BINS).alias("least_p")).where("least_p is not null")
 
 
-def find(documents: DataFrame, key: str = "doc_id", text: str = "text", share: float = SHARE) -> DataFrame:
-    """key and spans of each row: (start, kind, end) by start, then kind as in KINDS.
+def find(
+    documents: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",), share: float = SHARE
+) -> DataFrame:
+    """The columns ``carry`` and spans of each row: (start, kind, end) by start, then kind as in KINDS.
 
     The scan is kept as a table in the shared folder, as it is read for the thresholds and
     for the result.
     """
-    scanned = keep(scan(documents, key, text), "secrets")
+    scanned = keep(scan(documents, text, carry), "secrets")
     limits = thresholds(scanned, share).agg(
         F.map_from_entries(
             F.collect_list(F.struct(F.concat_ws("/", "encoding", "length_class"), F.col("least_p")))
@@ -288,7 +292,8 @@ def find(documents: DataFrame, key: str = "doc_id", text: str = "text", share: f
     ordered = F.array_sort(F.concat("base", extra))
     spans = F.transform(ordered, lambda s: F.struct(s["start"].alias("start"), named[s["kind"]].alias("kind"), s["end"].alias("end")))
     # One row with at most a number for each stratum.
-    return scanned.join(F.broadcast(limits)).select(F.col(key), spans.alias("spans"))
+    found = scanned.join(F.broadcast(limits))
+    return found.select(*[F.col("_carried")[c].alias(c) for c in carry if c != "spans"], spans.alias("spans"))
 
 
 def written(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
