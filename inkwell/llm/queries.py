@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import bpe, decontam, langid, ngram_join, quality, secrets, toxicity
+from inkwell.llm import ann, bpe, decontam, langid, ngram_join, quality, secrets, toxicity, warc
 from inkwell.sources.tables import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -63,8 +63,33 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return warc.round_trip(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scans, op2_language_id, op3_toxicity, op4_ngram_jaccard_join, op5_bpe, op6_quality, op7_decontamination)
+    for f in (
+        op1_secret_scans, op2_language_id, op3_toxicity, op4_ngram_jaccard_join, op5_bpe, op6_quality, op7_decontamination,
+        op9_nearest_neighbours, op10_warc,
+    )
+}
+# Payloads and the archive's decisions, as SQL sees them.
+ORACLE = {
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+        FROM g
+    """,
 }
-ORACLE: dict[str, str] = {}
