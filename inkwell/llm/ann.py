@@ -4,14 +4,17 @@ Equal vectors are one node of the graph, with up to ``MEMBERS`` of their ids, th
 no other id of the node can be among the nearest ``k`` (ties go to smaller ids).
 
 *Building.* Nodes that fall on the same side of some random planes start as neighbours.
-Then, again and again, each node's neighbours (its nearest and those it is nearest to) are
-joined with their vectors and compared with each other: the neighbours of a neighbour are
-likely neighbours. Each node keeps its ``NEIGHBOURS`` nearest. Rounds end when distances
-hardly shrink any more.
+Then, again and again, each node's neighbours (its nearest and the nearest of those that it
+is nearest to) are joined with their vectors and compared with each other: the neighbours
+of a neighbour are likely neighbours. Each node keeps its ``NEIGHBOURS`` nearest. Rounds end
+when distances hardly shrink any more. Here vectors are rounded to bytes, with a scale each.
 
-*Searching.* A query starts at its own node, and each round expands the nearest nodes of
-its pool that have not been expanded, by a join with the graph. It ends when all the
-``POOL`` nearest are expanded. Distances are exact on the original vectors.
+*Searching.* A query starts at its own node, and each hop expands the nearest nodes of its
+pool that have not been expanded, by a join with the graph. It ends when all the ``POOL``
+nearest are expanded. The pool is then ranked by exact distances of the original vectors.
+
+Lists are merged by many nodes at once, first inside each task, so that a node which
+very many others offer something reaches one task as a few rows from each.
 
 Defined results: rows without an id, null, zero, or non-finite vectors, and vectors with
 a null component or another length than most take no part. An id that occurs several times
@@ -36,11 +39,11 @@ from inkwell.session import keep
 
 K = 10
 MEMBERS = K + 1
-NEIGHBOURS, REVERSE, OFFERS = 20, 12, 6
+NEIGHBOURS, REVERSE, OFFERS = 32, 24, 12
 #: Nodes of a starting block, and the number of times all nodes are put into blocks.
-BLOCK, STARTS = 150, 3
-ROUNDS, SHRINK = 8, 0.002
-POOL, EXPANDED, HOPS = 80, 16, 12
+BLOCK, STARTS = 150, 4
+ROUNDS, SHRINK = 6, 0.004
+POOL, EXPANDED, HOPS = 300, 60, 16
 _BUNDLE = 1500
 EDGE = "id bigint, nbr bigint, d float"
 
@@ -58,7 +61,7 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Nodes (id, mark, vec) with their vectors as bytes, members (id, vec_id) of each, and
+    """Nodes (id, mark, vec, code) with their vectors as bytes, members (id, vec_id) of each, and
     the mark of the vector of each vec_id."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,8 +77,14 @@ def nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     members = top_per_group(marked, "mark", [F.asc("vec_id")], ["vec_id"], MEMBERS)
     first = members.where("rank = 1").select("mark", F.col("vec_id").alias("id"))
     members = keep(members.join(first, "mark").select("id", "vec_id"), "members")
-    found = packed.join(first.select(F.col("id").alias("vec_id")), "vec_id")
-    return keep(found.select(F.col("vec_id").alias("id"), "mark", "vec"), "nodes"), members, marked
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = _coded(_matrix(batch.column("vec"))) if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary())], ["id", "mark", "vec", "code"])
+
+    found = packed.join(first.select(F.col("id").alias("vec_id")), "vec_id").select(F.col("vec_id").alias("id"), "mark", "vec")
+    return keep(map_batches(found, code, "id bigint, mark string, vec binary, code binary"), "nodes"), members, marked
 
 
 def _matrix(column) -> np.ndarray:
@@ -89,10 +98,42 @@ def _squares(a: np.ndarray) -> np.ndarray:
     return np.maximum(norms[..., :, None] + norms[..., None, :] - 2 * (a @ np.swapaxes(a, -1, -2)), 0)
 
 
-def _nearest(edges: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """The k nearest neighbours of each node; a node with very many offers is ranked in slices."""
-    offers = edges.groupBy("id", "nbr").agg(F.min("d").alias("d"))
-    return top_per_group(offers, "id", [F.asc("d"), F.asc("nbr")], ["nbr"], k, salts=4).select("id", "nbr", "d")
+def _coded(vectors: np.ndarray) -> list[bytes]:
+    """Vectors with their components rounded to bytes: the scale, then a byte for each."""
+    scale = np.abs(vectors).max(1) / 127
+    rounded = np.rint(vectors / scale[:, None]).astype(np.int8)
+    return [np.float32(x).tobytes() + r.tobytes() for x, r in zip(scale, rounded)]
+
+
+def _decoded(column) -> np.ndarray:
+    values = column.to_pylist() if isinstance(column, pa.Array) else list(column)
+    raw = np.frombuffer(b"".join(values), np.int8).reshape(len(values), -1)
+    return raw[:, 4:].astype(np.float32) * np.ascontiguousarray(raw[:, :4]).view(np.float32)
+
+
+def _shortest(owner: np.ndarray, other: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k nearest of each owner, equal pairs once, sorted by owner and distance."""
+    order = np.lexsort((d, other, owner))
+    o, t = owner[order], other[order]
+    order = order[np.concatenate([[True], (o[1:] != o[:-1]) | (t[1:] != t[:-1])])] if len(order) else order
+    order = order[np.lexsort((other[order], d[order], owner[order]))]
+    o = owner[order]
+    return order[np.arange(len(o)) - np.searchsorted(o, o) < k]
+
+
+def _top(edges: DataFrame, k: int, count: int) -> DataFrame:
+    """The k nearest neighbours (id, nbr, d) of each node."""
+
+    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in ("id", "nbr", "d")]
+            yield batch.take(pa.array(_shortest(*columns, k)))
+
+    def last(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.iloc[_shortest(rows["id"].to_numpy(), rows["nbr"].to_numpy(), rows["d"].to_numpy(), k)][["id", "nbr", "d"]]
+
+    pruned = map_batches(edges.select("id", "nbr", "d"), few, EDGE)
+    return pruned.groupBy(_bundle("id", count)).applyInPandas(last, EDGE)
 
 
 def _start(found: DataFrame, count: int) -> DataFrame:
@@ -102,50 +143,51 @@ def _start(found: DataFrame, count: int) -> DataFrame:
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                vectors = _matrix(batch.column("vec"))
+                vectors = _decoded(batch.column("code"))
                 for start in range(STARTS):
                     planes = np.random.default_rng([7, start]).normal(size=(vectors.shape[1], max(1, bits)))
                     side = ((vectors @ planes) > 0) @ (1 << np.arange(max(1, bits))) if bits else np.zeros(len(vectors), int)
                     cell = side.astype(np.int64) * STARTS + start
-                    yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("vec"), pa.array(cell)], ["id", "vec", "cell"])
+                    yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("code"), pa.array(cell)], ["id", "code", "cell"])
 
-    cells = keep(map_batches(found, sides, "id bigint, vec binary, cell bigint"), "cells")
+    cells = map_batches(found, sides, "id bigint, code binary, cell bigint")
     # A cell with many nodes is cut into blocks by a hash, so any cell is done by many tasks.
     sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / (2 * BLOCK)).alias("blocks"))
     block = F.pmod(F.xxhash64("id", "cell"), F.col("blocks"))
     blocks = cells.join(sizes, "cell").withColumn("block", block).drop("blocks")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, d = rows["id"].to_numpy(), _squares(_matrix(rows["vec"]))
+        ids, d = rows["id"].to_numpy(), _squares(_decoded(rows["code"]))
         np.fill_diagonal(d, np.inf)
         k = min(NEIGHBOURS, len(ids) - 1)
         if k < 1:
-            return pd.DataFrame({"id": [], "nbr": [], "d": []}).astype({"id": "int64", "nbr": "int64", "d": "float32"})
+            return _edges([], [], [])
         best = np.argpartition(d, k - 1, axis=1)[:, :k]
-        return pd.DataFrame(
-            {"id": np.repeat(ids, k), "nbr": ids[best].ravel(), "d": np.take_along_axis(d, best, 1).ravel().astype(np.float32)}
-        )
+        return _edges(np.repeat(ids, k), ids[best].ravel(), np.take_along_axis(d, best, 1).ravel())
 
-    return _nearest(blocks.groupBy("cell", "block").applyInPandas(compare, EDGE))
+    return _top(blocks.groupBy("cell", "block").applyInPandas(compare, EDGE), NEIGHBOURS, count)
 
 
-def _around(graph: DataFrame) -> DataFrame:
+def _edges(ids, others, d) -> pd.DataFrame:
+    return pd.DataFrame({"id": np.asarray(ids, np.int64), "nbr": np.asarray(others, np.int64), "d": np.asarray(d, np.float32)})
+
+
+def _around(graph: DataFrame, count: int) -> DataFrame:
     """(id, nbr) of each node: its nearest, and the nearest of those that it is nearest to."""
     turned = graph.select(F.col("nbr").alias("id"), F.col("id").alias("nbr"), "d")
-    back = top_per_group(turned, "id", [F.asc("d"), F.asc("nbr")], ["nbr"], REVERSE, salts=4)
-    return graph.select("id", "nbr").union(back.select("id", "nbr")).distinct()
+    return graph.select("id", "nbr").unionByName(_top(turned, REVERSE, count).select("id", "nbr"))
 
 
 def _local_joins(rows: pd.DataFrame) -> pd.DataFrame:
     """Compare the neighbours of each node; offers that would improve a neighbour's list."""
-    rows = rows.sort_values(["id", "nbr"])
-    owner, nbr, radius = rows["id"].to_numpy(), rows["nbr"].to_numpy(), rows["radius"].to_numpy(np.float64)
-    vectors = _matrix(rows["vec"])
+    rows = rows.drop_duplicates(["id", "nbr"]).sort_values(["id", "nbr"])
+    owner, nbr, radius = rows["id"].to_numpy(), rows["nbr"].to_numpy(), rows["radius"].to_numpy(np.float32)
+    vectors = _decoded(rows["code"])
     starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     sizes = np.diff([*starts, len(owner)])
     width = int(sizes.max())
     offers = min(OFFERS, width)
-    out = []
+    out = [(nbr[:0], nbr[:0], radius[:0])]
     for at in range(0, len(starts), 256):
         place = starts[at : at + 256, None] + np.arange(width)
         there = np.arange(width) < sizes[at : at + 256, None]
@@ -155,14 +197,14 @@ def _local_joins(rows: pd.DataFrame) -> pd.DataFrame:
         d[:, np.arange(width), np.arange(width)] = np.inf
         best = np.argpartition(d, offers - 1, axis=2)[:, :, :offers]
         near = np.take_along_axis(d, best, 2)
-        group, row, column = np.nonzero(near < radius[place][:, :, None])
+        # Rounding gives a known neighbour a slightly smaller distance now and then.
+        group, row, column = np.nonzero(near < radius[place][:, :, None] * np.float32(1 - 1e-6))
         if len(group):
             mine, other = place[group, row], place[group, best[group, row, column]]
-            out.append((nbr[mine], nbr[other], near[group, row, column].astype(np.float32)))
-    if not out:
-        return pd.DataFrame({"id": [], "nbr": [], "d": []}).astype({"id": "int64", "nbr": "int64", "d": "float32"})
-    found = pd.DataFrame(dict(zip(("id", "nbr", "d"), map(np.concatenate, zip(*out)))))
-    return found.groupby(["id", "nbr"], as_index=False).min()
+            out.append((nbr[mine], nbr[other], near[group, row, column]))
+    found = list(map(np.concatenate, zip(*out)))
+    kept = _shortest(*found, NEIGHBOURS)
+    return _edges(*[x[kept] for x in found])
 
 
 def _bundle(key: str, count: int) -> Column:
@@ -170,60 +212,73 @@ def _bundle(key: str, count: int) -> Column:
 
 
 def build(found: DataFrame) -> DataFrame:
-    """The graph (id, nbr, d) of nodes (id, vec), d the squared distance."""
+    """The graph (id, nbr, d) of nodes (id, code), d the squared distance."""
     count = found.count()
-    graph = keep(_start(found, count), "graph")
     ship(found.sparkSession)
-    total = None
+    graph, total = keep(_start(found, count), "graph"), None
     for _ in range(ROUNDS):
-        radius = graph.groupBy("id").agg(F.when(F.count("*") >= NEIGHBOURS, F.max("d")).alias("radius"))
-        known = found.join(radius, "id", "left").select(
-            F.col("id").alias("nbr"), "vec", F.coalesce("radius", F.lit(float("inf")).cast("float")).alias("radius")
+        full = F.when(F.count("*") >= NEIGHBOURS, F.max("d")).alias("radius")
+        known = found.join(graph.groupBy("id").agg(full), "id", "left").select(
+            F.col("id").alias("nbr"), "code", F.coalesce("radius", F.lit(float("inf")).cast("float")).alias("radius")
         )
-        around = _around(graph).join(known, "nbr").select(_bundle("id", count), "id", "nbr", "vec", "radius")
+        around = _around(graph, count).join(known, "nbr").select(_bundle("id", count), "id", "nbr", "code", "radius")
         offers = around.groupBy("bundle").applyInPandas(_local_joins, EDGE)
-        graph = keep(_nearest(graph.unionByName(offers)), "graph")
-        # Lists that are not full yet count as very long.
+        graph = keep(_top(graph.unionByName(offers), NEIGHBOURS, count), "graph")
         size = graph.agg(F.sum("d").alias("d"), F.count("*").alias("n")).first()
         new = (size["n"], size["d"] or 0.0)
+        # Longer lists are progress, too.
         if total is not None and new[0] == total[0] and new[1] >= total[1] * (1 - SHRINK):
             break
         total = new
     return graph
 
 
-def _with_distance(pairs: DataFrame, found: DataFrame, queries: DataFrame) -> DataFrame:
-    """query_id, id and d (distance, not squared) of pairs (query_id, id)."""
+def _with_distance(pairs: DataFrame, found: DataFrame, queries: DataFrame, exact: bool) -> DataFrame:
+    """query_id, id and d (the distance) of pairs (query_id, id), from codes or original vectors."""
+    column, read = ("vec", _matrix) if exact else ("code", _decoded)
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                apart = _matrix(batch.column("vec")) - _matrix(batch.column("query"))
-                d = np.sqrt((apart * apart).sum(1))
+                apart = read(batch.column(column)) - read(batch.column("query"))
+                d = np.sqrt((apart * apart).sum(1).astype(np.float64))
                 yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("id"), pa.array(d)], ["query_id", "id", "d"])
 
-    both = pairs.join(found, "id").join(queries.select("query_id", F.col("vec").alias("query")), "query_id")
-    return map_batches(both.select("query_id", "id", "vec", "query"), turn, "query_id bigint, id bigint, d double")
+    both = pairs.join(found.select("id", column), "id").join(queries.select("query_id", F.col(column).alias("query")), "query_id")
+    return map_batches(both.select("query_id", "id", column, "query"), turn, "query_id bigint, id bigint, d double")
+
 
+def search(queries: DataFrame, found: DataFrame, graph: DataFrame, count: int) -> DataFrame:
+    """query_id and id of the ``POOL`` nearest nodes found of each query (query_id, id, code).
+
+    ``state`` of a node in a pool: 0 not expanded, 1 to be expanded in the next hop, 2 expanded.
+    """
+    # A node has at most NEIGHBOURS + REVERSE links.
+    links = _around(graph, count).groupBy("id").agg(F.collect_set("nbr").alias("nbrs"))
+    links = keep(links, "links")
+    state = "query_id bigint, id bigint, d double, state int"
+    pool = keep(queries.select("query_id", "id", F.lit(0.0).alias("d"), F.lit(1).alias("state")), "pool")
+    size = queries.count()
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("state", ascending=False, kind="stable").drop_duplicates(["query_id", "id"])
+        rows = rows.iloc[_shortest(rows["query_id"].to_numpy(), rows["id"].to_numpy(), rows["d"].to_numpy(), POOL)]
+        states, owners = rows["state"].to_numpy().copy(), rows["query_id"].to_numpy()
+        waiting = np.flatnonzero(states == 0)
+        order = np.arange(len(waiting)) - np.searchsorted(owners[waiting], owners[waiting])
+        states[waiting[order < EXPANDED]] = 1
+        return rows[["query_id", "id", "d"]].assign(state=states)
 
-def search(queries: DataFrame, found: DataFrame, graph: DataFrame) -> DataFrame:
-    """query_id, id and d of the nearest nodes found of each query (query_id, id: its node, vec)."""
-    links = keep(_around(graph), "links")
-    pool = keep(queries.select("query_id", "id", F.lit(0.0).alias("d"), F.lit(False).alias("done")), "pool")
     for _ in range(HOPS):
-        ranked = top_per_group(pool.where("not done"), "query_id", [F.asc("d"), F.asc("id")], ["id"], EXPANDED, salts=1)
-        front = keep(ranked.select("query_id", "id"), "front")
-        if front.isEmpty():
+        front = pool.where("state = 1").select("query_id", "id")
+        met = front.join(links, "id").select("query_id", F.explode("nbrs").alias("id")).distinct()
+        new = _with_distance(met, found, queries, exact=False).withColumn("state", F.lit(0))
+        old = pool.withColumn("state", F.when(F.col("state") == 1, 2).otherwise(F.col("state")))
+        bundle = F.pmod(F.xxhash64("query_id"), F.lit(size // 64 + 1)).alias("bundle")
+        pool = keep(old.unionByName(new).groupBy(bundle).applyInPandas(merge, state), "pool")
+        if pool.where("state = 1").isEmpty():
             break
-        # Two joins by id; a node in very many fronts is cut by the skew join.
-        seen = front.join(links, "id").select("query_id", F.col("nbr").alias("id")).distinct()
-        new = seen.join(pool.select("query_id", "id"), ["query_id", "id"], "left_anti")
-        new = _with_distance(new, found, queries).withColumn("done", F.lit(False))
-        front = front.withColumn("now", F.lit(True))
-        old = pool.join(front, ["query_id", "id"], "left").select("query_id", "id", "d", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-        best = top_per_group(old.unionByName(new), "query_id", [F.asc("d"), F.asc("id")], ["id"], POOL, salts=1)
-        pool = keep(best.drop("rank"), "pool")
-    return pool.drop("done")
+    return pool.select("query_id", "id")
 
 
 def nearest(rows: DataFrame, wanted: Column, key: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
@@ -234,11 +289,12 @@ def nearest(rows: DataFrame, wanted: Column, key: str = "vec_id", vector: str =
     if k >= MEMBERS:
         raise ValueError(f"k is at most {K}")
     found, members, marked = nodes(usable(rows, key, vector))
-    graph = build(found.select("id", "vec"))
+    graph = build(found.select("id", "code"))
     # A query's vector is that of its node; ids beyond MEMBERS are queries, too, though no results.
     queries = marked.where(wanted).withColumnRenamed("vec_id", "query_id").join(found, "mark").drop("mark")
-    queries, found = keep(queries, "queries"), found.select("id", "vec")
-    hits = search(queries, found, graph)
+    queries = keep(queries, "queries")
+    pool = search(queries, found, graph, found.count())
+    hits = _with_distance(pool, found, queries, exact=True)
     offers = hits.join(members, "id").where("vec_id <> query_id").select("query_id", "vec_id", F.col("d").alias("score"))
     best = top_per_group(offers, "query_id", [F.asc("score"), F.asc("vec_id")], ["vec_id"], k, salts=1)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
