@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm import ann, bpe, decontam, langid, ngram_join, quality, secrets, toxicity, warc
+from inkwell.llm import ann, bpe, decontam, langid, licenses, ngram_join, quality, secrets, toxicity, warc
 from inkwell.sources.tables import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -63,6 +63,10 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op8_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents"))
+
+
 def op9_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -76,7 +80,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scans, op2_language_id, op3_toxicity, op4_ngram_jaccard_join, op5_bpe, op6_quality, op7_decontamination,
-        op9_nearest_neighbours, op10_warc,
+        op8_license_scans, op9_nearest_neighbours, op10_warc,
     )
 }
 # Payloads and the archive's decisions, as SQL sees them.
