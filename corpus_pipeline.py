@@ -34,13 +34,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows that share a doc_id are one document and stay together.
     """
     groups = ngram_join.classes(docs.select("doc_id", "text"))
-    dropped = groups.where(F.col("class_id") != F.col("doc_id")).select("doc_id")
+    dropped = keep(groups.where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct(), "dropped")
     return docs.select(*DOCUMENT).join(dropped, "doc_id", "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    found = keep(found, "contaminated")
     return docs.select(*DOCUMENT).join(found, "doc_id", "left_anti")
 
 

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from inkwell.llm import textnum
 from inkwell.llm.shipping import map_batches, ship
+from inkwell.llm.sieve import sieve
 from inkwell.session import keep
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -342,7 +343,7 @@ def verified(documents: DataFrame, texts: DataFrame, groups: DataFrame, key: str
                 )
 
     columns = [key, "component", "blocks", "copies"]
-    wanted = documents.select(key, "text").join(members.drop("n"), key)
+    wanted = sieve(documents.select(key, "text"), members, key).join(members.drop("n"), key)
     schema = f"`{key}` {kind}, component {kind}, blocks int, copies bigint, shingles binary"
     loaded = map_batches(wanted.select(*columns, "s1", "s2", "text"), sets, schema)
     side = F.pmod(F.xxhash64(key, F.lit(9)), F.col("blocks")).cast("int")

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,12 +171,13 @@ def fit(
             )
 
     found = map_batches(sample, turn, "key string, label int, buckets binary, shares binary").toArrow()
-    found = found.sort_by([("key", "ascending"), ("label", "ascending")])
-    bagged = [
-        (np.frombuffer(x, np.uint32), np.frombuffer(w, np.float32))
-        for x, w in zip(found.column("buckets").to_pylist(), found.column("shares").to_pylist())
-    ]
-    return train(bagged, np.array(found.column("label").to_pylist(), int), **settings)
+    # Sorted, for the same model whatever the order of the rows; buffers are not copied.
+    order = pc.sort_indices(found, [("key", "ascending"), ("label", "ascending")]).to_numpy()
+    column = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in found.column(name)]
+    bagged = list(zip(column("buckets", np.uint32), column("shares", np.float32)))
+    labels = found.column("label").to_numpy()[order]
+    bagged = [bagged[i] for i in order]
+    return train(bagged, labels, **settings)
 
 
 def apply(documents: DataFrame, model: Model, featurize: Featurizer, score: str) -> DataFrame:
