@@ -1,0 +1,123 @@
+import random
+
+import duckdb
+from helpers import ODD, documents, links, shingles, words
+
+from inkwell.llm import decontam, licenses, ngram_join, queries
+from inkwell.llm.sieve import sieve
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def changed(rng, base, share):
+    return " ".join(w if rng.random() > share else f"w{rng.randrange(10**6)}" for w in base)
+
+
+def groups_of(rng):
+    """Copies, near copies, texts that share a passage, and short ones."""
+    new = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    near, loose, passage = new(300), new(300), new(80)
+    texts = [changed(rng, near, 0.01) for _ in range(40)] + [changed(rng, loose, 0.03) for _ in range(25)]
+    texts += [" ".join(near)] * 10 + [" ".join(new(40) + passage + new(40)) for _ in range(20)]
+    return texts + ["one two three", "One, two three!", "one two", "five words are one shingle"] * 2
+
+
+def check(spark, texts):
+    found = ngram_join.classes(documents(spark, texts)).collect()
+    assert len(found) == len(texts) + 1
+    want = links(texts)
+    assert {r["doc_id"]: (r["class_id"], r["links"]) for r in found if r["doc_id"] is not None} == want
+    assert [(r["class_id"], r["links"]) for r in found if r["doc_id"] is None] == [(None, 0)]
+
+
+def test_links_equal_all_pairs(spark):
+    check(spark, groups_of(random.Random(3)) + ODD + ODD)
+
+
+def test_large_buckets_are_split_and_cut(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SMALL", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK", 12)
+    monkeypatch.setattr(ngram_join, "TILE", 6000)
+    check(spark, groups_of(random.Random(4)))
+
+
+def test_join_query_and_empty_table(spark):
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{FOLDER}/documents.parquet'").fetchall())
+    want = links([texts[i] for i in range(len(texts))])
+    rows = queries.op4_ngram_jaccard_join(spark, FOLDER).collect()
+    assert {r["doc_id"]: (r["class_id"], r["links"]) for r in rows} == want
+    assert ngram_join.classes(documents(spark, []).limit(0)).count() == 0
+
+
+def test_runs_reach_the_recall():
+    assert ngram_join.runs_needed(0.999) > ngram_join.runs_needed(0.9) >= 1
+
+
+def test_sieve_keeps_all_keys(spark):
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "'t' AS text")
+    kept = {r["doc_id"] for r in sieve(rows, rows.where("doc_id % 100 = 7"), "doc_id").collect()}
+    assert {i for i in range(20_000) if i % 100 == 7} <= kept and len(kept) < 260
+
+
+def edits(a, b):
+    line = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(line[j] + 1, new[-1] + 1, line[j - 1] + (x != y)))
+        line = new
+    return line[-1]
+
+
+def test_passages_are_found_up_to_the_distance(spark):
+    rng = random.Random(9)
+    new = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
+    items = [new(n) for n in (1, 2, 4, 8, 15, 20, 30, 45, 60, 60)]
+    texts, want = [], set()
+    for k, item in enumerate(items):
+        for _ in range(12):
+            w = list(item)
+            for _ in range(int(0.2 * len(item))):
+                at = rng.randrange(len(w))
+                w[at : at + rng.randrange(2)] = [f"n{rng.randrange(10**6)}"] * rng.randrange(2)
+            texts.append(" ".join([f"f{rng.randrange(10**6)}" for _ in range(50)] + w + ["end."] * 3).title())
+            want.add((len(texts) - 1, k))
+    rows = documents(spark, texts + ODD)
+    benchmark = spark.createDataFrame(
+        [*[(k, " ".join(w), 1) for k, w in enumerate(items)], (97, None, 1), (98, "", 1), (None, "x y", 1)], "item_id bigint, text string, edits int")
+    found = decontam.contaminated(rows, benchmark).collect()
+    pairs = {(r["doc_id"], r["item_id"]) for r in found}
+    assert len(want - pairs) <= 2
+    for r in found:
+        assert edits(items[r["item_id"]], words((texts + ODD)[r["doc_id"]][r["start"] : r["end"]])) == r["edits"]
+        assert r["edits"] <= int(0.2 * len(items[r["item_id"]]) + 1e-9)
+    small = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(rows, benchmark, portion=600).collect()}
+    assert small == pairs
+    assert decontam.contaminated(rows.limit(0), benchmark).count() == 0
+    assert decontam.contaminated(rows, benchmark.limit(0)).count() == 0
+
+
+def test_decontamination_query_finds_all_copies(spark):
+    connection = duckdb.connect()
+    exact = connection.sql(
+        f"SELECT doc_id, item_id FROM '{FOLDER}/documents.parquet' d, '{FOLDER}/benchmark.parquet' b WHERE contains(d.text, b.text)").fetchall()
+    rows = queries.op7_decontamination(spark, FOLDER).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows if r["edits"] == 0} >= set(exact)
+
+
+def test_licenses_equal_brute_force(spark):
+    rng = random.Random(2)
+    texts = list(ODD) + list(licenses.TEMPLATES.values()) * 2
+    for text in licenses.TEMPLATES.values():
+        w = text.split()
+        texts.append(" ".join(["filler"] * rng.randrange(300) + w[: int(len(w) * 0.93) + 1] + ["more words here"] * 50))
+        texts.append(changed(rng, w, 0.5))
+    rows = licenses.scan(documents(spark, texts)).collect()
+    want = {
+        (i, name) for i, text in enumerate(texts) for name, template in licenses.TEMPLATES.items()
+        if len(shingles(text) & shingles(template)) >= 0.8 * len(shingles(template))
+    }
+    assert {(r["doc_id"], r["license"]) for r in rows if r["doc_id"] is not None} == want
+    for r in rows:
+        assert set(words(texts[r["doc_id"]][r["start"] : r["end"]])) <= set(words(licenses.TEMPLATES[r["license"]]))
+    assert licenses.scan(documents(spark, []).limit(0)).count() == 0
