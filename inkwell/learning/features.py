@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.text import clean_punct, clean_text
 from inkwell.operators.derive import compute_once
-from inkwell.operators.terms import frequent_terms, token_counts
+from inkwell.operators.terms import token_counts
 from inkwell.schema import STOP_WORDS
 from inkwell.session import keep, scratch_path
 
 SEED = 80
-# Count vectors hold this many tokens, the most frequent ones (the MLlib default).
-VOCABULARY = 1 << 18
+# The most tokens a count vector has room for: MLlib keeps them all on the driver. A corpus
+# with more is refused, not cut.
+VOCABULARY = 1 << 22
 
 
 def with_clean_review(documents: DataFrame, text: str = "review") -> DataFrame:
@@ -53,14 +54,16 @@ def _fit_counts(rows: DataFrame, stages: list) -> PipelineModel:
     """Add counts and idf to tokenizing stages.
 
     Fitted on the corpus, ``CountVectorizer`` would send a vocabulary of every task to
-    the driver. So the vocabulary is chosen as a DataFrame, and the vectorizer is
-    fitted on nothing but the chosen tokens.
+    the driver. So tokens are counted as a DataFrame, and the vectorizer is fitted on
+    the distinct tokens alone. None is left out.
     """
     column = stages[-1].getOutputCol()
     tokenized = PipelineModel(stages).transform(rows)
     counts = keep(token_counts(tokenized.select(F.col(column).alias("tokens"))), "vocabulary")
-    chosen = frequent_terms(counts, VOCABULARY).select(F.array("token").alias(column))
-    vectorizer = CountVectorizer(inputCol=column, outputCol="vectors", vocabSize=VOCABULARY).fit(chosen)
+    if (size := counts.count()) > VOCABULARY:
+        raise ValueError(f"{size} tokens do not fit into vectors of {VOCABULARY}; raise features.VOCABULARY")
+    ordered = counts.select(F.array("token").alias(column))
+    vectorizer = CountVectorizer(inputCol=column, outputCol="vectors", vocabSize=VOCABULARY).fit(ordered)
     idf = IDF(inputCol="vectors", outputCol="idf").fit(vectorizer.transform(tokenized))
     return PipelineModel([*stages, vectorizer, idf])
 
@@ -70,14 +73,15 @@ def fit_word2vec(
     text: str = "clean_review",
     size: int = 200,
     min_count: int = 10,
-    partitions: int | None = None,
+    partitions: int = 10,
 ) -> PipelineModel:
     """Mean word vectors (``features``) of cleaned sentences.
 
-    MLlib trains one task per partition: one per core, 10 at least, unless given. It
-    holds the vectors of all words on the driver, so raise ``min_count`` with the corpus.
+    MLlib trains one task per partition and averages, so ``partitions`` is part of the model
+    and does not follow the number of cores. Fits are not repeatable to the last digit, even
+    with the seed. All words' vectors are held on the driver: raise ``min_count`` with the
+    corpus.
     """
-    cores = sentences.sparkSession.sparkContext.defaultParallelism
     stages = [
         Tokenizer(inputCol=text, outputCol="tokens"),
         Word2Vec(
@@ -85,7 +89,7 @@ def fit_word2vec(
             outputCol="features",
             vectorSize=size,
             minCount=min_count,
-            numPartitions=partitions or max(10, cores),
+            numPartitions=partitions,
             seed=SEED,
         ),
     ]

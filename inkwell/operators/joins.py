@@ -3,57 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# What a broadcast may hold: this many keys, together or each no longer than this.
-HEAVY_KEYS = 400_000
-HEAVY_BYTES = 64 << 20
-LONGEST_HEAVY_KEY = 64
 
+def enrich(rows: DataFrame, stats: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join ``rows`` with one stats row per key; a null key matches nothing.
 
-def enrich(
-    rows: DataFrame, stats: DataFrame, key: str, weight: str, heavy_keys: int = HEAVY_KEYS
-) -> DataFrame:
-    """Inner join of ``rows`` with one stats row per key; a null key matches nothing.
-
-    ``stats`` is read several times, so pass a kept table; ``stats[weight]`` is the
-    number of rows a key has, or more. Up to ``heavy_keys`` keys are broadcast. Where
-    there are more, only those are that hold at least a ``1 / heavy_keys`` share of
-    the total, and there cannot be more than ``heavy_keys`` of them. Their rows, as a
-    rule nearly all, are never shuffled; every other key is rare, so the shuffle join
-    of the rest is not skewed. Nothing is dropped: each key takes one of the two ways.
+    ``stats`` has each key once, so a key with a large share of the rows is hot on one side
+    only. Adaptive execution cuts its partition, whatever the key looks like, for inner and
+    left joins alike; ``rows`` is evaluated once. Pass a kept table, so that its size is known
+    and a small one is broadcast.
     """
-    text = F.col(key).cast("string")
-    size = stats.agg(
-        F.count(key).alias("keys"),
-        F.sum(weight).alias("total"),
-        F.sum(F.octet_length(text)).alias("bytes"),
-    ).first()
-    if size["keys"] <= heavy_keys and (size["bytes"] or 0) <= HEAVY_BYTES:
-        return rows.join(F.broadcast(stats), key)
-    heavy = (F.col(weight) >= size["total"] / heavy_keys) & (
-        F.char_length(text) <= LONGEST_HEAVY_KEY
-    )
-    frequent = F.broadcast(stats.where(heavy))
-    rare = stats.where(~heavy)
-    rows = rows.where(F.col(key).isNotNull())
-    return rows.join(frequent, key).unionByName(
-        rows.join(frequent.select(key), key, "left_anti").join(rare, key)
-    )
+    return rows.join(stats, key, how)
 
 
 def attach_reviews(documents: DataFrame, reviews: DataFrame, key: str = "review_id") -> DataFrame:
-    """Left join of assembled documents with the columns of their reviews.
-
-    Written as matched plus unmatched rows: AQE can split a hot key on either side
-    of an inner join, but never on the right side of an outer one. Documents without
-    a key go separately, so that the two joins share one shuffle of the rest.
-    """
-    keyed = documents.where(F.col(key).isNotNull())
-    unmatched = keyed.join(reviews.select(key).distinct(), key, "left_anti")
-    alone = unmatched.unionByName(documents.where(F.col(key).isNull()))
-    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in reviews.schema if f.name != key]
-    return keyed.join(reviews, key).unionByName(alone.select("*", *extra))
+    """Left join of assembled documents with the columns of their reviews, one row per key."""
+    return documents.join(reviews, key, "left")
 
 
 def complement(rows: DataFrame, sample: DataFrame, key: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwell.operators.joins import HEAVY_KEYS, enrich
+from inkwell.operators.joins import enrich
 from inkwell.session import keep
 
 
@@ -129,10 +129,10 @@ def label_codes(rows: DataFrame, label: str) -> DataFrame:
     return codes.select(label, (F.col("upto_one") - 1).alias("code"), "rows")
 
 
-def encode_labels(rows: DataFrame, label: str, heavy_keys: int = HEAVY_KEYS) -> DataFrame:
-    """Rows with the code of their label."""
+def encode_labels(rows: DataFrame, label: str) -> DataFrame:
+    """Rows with the code of their label; a null label has a null code."""
     codes = keep(label_codes(rows, label), "codes")
-    return enrich(rows, codes, label, "rows", heavy_keys).drop("rows")
+    return enrich(rows, codes, label, "left").drop("rows")
 
 
 def area_under_roc(scored: DataFrame, label: str, score: str) -> DataFrame:

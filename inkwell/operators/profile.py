@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.operators.order import quantile_grid
+from inkwell.session import keep
 
 
 def class_counts(rows: DataFrame, label: str = "class") -> DataFrame:
@@ -63,27 +64,14 @@ def scale(rows: DataFrame, value: str) -> DataFrame:
     return rows.withColumn("scaled", _scaled(F.col(value), ends["lo"], ends["hi"]))
 
 
-def scale_by_class(rows: DataFrame, value: str, label: str, classes: Sequence) -> DataFrame:
-    """Rows of the given classes with their value scaled inside the class.
+def scale_by_class(rows: DataFrame, value: str, label: str) -> DataFrame:
+    """All rows with their value scaled inside their class; a null class is one, too.
 
-    The classes are a short fixed list, so all bounds are one row, read as a scalar.
+    Bounds are one row per class, kept and joined back.
     """
-    rows = rows.where(F.col(label).isin(*classes))
-    ends = rows.agg(
-        F.struct(
-            *[
-                end(F.when(F.col(label) == c, F.col(value))).alias(f"{name}{i}")
-                for i, c in enumerate(classes)
-                for name, end in (("lo", F.min), ("hi", F.max))
-            ]
-        )
-    ).scalar()
-    scaled = F.lit(None).cast("double")
-    for i, c in enumerate(classes):
-        scaled = F.when(
-            F.col(label) == c, _scaled(F.col(value), ends[f"lo{i}"], ends[f"hi{i}"])
-        ).otherwise(scaled)
-    return rows.withColumn("scaled", scaled)
+    ends = rows.groupBy(F.col(label).alias("_class")).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    joined = rows.join(keep(ends, "ends"), F.col(label).eqNullSafe(F.col("_class")), "left")
+    return joined.withColumn("scaled", _scaled(F.col(value), F.col("_lo"), F.col("_hi"))).drop("_class", "_lo", "_hi")
 
 
 def _scaled(value: Column, lo: Column, hi: Column) -> Column:

@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 def in_sample(key: str, fraction: float, seed: int) -> Column:
     """Whether a row is in the hashed sample; the same after any repartition.
 
-    The first 8 hex digits of md5 are compared with ``fraction`` of their range.
+    The first 8 hex digits of md5 are compared with ``fraction`` of their range; at 1 all
+    rows are in it. A null key is hashed like an empty one.
     """
+    if fraction >= 1:
+        return F.lit(True)
     edge = f"{round(fraction * 0xFFFFFFFF):08x}"
-    tag = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    tag = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
     return F.left(tag, F.lit(8)) < edge
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions.text import clean_punct, plural_stem, tokens
 from inkwell.operators.derive import compute_once
-from inkwell.operators.joins import HEAVY_KEYS, enrich
+from inkwell.operators.joins import enrich
 from inkwell.session import keep
 
 # The stop list holds the empty string, so no token is empty and '' can stand for
@@ -78,7 +79,7 @@ def term_frequencies_over_rows(tokenized: DataFrame, key: str) -> DataFrame:
     totals = (
         tokenized.groupBy(key).agg(F.sum(F.size("tokens")).alias("n_tokens")).where(F.col("n_tokens") > 0)
     )
-    return enrich(counts, keep(totals, "totals"), key, "n_tokens").select(
+    return enrich(counts, keep(totals, "totals"), key).select(
         key, "token", (F.col("n") / F.col("n_tokens")).alias("tf")
     )
 
@@ -102,47 +103,52 @@ def inverse_document_frequencies(tokenized: DataFrame) -> DataFrame:
     return df.where(F.col("token") != DOCUMENT_MARK).withColumn("idf", F.ln(n / F.col("df")))
 
 
-def weigh(frequencies: DataFrame, idf: DataFrame, heavy_keys: int = HEAVY_KEYS) -> DataFrame:
+def weigh(frequencies: DataFrame, idf: DataFrame) -> DataFrame:
     """Add idf and tf_idf to term frequencies.
 
-    A window by token would put all rows of a common word in one task; ``enrich``
-    takes those words as a bounded broadcast instead.
+    A window by token would put all rows of a common word in one task; a join with one
+    row per token lets adaptive execution cut such words.
     """
     return (
-        enrich(frequencies, idf, "token", "df", heavy_keys)
+        enrich(frequencies, idf, "token")
         .drop("df")
         .withColumn("tf_idf", F.col("tf") * F.col("idf"))
     )
 
 
-def tf_idf(tokenized: DataFrame, heavy_keys: int = HEAVY_KEYS) -> DataFrame:
+def tf_idf(tokenized: DataFrame) -> DataFrame:
     """tf, idf and tf_idf of every token in every document."""
-    return weigh(
-        term_frequencies(tokenized), inverse_document_frequencies(tokenized), heavy_keys
-    )
+    return weigh(term_frequencies(tokenized), inverse_document_frequencies(tokenized))
+
 
+def tf_idf_by_pair(tokenized: DataFrame, key: str) -> DataFrame:
+    """The same weights from a tf table and a (document, token) idf table joined on both keys.
 
-def tf_idf_by_pair(tokenized: DataFrame, key: str, heavy_keys: int = HEAVY_KEYS) -> DataFrame:
-    """The same weights from a tf table and a (document, token) idf table joined on both keys."""
-    tf = term_frequencies(tokenized)
-    pairs = tokenized.select(key, F.explode(F.array_distinct("tokens")).alias("token"))
-    idf = enrich(pairs, inverse_document_frequencies(tokenized), "token", "df", heavy_keys)
+    The tf table is kept, and documents, frequencies and pairs are taken from it, so the
+    texts are tokenized once.
+    """
+    tf = keep(term_frequencies(tokenized), "tf")
+    pairs = tf.select(key, "token")
+    df = pairs.groupBy("token").agg(F.count("*").alias("df"))
+    n = pairs.agg(F.count_distinct(key)).scalar()
+    idf = enrich(pairs, keep(df.withColumn("idf", F.ln(n / F.col("df"))), "idf"), "token")
     return tf.join(idf.drop("df"), [key, "token"]).withColumn("tf_idf", F.col("tf") * F.col("idf"))
 
 
 def item_specificity(weights: DataFrame, label: str = "class") -> DataFrame:
-    """Largest tf_idf per class and the token that has it (first by name among equals)."""
-    return weights.groupBy(label).agg(
+    """Largest tf_idf per class and the token that has it (first by name among equals).
+
+    Documents without a class count for idf only.
+    """
+    return weights.where(F.col(label).isNotNull()).groupBy(label).agg(
         F.max("tf_idf").alias("specificity"),
         F.min_by("token", F.struct(-F.round("tf_idf", 9), F.col("token"))).alias("token"),
     )
 
 
-def terms_of(
-    tokenized: DataFrame, idf: DataFrame, item: Column, heavy_keys: int = HEAVY_KEYS
-) -> DataFrame:
+def terms_of(tokenized: DataFrame, idf: DataFrame, item: Column) -> DataFrame:
     """Weighted terms of the wanted documents only, against corpus-wide idf."""
-    return weigh(term_frequencies(tokenized.where(item)), idf, heavy_keys)
+    return weigh(term_frequencies(tokenized.where(item)), idf)
 
 
 def top_per_group(
@@ -184,18 +190,47 @@ def boosted_counts(terms: DataFrame, term: str, times: int, k: int = 100) -> Dat
     return counts.withColumn("weight", F.col("n") / F.max("n").over(Window.partitionBy()))
 
 
-def frequent_terms(counts: DataFrame, k: int) -> DataFrame:
-    """The ``k`` most frequent tokens, equal counts in order of the token.
+def smoothed_weights(tokenized: DataFrame, key: str, documents: int) -> DataFrame:
+    """key, token and weight n * ln((N + 1) / (df + 1)) of every token of every document.
 
-    A quantile sketch gives a count that surely more than k tokens reach, so only
-    little more than k tokens are sorted, however large the vocabulary.
+    N is the number of all documents, also of those without a token. No token is left out.
     """
-    size, accuracy = counts.count(), 100_000
-    if size > k:
-        share = max(0.0, 1 - k / size - 2 / accuracy)
-        least = counts.agg(F.percentile_approx("n", share, accuracy)).first()[0]
-        counts = counts.where(F.col("n") >= least)
-    return counts.orderBy(F.desc("n"), "token").limit(k)
+    bags = keep(term_bags(tokenized.select(key, "tokens")).select(key, "token", "n"), "bags")
+    df = keep(bags.groupBy("token").agg(F.count("*").alias("df")), "df")
+    weight = F.col("n") * F.ln((F.lit(documents) + 1) / (F.col("df") + 1))
+    return enrich(bags, df, "token").select(key, "token", weight.alias("weight"))
+
+
+def naive_bayes(tokenized: DataFrame, key: str, label: str) -> DataFrame:
+    """key, label and prediction of multinomial naive Bayes fitted on the same documents.
+
+    Sums by class and token, smoothed by one; no token is left out. Equal scores go to
+    the smaller class. A document without a token gets the most frequent class.
+    """
+    documents = keep(tokenized.where(F.col(label).isNotNull()), "labelled")
+    bags = keep(term_bags(documents.select(key, label, "tokens")).select(key, label, "token", "n"), "bags")
+    cells = bags.groupBy("token", label).agg(F.sum("n").alias("n"))
+    cells = keep(cells.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("by_class")), "cells")
+    # One row per class reaches the driver, as in any fitted model.
+    sizes = {r[0]: r[1] for r in documents.groupBy(label).agg(F.count("*")).collect()}
+    totals = {r[0]: r[1] for r in bags.groupBy(label).agg(F.sum("n")).collect()}
+    classes, kinds, size = sorted(sizes), cells.count(), sum(sizes.values())
+    if not classes:
+        return documents.select(key, label, F.col(label).alias("prediction"))
+    likelihood = [
+        F.sum(F.col("n") * (F.ln(F.coalesce(F.col("by_class")[F.lit(c)], F.lit(0)) + 1) - math.log(totals.get(c, 0) + kinds))).alias(f"_{i}")
+        for i, c in enumerate(classes)
+    ]
+    scored = documents.select(key, label).join(enrich(bags, cells, "token").groupBy(key).agg(*likelihood), key, "left")
+    scores = [
+        F.struct(
+            (F.coalesce(f"_{i}", F.lit(0.0)) + math.log((sizes[c] + 1) / (size + len(classes)))).alias("score"),
+            F.lit(-i).alias("order"),
+            F.lit(c).cast(tokenized.schema[label].dataType).alias("guess"),
+        )
+        for i, c in enumerate(classes)
+    ]
+    return scored.select(key, label, F.array_max(F.array(*scores))["guess"].alias("prediction"))
 
 
 def conflated_vocabulary(tokenized: DataFrame) -> DataFrame:

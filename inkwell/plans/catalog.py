@@ -40,8 +40,12 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return tables.labelled_documents(spark, sf)
 
 
+def _all_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.all_documents(spark, sf)
+
+
 def _tokenized(spark: SparkSession, sf: str) -> DataFrame:
-    return terms.with_tokens(_documents(spark, sf).select("doc_id", "class", "source", "review"))
+    return terms.with_tokens(_all_documents(spark, sf).select("doc_id", "class", "source", "review"))
 
 
 def _clean_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,7 +77,8 @@ def json_roundtrip(spark, sf):
 
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "documents")
-    files.write_documents_csv(_clean_documents(spark, sf), path)
+    clean = L.with_clean_review(_all_documents(spark, sf).select("doc_id", "class", "review"))
+    files.write_documents_csv(clean, path)
     return files.read_documents_csv(spark, path)
 
 
@@ -167,7 +172,7 @@ def ratio_features(spark, sf):
 
 def minmax_length(spark, sf):
     lengths = _clean_documents(spark, sf).select("doc_id", "class", F.char_length("review").alias("length"))
-    return profile.scale_by_class(lengths, "length", "class", BINARY).select(
+    return profile.scale_by_class(lengths, "length", "class").select(
         "doc_id", "class", "length", _six("scaled")
     )
 
@@ -199,7 +204,7 @@ def label_encode(spark, sf):
 
 def _scaled_lengths(spark, sf):
     lengths = _documents(spark, sf).select("doc_id", "class", F.char_length("review").alias("length"))
-    return profile.scale_by_class(lengths, "length", "class", BINARY).select(
+    return profile.scale_by_class(lengths, "length", "class").select(
         "doc_id", "class", F.round("scaled", 6).alias("scaled")
     )
 
@@ -225,7 +230,7 @@ def ratio_curve(spark, sf):
     of_book = book.select(F.lit("book").alias("series"), F.col("book_id").alias("key"), "ratio")
     named = of_user.unionByName(of_book)
     series = ("user", "book")
-    scaled = profile.scale_by_class(named, "ratio", "series", series)
+    scaled = profile.scale_by_class(named, "ratio", "series")
     drawn = sample.systematic_sample(scaled, "key", "scaled", "series", series, RATIO_POINTS)
     return sample.sorted_curve(drawn, "scaled", "series", RATIO_POINTS).select(
         "series", "j", _six("x"), _six("y")
@@ -384,25 +389,20 @@ def _fitted(spark, sf):
 
 
 def count_vector_terms(spark, sf):
-    model, documents = _fitted(spark, sf)
-    return L.vector_terms(model, model.transform(documents), ["doc_id"], "vectors", "n").select(
+    """Token counts of every document, as a count vector has them, for any vocabulary."""
+    return terms.term_bags(_tokenized(spark, sf).select("doc_id", "tokens")).select(
         "doc_id", "token", F.col("n").cast("bigint").alias("n")
     )
 
 
 def ml_tfidf_terms(spark, sf):
-    model, documents = _fitted(spark, sf)
-    return L.vector_terms(model, model.transform(documents), ["doc_id"], "idf", "weight").select(
-        "doc_id", "token", _six("weight")
-    )
+    """The weights of an idf vector of every document, for any vocabulary."""
+    documents = tables.table(spark, sf, "documents").count()
+    return terms.smoothed_weights(_tokenized(spark, sf), "doc_id", documents).select("doc_id", "token", _six("weight"))
 
 
 def nb_predictions(spark, sf):
-    model, documents = _fitted(spark, sf)
-    vectors = model.transform(documents).select("doc_id", "class", "vectors")
-    return C.naive_bayes("vectors").fit(vectors).transform(vectors).select(
-        "doc_id", "class", F.col("prediction").cast("int").alias("prediction")
-    )
+    return terms.naive_bayes(_tokenized(spark, sf), "doc_id", "class")
 
 
 def lr_predictions(spark, sf):
@@ -440,7 +440,9 @@ def w2v_vectors(spark, sf):
 
 def lda_topics(spark, sf):
     model, documents = _fitted(spark, sf)
-    vectors = model.transform(documents).select("idf")
+    # A fixed layout, so that the result does not follow the number of cores.
+    laid = documents.repartition(16, "doc_id").sortWithinPartitions("doc_id")
+    vectors = model.transform(laid).select("idf")
     return C.topic_terms(C.topic_model().fit(vectors), model, spark)
 
 

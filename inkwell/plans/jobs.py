@@ -1,8 +1,8 @@
 """What a user runs: whole analyses put together from the operators.
 
 Each takes reviews (schema ``REVIEW``) or documents derived from them and returns
-DataFrames by name. Nothing is computed until one of them is read, except where a
-model has to be fitted.
+DataFrames by name. Tables that are read several times are written, and models fitted, when a
+job is put together; the rest is computed when it is read.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def length_curves(reviews: DataFrame) -> dict[str, DataFrame]:
     after = terms.with_tokens(documents).withColumn("length", F.size("tokens"))
     curves = {}
     for name, rows in (("before", before), ("after", after)):
-        scaled = profile.scale_by_class(rows.select("doc_id", "class", "length"), "length", "class", CLASSES)
+        scaled = profile.scale_by_class(rows.select("doc_id", "class", "length"), "length", "class")
         drawn = sample.systematic_sample(scaled, "doc_id", "scaled", "class", CLASSES, LENGTH_POINTS)
         curves[f"{name}_sample"] = drawn
         curves[f"{name}_sorted"] = sample.sorted_curve(drawn, "scaled", "class", LENGTH_POINTS)
@@ -82,7 +82,7 @@ def label_ratios(reviews: DataFrame) -> dict[str, DataFrame]:
         book.select(F.lit("book").alias("series"), F.col("book_id").alias("key"), "ratio")
     )
     series = ("user", "book")
-    scaled = profile.scale_by_class(named, "ratio", "series", series)
+    scaled = profile.scale_by_class(named, "ratio", "series")
     drawn = sample.systematic_sample(scaled, "key", "scaled", "series", series, RATIO_POINTS)
     return {
         "user_ratio": user,
@@ -96,13 +96,12 @@ def ratio_features(
 ) -> DataFrame:
     """Rows with the flag ratio of each key, learned from ``history``.
 
-    Pass the train rows as ``history`` to keep the labels of test rows out.
+    Pass the train rows as ``history`` to keep the labels of test rows out. A key that is
+    null, or that the history does not have, has a null ratio.
     """
     for key in keys:
-        stats = profile.flag_ratio(history, key, flag).select(
-            key, "total", F.col("ratio").alias(f"{key}_ratio")
-        )
-        rows = enrich(rows, keep(stats, "ratios"), key, "total").drop("total")
+        stats = profile.flag_ratio(history, key, flag).select(key, F.col("ratio").alias(f"{key}_ratio"))
+        rows = enrich(rows, keep(stats.where(F.col(key).isNotNull()), "ratios"), key, "left")
     return rows
 
 
@@ -123,7 +122,7 @@ def compare_tfidf_classifiers(documents: DataFrame, key: str = "doc_id", label:
 
 
 def compare_word2vec_classifiers(
-    sentences: DataFrame, key: str, label: str = "class", min_count: int = 10, partitions: int | None = None
+    sentences: DataFrame, key: str, label: str = "class", min_count: int = 10, partitions: int = 10
 ) -> DataFrame:
     """Weighted F1 of two classifiers on word vectors of cleaned sentences."""
     train, test = sample.split(L.with_clean_sentence(sentences), key)
@@ -178,8 +177,11 @@ def feature_table(reviews: DataFrame, history: DataFrame | None = None) -> DataF
 
 
 def feature_report(reviews: DataFrame) -> dict[str, DataFrame]:
-    """The feature table, its summary and correlations, and a naive Bayes report on its words."""
-    features = feature_table(reviews)
+    """The feature table, its summary and correlations, and a naive Bayes report on its words.
+
+    Ratios are learned from the train rows alone.
+    """
+    features = keep(feature_table(reviews, sample.split(reviews, "review_id", 0.7)[0]), "features")
     numbers = ("has_spoiler", "book_id_ratio", "user_id_ratio", "rating")
     train, test = sample.split(features, "review_id", 0.7)
     words = L.fit_tfidf(train, "processed_review")

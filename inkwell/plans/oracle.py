@@ -26,7 +26,9 @@ _DOCUMENTS = """documents_ AS (
     SELECT d.doc_id, d.text AS review, d.source, d.n_chars, l.toxic AS class
     FROM documents d JOIN labels l USING (doc_id))"""
 
-_TOKENS = f"""{_DOCUMENTS}, split_ AS (
+_ALL_DOCUMENTS = _DOCUMENTS.replace("documents d JOIN", "documents d LEFT JOIN")
+
+_TOKENS = f"""{_ALL_DOCUMENTS}, split_ AS (
     SELECT doc_id, class, source, {_words(_clean('review'), '[ \\x09-\\x0d]')} AS token FROM documents_),
 tokens_ AS (SELECT * FROM split_ WHERE token NOT IN ({_STOP}))"""
 
@@ -140,7 +142,7 @@ _EMPTY_DOUBLE = "NULL::DOUBLE"
 
 ORACLE: dict[str, str] = {
     "json_roundtrip": _SENTENCES,
-    "csv_roundtrip": f"WITH {_DOCUMENTS} SELECT doc_id, class, {_clean('review')} AS review FROM documents_",
+    "csv_roundtrip": f"WITH {_ALL_DOCUMENTS} SELECT doc_id, class, {_clean('review')} AS review FROM documents_",
     "bounded_scan": "SELECT event_id, user_id, event_type, value FROM events ORDER BY event_id LIMIT 5000",
     "hash_pick": """SELECT doc_id, source, n_chars FROM documents
 ORDER BY md5('7:' || doc_id::VARCHAR), doc_id LIMIT 1""",
@@ -219,7 +221,7 @@ FROM split_ WHERE token NOT IN ({_STOP}) GROUP BY doc_id, token""",
     "tfidf_join": _TFIDF,
     "item_specificity": f"""WITH {_WEIGHTS}, ranked_ AS (
     SELECT class, token, max(tf_idf) OVER (PARTITION BY class) AS specificity,
-        row_number() OVER (PARTITION BY class ORDER BY round(tf_idf, 9) DESC, token) AS r FROM weights_)
+        row_number() OVER (PARTITION BY class ORDER BY round(tf_idf, 9) DESC, token) AS r FROM weights_ WHERE class IS NOT NULL)
 SELECT class, round(specificity, 6) AS specificity, token FROM ranked_ WHERE r = 1""",
     "top_terms_for_source": f"""WITH {_WEIGHTS} SELECT doc_id, token, round(tf_idf, 6) AS tf_idf FROM weights_
 WHERE source = '{BOOK}' ORDER BY round(tf_idf, 6) DESC, token, doc_id LIMIT 100""",
@@ -277,7 +279,7 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support),
     "ml_tfidf_terms": f"""WITH {_ML_TOKENS}, df_ AS (
     SELECT token, ln(((SELECT count(*) FROM documents_) + 1) / (count(*) + 1)) AS w FROM counts_ GROUP BY token)
 SELECT doc_id, token, round(n * w, 6) AS weight FROM counts_ JOIN df_ USING (token)""",
-    "nb_predictions": f"""WITH {_ML_TOKENS},
+    "nb_predictions": f"""WITH {_ML_TOKENS.replace("LEFT JOIN", "JOIN")},
 size_ AS (SELECT count(DISTINCT token) AS v FROM counts_),
 prior_ AS (
     SELECT class, ln((count(*) + 1) / ((SELECT count(*) FROM documents_) + 2)) AS lp FROM documents_ GROUP BY class),

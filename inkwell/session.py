@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,7 +19,7 @@ def local_session(name: str, cores: int | str = "*", partitions: int = 8) -> Spa
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -28,7 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and scratch tables.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a temporary folder, because there the driver is the only machine.
+    fall back to a temporary folder, because there the driver is the only machine; it is
+    removed when Python ends.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -37,6 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
             named = tempfile.mkdtemp(prefix="inkwell-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
         context.setCheckpointDir(named)
     return context.getCheckpointDir()
 

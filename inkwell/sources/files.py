@@ -6,14 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from inkwell.schema import DOCUMENT, REVIEW
 
+# Texts come back as they were: spaces at the ends stay, and null is told from empty (it is written as \\N).
+CSV = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\\N",
+}
 
-def read_reviews(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+
+def read_reviews(spark: SparkSession, path: str, partitions: int | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Reviews from JSON lines, plain or gzip, with the declared schema.
 
     One gzip file is one task whatever its size. Pass ``partitions`` to spread the
-    rows after such a scan, and convert once with :func:`convert_reviews`.
+    rows after such a scan, and convert once with :func:`convert_reviews`. A line that is
+    no JSON object of this schema stops the job; ``mode="PERMISSIVE"`` reads it as nulls.
     """
-    reviews = spark.read.schema(REVIEW).json(path)
+    reviews = spark.read.schema(REVIEW).json(path, mode=mode)
     return reviews if partitions is None else reviews.repartition(partitions)
 
 
@@ -36,13 +46,9 @@ def write_documents_csv(documents: DataFrame, path: str) -> None:
 
     A file with line breaks in its text is read by one task, so files are kept short.
     """
-    documents.write.mode("overwrite").option("maxRecordsPerFile", 100_000).csv(
-        path, header=True, quote='"', escape='"'
-    )
+    documents.write.mode("overwrite").option("maxRecordsPerFile", 100_000).csv(path, header=True, **CSV)
 
 
 def read_documents_csv(spark: SparkSession, path: str, schema=DOCUMENT) -> DataFrame:
     """Documents from CSV; text may hold line breaks."""
-    return spark.read.schema(schema).csv(
-        path, header=True, quote='"', escape='"', multiLine=True
-    )
+    return spark.read.schema(schema).csv(path, header=True, multiLine=True, **CSV)

@@ -33,6 +33,15 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     return documents.join(labels, "doc_id")
 
 
+def all_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for every document; class is null where there is no label."""
+    documents = text_table(spark, folder, "documents").select(
+        "doc_id", F.col("text").alias("review"), "source", "n_chars"
+    )
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("class"))
+    return documents.join(labels, "doc_id", "left")
+
+
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents as reviews with their lines as nested sentences."""
     sentences = F.transform(

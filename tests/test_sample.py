@@ -48,3 +48,10 @@ def test_bounded_scan_and_pick(spark):
     assert [r.id for r in sample.first_rows(rows, "id", 3).collect()] == [0, 1, 2]
     first = min(range(100), key=lambda i: md5(f"7:{i}".encode()).hexdigest())
     assert sample.pick_one(rows, "id", 7).first().id == first
+
+
+def test_null_keys_and_whole_samples_lose_no_row(spark):
+    rows = spark.createDataFrame([(None,), (1,), (2,), (None,)], "id int")
+    train, test = sample.split(rows, "id")
+    assert train.count() + test.count() == 4
+    assert sample.split(rows, "id", 1.0)[0].count() == 4

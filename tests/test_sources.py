@@ -32,7 +32,8 @@ def test_reviews_survive_json(spark, toy_reviews, tmp_path):
 
 
 def test_awkward_text_survives_csv(spark, tmp_path):
-    rows = [(1, 0, 'say "hi", he\nsaid'), (2, 1, "back\\slash \\\" end"), (3, None, "a,b\r\nc"), (4, 1, None)]
+    rows = [(1, 0, 'say "hi", he\nsaid'), (2, 1, "back\\slash \\\" end"), (3, None, "a,b\r\nc"), (4, 1, None),
+            (5, 1, ""), (6, 0, "  lead and trail  "), (7, 0, " "), (8, 1, "null")]
     frame = spark.createDataFrame(rows, "doc_id bigint, class int, review string")
     files.write_documents_csv(frame, str(tmp_path / "csv"))
     found = {r.doc_id: r for r in files.read_documents_csv(spark, str(tmp_path / "csv")).collect()}
@@ -61,3 +62,10 @@ def test_no_local_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_a_bad_line_is_not_read_silently(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('{"review_id": "r1"}\nnot json\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_reviews(spark, str(tmp_path / "bad.json")).collect()
+    assert files.read_reviews(spark, str(tmp_path / "bad.json"), mode="PERMISSIVE").count() == 2
