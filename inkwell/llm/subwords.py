@@ -8,12 +8,13 @@ bucket: the bucket's vector times the difference of the two class vectors.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ class Model:
 
 
 def train(
-    bags: list[tuple[np.ndarray, np.ndarray]],
+    bags: Sequence[tuple[np.ndarray, np.ndarray]],
     labels: np.ndarray,
     dim: int = 8,
     epochs: int = 6,
@@ -94,12 +95,14 @@ def train(
         for at in range(0, len(order), batch):
             pace = rate * (1 - steps / total)
             steps += 1
-            chosen = [i for i in order[at : at + batch] if len(bags[i][0])]
+            chosen = [(i, *bags[i]) for i in order[at : at + batch]]
+            chosen = [x for x in chosen if len(x[1])]
             if not chosen:
                 continue
-            index = np.concatenate([bags[i][0] for i in chosen])
-            weight = np.concatenate([bags[i][1] for i in chosen])[:, None]
-            sizes = np.array([len(bags[i][0]) for i in chosen])
+            index = np.concatenate([x[1] for x in chosen])
+            weight = np.concatenate([x[2] for x in chosen])[:, None]
+            sizes = np.array([len(x[1]) for x in chosen])
+            chosen = [x[0] for x in chosen]
             means = np.add.reduceat(weight * vectors[index], np.cumsum(sizes) - sizes)
             logits = means @ softmax + bias
             odds = np.exp(logits - logits.max(1, keepdims=True))
@@ -131,6 +134,27 @@ def bags(featurize: Featurizer, texts: list[str | None]) -> list[tuple[np.ndarra
     return out
 
 
+def pack(buckets: np.ndarray, shares: np.ndarray) -> bytes:
+    """A bag in few bytes: steps between its sorted buckets, then the shares."""
+    steps = np.diff(buckets.astype(np.uint32), prepend=np.uint32(0))
+    return zstandard.compress(steps.tobytes() + shares.astype(np.float32).tobytes())
+
+
+class Packed(Sequence):
+    """Packed bags, each unpacked only while it is read."""
+
+    def __init__(self, bags: list[bytes]):
+        self.bags = bags
+
+    def __len__(self) -> int:
+        return len(self.bags)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        raw = zstandard.decompress(self.bags[i])
+        half = len(raw) // 2
+        return np.cumsum(np.frombuffer(raw[:half], np.uint32), dtype=np.uint32), np.frombuffer(raw[half:], np.float32)
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, key: str, label: str, rows: int, bounds: int) -> DataFrame:
     """key, text and label of at most ``rows`` labelled rows, chosen by a hash of the key.
 
@@ -164,19 +188,17 @@ def fit(
                 [
                     batch.column(key).cast(pa.string()),
                     batch.column("_label"),
-                    pa.array([x.astype(np.uint32).tobytes() for x, _ in found], pa.binary()),
-                    pa.array([w.tobytes() for _, w in found], pa.binary()),
+                    pa.array([pack(*bag) for bag in found], pa.binary()),
                 ],
-                ["key", "label", "buckets", "shares"],
+                ["key", "label", "bag"],
             )
 
-    found = map_batches(sample, turn, "key string, label int, buckets binary, shares binary").toArrow()
-    # Sorted, for the same model whatever the order of the rows; buffers are not copied.
+    found = map_batches(sample, turn, "key string, label int, bag binary").toArrow()
+    # Sorted, for the same model whatever the order of the rows.
     order = pc.sort_indices(found, [("key", "ascending"), ("label", "ascending")]).to_numpy()
-    column = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in found.column(name)]
-    bagged = list(zip(column("buckets", np.uint32), column("shares", np.float32)))
-    labels = found.column("label").to_numpy()[order]
-    bagged = [bagged[i] for i in order]
+    packed, labels = found.column("bag").to_pylist(), found.column("label").to_numpy()[order]
+    del found
+    bagged = Packed([packed[i] for i in order])
     return train(bagged, labels, **settings)
 
 
