@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def enrich(rows: DataFrame, stats: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -17,8 +18,19 @@ def enrich(rows: DataFrame, stats: DataFrame, key: str, how: str = "inner") -> D
 
 
 def attach_reviews(documents: DataFrame, reviews: DataFrame, key: str = "review_id") -> DataFrame:
-    """Left join of assembled documents with the columns of their reviews, one row per key."""
-    return documents.join(reviews, key, "left")
+    """Left join of assembled documents with the columns of their reviews.
+
+    Written as an inner join, for adaptive execution cuts a hot key of either side there, but
+    never one on the right of a left join. A blank review stands for each key of the
+    documents, null included, that no review has. The documents are joined once; a second
+    time only their keys are read.
+    """
+    lone = documents.select(key).distinct().join(reviews.select(key).distinct(), key, "left_anti")
+    blanks = [F.lit(None).cast(f.dataType).alias(f.name) for f in reviews.schema if f.name != key]
+    partners = reviews.where(F.col(key).isNotNull()).unionByName(lone.select(key, *blanks))
+    partners = partners.withColumnRenamed(key, "_partner")
+    matched = documents.join(partners, documents[key].eqNullSafe(partners["_partner"])).drop("_partner")
+    return matched.select(key, *[c for c in matched.columns if c != key])
 
 
 def complement(rows: DataFrame, sample: DataFrame, key: str) -> DataFrame:
