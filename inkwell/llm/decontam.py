@@ -1,4 +1,4 @@
-"""Benchmark decontamination by CGK embeddings and bit-sampling.
+"""Benchmark decontamination by counts of word pairs and exact edit distances.
 
 Symbols are words (lower case). A window of a document matches a benchmark item if at
 most ``share`` of the item's words must be inserted, deleted or replaced to get it.
@@ -7,14 +7,10 @@ most ``share`` of the item's words must be inserted, deleted or replaced to get
    as they are. Where so many pairs of one item lie within its size, a window of the item's
    size is cut at the place the pair has in the item. This exact count takes out nearly
    all text and no match.
-2. The CGK walk reads each window and each item: step j writes the current word and moves
-   on if a random bit of (j, word) is set, 3n steps in all. Few edits become few different
-   steps (Hamming distance).
-3. Bit-sampling LSH: a table hashes a few sampled steps; windows and items that meet in a
-   table are candidates. ``WALKS`` walks of ``TABLES`` tables each reach a recall over 0.99 at
-   the largest distance (a test measures it).
-4. Candidates are verified by the exact edit distance of the item to the best part of the
-   text around the window, which may be longer or shorter than the item.
+2. Every window left is verified by the exact edit distance of the item to the best part of
+   the text around it, which may be longer or shorter than the item. Windows of one item that
+   begin close together are verified as one stretch of text. So recall is 1 for all sizes and
+   kinds of edits; a sketch of the windows before this step could only lose matches.
 
 Defined results: null and empty texts match nothing; an item without words matches
 nothing; an item of one word matches that word. Of equally near windows of a document the first counts.
@@ -35,11 +31,12 @@ from inkwell.llm import textnum
 from inkwell.llm.shipping import map_batches
 
 SHARE = 0.2
-WALKS, TABLES, SAMPLED = 4, 12, 2
 #: Benchmark texts go to every task in portions of at most this many bytes, and as many
 #: passes are made over the documents as there are portions.
 PORTION_BYTES = 16 << 20
 _FILTER_BITS = 22
+#: Cells of the lines of edit distances that are held at once.
+_CELLS = 250_000
 
 
 class Items:
@@ -71,40 +68,6 @@ class Items:
         self.marks[self.pairs >> np.uint64(64 - _FILTER_BITS)] = True
         self.needed = self.sizes - 1 - 2 * self.edits
         self.single = np.unique(self.words[self.sizes == 1, :1])
-        if self.ids:
-            keys = sketch(self.words, self.sizes)
-            self.tables = [(np.sort(k), np.argsort(k, kind="stable")) for k in keys]
-
-
-def sketch(windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Keys of each window (a row; 0 pads it) in each table, which stand for its size, too.
-
-    The steps to sample are the same for all windows of a size.
-    """
-    count, widest = windows.shape
-    padded = np.concatenate([windows, np.zeros((count, 1), np.uint64)], axis=1).ravel()
-    parts = np.random.default_rng(5).random((WALKS, TABLES, SAMPLED))
-    # Of the 3n steps only the first 2n are sampled; later ones mostly lie past the end.
-    steps = 2 * widest
-    # The bits of a step do not depend on how wide the windows of a batch are.
-    salts = textnum.mix(np.arange(steps * WALKS, dtype=np.uint64)).reshape(steps, WALKS).T | np.uint64(1)
-    rows = (np.arange(count) * (widest + 1))[None, :]
-    at, last = np.zeros((WALKS, count), np.int64), np.asarray(sizes)[None, :]
-    trace = np.empty((steps, WALKS, count), np.int32)
-    for j in range(steps):
-        trace[j] = at
-        at += ((padded[rows + at] * salts[:, j : j + 1]) >> np.uint64(63)).astype(np.int64)
-        # Past its end a window gives the pad symbol for ever.
-        np.minimum(at, last, out=at)
-    keys, columns = [], np.arange(count)
-    for walk in range(WALKS):
-        for table in range(TABLES):
-            key = np.asarray(sizes).astype(np.uint64)
-            for part in parts[walk, table]:
-                step = (part * 2 * np.asarray(sizes)).astype(np.int64)
-                key = textnum.mix(key + padded[rows[0] + trace[step, walk, columns]])
-            keys.append(key)
-    return np.stack(keys)
 
 
 def edit_distances(items: np.ndarray, sizes: np.ndarray, texts: np.ndarray, free: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +94,7 @@ def edit_distances(items: np.ndarray, sizes: np.ndarray, texts: np.ndarray, free
 
 
 def _windows(items: Items, words: np.ndarray, owners: np.ndarray, lows: np.ndarray, highs: np.ndarray):
-    """First word and size of each window that may match, by the number of known pairs."""
+    """First word and item of each window that may match, by the number of known pairs."""
     pairs = textnum.mix(textnum.mix(words[:-1]) + words[1:])
     maybe = np.flatnonzero(items.marks[pairs >> np.uint64(64 - _FILTER_BITS)])
     known = np.minimum(np.searchsorted(items.pairs, pairs[maybe]), max(0, len(items.pairs) - 1))
@@ -158,9 +121,15 @@ def _windows(items: Items, words: np.ndarray, owners: np.ndarray, lows: np.ndarr
     count = np.searchsorted(own, own + items.sizes[item] - 1) - first
     good = count >= items.needed[item]
     at, item, within = at[good], item[good], within[good]
-    start, size = np.maximum(at - within, lows[owners[at]]), items.sizes[item]
+    start = np.maximum(at - within, lows[owners[at]])
+    # Items of one word have no pairs.
     alone = np.flatnonzero(np.isin(words, items.single)) if len(items.single) else np.zeros(0, np.int64)
-    both = np.unique(np.stack([np.append(start, alone), np.append(size, np.ones(len(alone), np.int64))], axis=1), axis=0)
+    ones = np.flatnonzero(items.sizes == 1)
+    ones = ones[np.argsort(items.words[ones, 0], kind="stable")]
+    low = np.searchsorted(items.words[ones, 0], words[alone])
+    met = np.searchsorted(items.words[ones, 0], words[alone], side="right") - low
+    entry = np.repeat(low, met) + np.arange(int(met.sum())) - np.repeat(np.cumsum(met) - met, met)
+    both = np.unique(np.stack([np.append(start, np.repeat(alone, met)), np.append(item, ones[entry])], axis=1), axis=0)
     return both[:, 0], both[:, 1]
 
 
@@ -172,6 +141,22 @@ def _cut(words: np.ndarray, first: np.ndarray, sizes: np.ndarray, stops: np.ndar
     return found
 
 
+def _turned(rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Each row's first words, as many as its size, from the last to the first; then 0."""
+    places = sizes[:, None] - 1 - np.arange(rows.shape[1])
+    return np.where(places >= 0, np.take_along_axis(rows, np.maximum(places, 0), 1), 0)
+
+
+def _batches(rows: np.ndarray, widths: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows, those of like width together, in batches of about ``_CELLS`` cells."""
+    order = np.argsort(-widths, kind="stable")
+    rows, widths, at = rows[order], widths[order], 0
+    while at < len(rows):
+        held = max(1, _CELLS // max(1, int(widths[at])))
+        yield rows[at : at + held]
+        at += held
+
+
 def matches(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
     """(text, item, start, end, edits) of each text and item that match.
 
@@ -185,49 +170,43 @@ def matches(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, in
     words = textnum.run_hashes(codes, ws, we)
     lows, highs = np.searchsorted(ws, starts), np.searchsorted(ws, ends)
     owners = np.repeat(np.arange(len(texts)), highs - lows)
-    first, size = _windows(items, words, owners, lows, highs)
-    pairs = []
-    for at in range(0, len(first), 20_000):
-        f, n = first[at : at + 20_000], size[at : at + 20_000]
-        keys = sketch(_cut(words, f, n, highs[owners[f]]), n)
-        for (known, member), key in zip(items.tables, keys):
-            low = np.searchsorted(known, key)
-            met = np.searchsorted(known, key, side="right") - low
-            entry = np.repeat(low, met) + np.arange(int(met.sum())) - np.repeat(np.cumsum(met) - met, met)
-            pairs.append(np.stack([np.repeat(f, met), member[entry]], axis=1))
-    pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+    f, k = _windows(items, words, owners, lows, highs)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    if len(pairs):
-        # Copies without an edit need no dynamic program, and nothing is nearer than they are.
-        f, k = pairs.T
-        owner, size = owners[f], items.sizes[k]
-        whole = np.flatnonzero(f + size <= highs[owner])
-        for at in range(0, len(whole), 20_000):
-            w = whole[at : at + 20_000]
-            same = w[(_cut(words, f[w], size[w], highs[owner[w]]) == items.words[k[w], : int(size[w].max())]).all(1)]
-            for i in same[::-1].tolist():
-                best[int(owner[i]), int(k[i])] = (0, int(f[i]), int(f[i] + size[i]))
-        done = owner * len(items.ids) + k
-        pairs = pairs[~np.isin(done, [t * len(items.ids) + i for t, i in best])]
-    for at in range(0, len(pairs), 20_000):
-        f, k = pairs[at : at + 20_000].T
-        slack, stop = items.edits[k], highs[owners[f]]
-        begin = np.maximum(f - slack, lows[owners[f]])
-        found = _cut(words, begin, items.sizes[k] + 3 * slack, stop)
-        apart, end = edit_distances(items.words[k], items.sizes[k], found, free=True)
-        near = np.flatnonzero((apart <= slack) & (end > 0))
+    # Copies without an edit need no dynamic program, and nothing is nearer than they are.
+    owner, size = owners[f], items.sizes[k]
+    whole = np.flatnonzero(f + size <= highs[owner])
+    for w in _batches(whole, size[whole]):
+        same = w[(_cut(words, f[w], size[w], highs[owner[w]]) == items.words[k[w], : int(size[w].max())]).all(1)]
+        for i in same.tolist():
+            key, new = (int(owner[i]), int(k[i])), (0, int(f[i]), int(f[i] + size[i]))
+            best[key] = min(best.get(key, new), new)
+    done = [t * len(items.ids) + i for t, i in best]
+    left = ~np.isin(owner * len(items.ids) + k, done)
+    # Windows of an item that begin in the same stretch of its size are one piece of text.
+    f, k, owner, stretch = f[left], k[left], owner[left], (f // size)[left]
+    order = np.lexsort((f, stretch, k, owner))
+    f, k, owner, stretch = f[order], k[order], owner[order], stretch[order]
+    new = np.ones(len(f), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (k[1:] != k[:-1]) | (stretch[1:] != stretch[:-1])
+    heads = np.flatnonzero(new)
+    f, last, k, owner = f[heads], f[np.flatnonzero(np.append(new[1:], True))] if len(f) else f, k[heads], owner[heads]
+    size, slack, stop = items.sizes[k], items.edits[k], highs[owner]
+    begin = np.maximum(f - slack, lows[owner])
+    reach = np.minimum(last + size + 2 * slack, stop) - begin
+    for w in _batches(np.arange(len(f)), reach):
+        widest = int(size[w].max())
+        found = _cut(words, begin[w], reach[w], stop[w])
+        apart, end = edit_distances(items.words[k[w], :widest], size[w], found, free=True)
+        near = np.flatnonzero((apart <= slack[w]) & (end > 0))
         if not len(near):
             continue
-        f, k, begin, apart, end = f[near], k[near], begin[near], apart[near], end[near]
-        # Backwards from the end for the start.
-        back = _cut(words, begin, end, stop[near])
-        places = end[:, None] - 1 - np.arange(back.shape[1])
-        back = np.where(places >= 0, np.take_along_axis(back, np.maximum(places, 0), 1), 0)
-        spots = items.sizes[k][:, None] - 1 - np.arange(items.largest)
-        turned = np.where(spots >= 0, np.take_along_axis(items.words[k], np.maximum(spots, 0), 1), 0)
-        _, length = edit_distances(turned, items.sizes[k], back, free=False)
-        for a, b, d, x, y in zip(f.tolist(), k.tolist(), apart.tolist(), (begin + end - length).tolist(), (begin + end).tolist()):
-            key, new = (int(owners[a]), b), (d, x, y)
+        w, apart, end = w[near], apart[near], end[near]
+        # Backwards from the end for the start, which is at most the edits before the item's size.
+        back = np.minimum(end, size[w] + slack[w])
+        text = _turned(_cut(words, begin[w] + end - back, back, stop[w]), back)
+        _, length = edit_distances(_turned(items.words[k[w], :widest], size[w]), size[w], text, free=False)
+        for a, b, d, x, y in zip(owner[w].tolist(), k[w].tolist(), apart.tolist(), (begin[w] + end - length).tolist(), (begin[w] + end).tolist()):
+            key, new = (a, b), (d, x, y)
             if y > x and (key not in best or new < best[key]):
                 best[key] = new
     out = []

@@ -97,6 +97,28 @@ def test_passages_are_found_up_to_the_distance(spark):
     assert decontam.contaminated(rows, benchmark.limit(0)).count() == 0
 
 
+def test_each_kind_of_edit_is_found_at_every_size():
+    rng = random.Random(12)
+    sizes = (1, 5, 12, 38, 59, 150, 400)
+    items = [[f"i{k}w{rng.randrange(n * 3)}" for _ in range(n)] for k, n in enumerate(sizes)]
+    near = decontam.Items(list(range(len(items))), [" ".join(w) for w in items], decontam.SHARE)
+    filler = lambda: [f"f{rng.randrange(10**6)}" for _ in range(30)]
+    texts, want = [], set()
+    for k, (n, item) in enumerate(zip(sizes, items)):
+        for most in (0, n // 10, n // 5):
+            for turn in range(18):
+                even = [int((i + 0.5) * n / most) for i in range(most)]
+                places = set(even if turn % 2 else rng.sample(range(n), most))
+                put = [["x y".split()[turn % 2]], None, []][turn % 3]
+                w = [t for i, word in enumerate(item) for t in ([word] if i not in places else [word, "new"] if put is None else put)]
+                texts.append(" ".join(filler() + w + filler()))
+                want.add((len(texts) - 1, k))
+    found = decontam.matches(near, texts)
+    assert {(t, k) for t, k, *_ in found} == want
+    for t, k, start, end, distance in found:
+        assert edits(items[k], words(texts[t][start:end])) == distance <= len(items[k]) // 5
+
+
 def test_decontamination_query_finds_all_copies(spark):
     connection = duckdb.connect()
     exact = connection.sql(
