@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from inkwell.llm import textnum
 from inkwell.llm.shipping import map_batches
+from inkwell.session import keep
 
 SHARE = 0.2
 #: Benchmark texts go to every task in portions of at most this many bytes, and as many
@@ -54,20 +55,29 @@ class Items:
         self.sizes = (high - low)[kept]
         self.edits = (share * self.sizes + 1e-9).astype(np.int64)
         self.largest = int(self.sizes.max(initial=0))
-        self.words = np.zeros((len(kept), self.largest), np.uint64)
-        for row, i in enumerate(kept):
-            self.words[row, : self.sizes[row]] = words[low[i] : high[i]]
+        # All items' words, one item after the other, so that a long one does not widen the others.
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.words = words[np.repeat(low[kept] - self.starts, self.sizes) + np.arange(int(self.sizes.sum()))]
         # Every neighbouring pair of words: where it is in which item.
-        place = np.arange(max(0, self.largest - 1))[None, :]
-        item, place = np.nonzero(np.broadcast_to(place, (len(kept), place.shape[1])) < self.sizes[:, None] - 1)
-        pairs = textnum.mix(textnum.mix(self.words[item, place]) + self.words[item, place + 1])
+        item = np.repeat(np.arange(len(kept)), self.sizes - 1)
+        ends = np.cumsum(self.sizes - 1)
+        place = np.arange(len(item)) - np.repeat(ends - self.sizes + 1, self.sizes - 1)
+        at = self.starts[item] + place
+        pairs = textnum.mix(textnum.mix(self.words[at]) + self.words[at + 1]) if len(at) else np.zeros(0, np.uint64)
         order = np.argsort(pairs, kind="stable")
         self.pairs, first, self.met = np.unique(pairs[order], return_index=True, return_counts=True)
         self.first, self.item, self.place = first, item[order], place[order]
         self.marks = np.zeros(1 << _FILTER_BITS, bool)
         self.marks[self.pairs >> np.uint64(64 - _FILTER_BITS)] = True
         self.needed = self.sizes - 1 - 2 * self.edits
-        self.single = np.unique(self.words[self.sizes == 1, :1])
+        # Items of one word, by that word.
+        ones = np.flatnonzero(self.sizes == 1)
+        self.ones = ones[np.argsort(self.words[self.starts[ones]], kind="stable")]
+        self.single = self.words[self.starts[self.ones]]
+
+    def rows(self, chosen: np.ndarray) -> np.ndarray:
+        """A row of words for each chosen item, 0 beyond its size."""
+        return _cut(self.words, self.starts[chosen], self.sizes[chosen], (self.starts + self.sizes)[chosen])
 
 
 def edit_distances(items: np.ndarray, sizes: np.ndarray, texts: np.ndarray, free: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -124,12 +134,10 @@ def _windows(items: Items, words: np.ndarray, owners: np.ndarray, lows: np.ndarr
     start = np.maximum(at - within, lows[owners[at]])
     # Items of one word have no pairs.
     alone = np.flatnonzero(np.isin(words, items.single)) if len(items.single) else np.zeros(0, np.int64)
-    ones = np.flatnonzero(items.sizes == 1)
-    ones = ones[np.argsort(items.words[ones, 0], kind="stable")]
-    low = np.searchsorted(items.words[ones, 0], words[alone])
-    met = np.searchsorted(items.words[ones, 0], words[alone], side="right") - low
+    low = np.searchsorted(items.single, words[alone])
+    met = np.searchsorted(items.single, words[alone], side="right") - low
     entry = np.repeat(low, met) + np.arange(int(met.sum())) - np.repeat(np.cumsum(met) - met, met)
-    both = np.unique(np.stack([np.append(start, np.repeat(alone, met)), np.append(item, ones[entry])], axis=1), axis=0)
+    both = np.unique(np.stack([np.append(start, np.repeat(alone, met)), np.append(item, items.ones[entry])], axis=1), axis=0)
     return both[:, 0], both[:, 1]
 
 
@@ -176,7 +184,7 @@ def matches(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, in
     owner, size = owners[f], items.sizes[k]
     whole = np.flatnonzero(f + size <= highs[owner])
     for w in _batches(whole, size[whole]):
-        same = w[(_cut(words, f[w], size[w], highs[owner[w]]) == items.words[k[w], : int(size[w].max())]).all(1)]
+        same = w[(_cut(words, f[w], size[w], highs[owner[w]]) == items.rows(k[w])).all(1)]
         for i in same.tolist():
             key, new = (int(owner[i]), int(k[i])), (0, int(f[i]), int(f[i] + size[i]))
             best[key] = min(best.get(key, new), new)
@@ -194,9 +202,8 @@ def matches(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, in
     begin = np.maximum(f - slack, lows[owner])
     reach = np.minimum(last + size + 2 * slack, stop) - begin
     for w in _batches(np.arange(len(f)), reach):
-        widest = int(size[w].max())
         found = _cut(words, begin[w], reach[w], stop[w])
-        apart, end = edit_distances(items.words[k[w], :widest], size[w], found, free=True)
+        apart, end = edit_distances(items.rows(k[w]), size[w], found, free=True)
         near = np.flatnonzero((apart <= slack[w]) & (end > 0))
         if not len(near):
             continue
@@ -204,7 +211,7 @@ def matches(items: Items, texts: list[str]) -> list[tuple[int, int, int, int, in
         # Backwards from the end for the start, which is at most the edits before the item's size.
         back = np.minimum(end, size[w] + slack[w])
         text = _turned(_cut(words, begin[w] + end - back, back, stop[w]), back)
-        _, length = edit_distances(_turned(items.words[k[w], :widest], size[w]), size[w], text, free=False)
+        _, length = edit_distances(_turned(items.rows(k[w]), size[w]), size[w], text, free=False)
         for a, b, d, x, y in zip(owner[w].tolist(), k[w].tolist(), apart.tolist(), (begin[w] + end - length).tolist(), (begin[w] + end).tolist()):
             key, new = (a, b), (d, x, y)
             if y > x and (key not in best or new < best[key]):
@@ -257,5 +264,8 @@ def contaminated(
                     )
 
         found = map_batches(documents.select(key, "text"), run, schema)
+        if portions > 1:
+            # Written before the next portion is read, so that the driver holds one at a time.
+            found = keep(found, "matches")
         out = found if out is None else out.unionByName(found)
     return out

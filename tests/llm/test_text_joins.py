@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import duckdb
 from helpers import ODD, documents, links, shingles, words
@@ -119,6 +120,26 @@ def test_each_kind_of_edit_is_found_at_every_size():
         assert edits(items[k], words(texts[t][start:end])) == distance <= len(items[k]) // 5
 
 
+def test_one_long_item_does_not_widen_the_others():
+    texts = [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(5_000)] + [" ".join(f"w{j}" for j in range(4_000)), "alone"]
+    tracemalloc.start()
+    items = decontam.Items(list(range(len(texts))), texts, decontam.SHARE)
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    tracemalloc.stop()
+    long = " ".join(w for j, w in enumerate(texts[5_000].split()) if j % 6)
+    found = decontam.matches(items, [texts[7] + " x", long, "it is alone"])
+    assert [(t, k, d) for t, k, _, _, d in found] == [(0, 7, 0), (1, 5_000, 667), (2, 5_001, 0)]
+
+
+def test_portions_are_released_one_after_the_other(spark):
+    texts = [f"p{i} q{i} r{i} s{i} t{i}" for i in range(12)]
+    benchmark = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    found = decontam.contaminated(documents(spark, texts), benchmark, portion=400)
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(i, i) for i in range(12)}
+    # The result's plan would hold the tables of every portion.
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()
+
+
 def test_decontamination_query_finds_all_copies(spark):
     connection = duckdb.connect()
     exact = connection.sql(
