@@ -7,11 +7,15 @@ no other id of the node can be among the nearest ``k`` (ties go to smaller ids).
 Then, again and again, each node's neighbours (its nearest and the nearest of those that it
 is nearest to) are joined with their vectors and compared with each other: the neighbours
 of a neighbour are likely neighbours. Each node keeps its ``NEIGHBOURS`` nearest. Rounds end
-when distances hardly shrink any more. Here vectors are rounded to bytes, with a scale each.
+when distances hardly shrink any more, each by its own measure, so that a group of nearly
+equal vectors counts as much as one of far ones.
 
 *Searching.* A query starts at its own node, and each hop expands the nearest nodes of its
 pool that have not been expanded, by a join with the graph. It ends when all the ``POOL``
-nearest are expanded. The pool is then ranked by exact distances of the original vectors.
+nearest are expanded.
+
+Nothing is rounded: graph and pool are ranked by distances of the original vectors, in
+double precision and, while building, from a centre of the vectors compared.
 
 Lists are merged by many nodes at once, first inside each task, so that a node which
 very many others offer something reaches one task as a few rows from each.
@@ -32,6 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkwell.llm.shipping import map_batches, ship
 from inkwell.operators.terms import top_per_group
@@ -42,9 +47,9 @@ MEMBERS = K + 1
 NEIGHBOURS, REVERSE, OFFERS = 32, 24, 12
 #: Nodes of a starting block, and the number of times all nodes are put into blocks.
 BLOCK, STARTS = 150, 4
-ROUNDS, SHRINK = 6, 0.004
+ROUNDS, SHRINK = 14, 0.004
 POOL, EXPANDED, HOPS = 300, 60, 16
-_BUNDLE = 1500
+_BUNDLE = 500
 EDGE = "id bigint, nbr bigint, d float"
 
 
@@ -60,57 +65,47 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
     return found.where(F.size("embedding") == (usual["size"] if usual else 0))
 
 
-def nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Nodes (id, mark, vec, code) with their vectors as bytes, members (id, vec_id) of each, and
-    the mark of the vector of each vec_id."""
+def nodes(vectors: DataFrame, single: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes (id, mark, code) with their vectors as bytes, members (id, vec_id) of each, and
+    the mark of the vector of each vec_id.
+
+    ``single``: the components are of single precision, so four bytes hold each as it is.
+    """
+    kind = np.float32 if single else np.float64
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [np.array(x, np.float64).tobytes() for x in batch.column("embedding").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(packed, pa.binary())], ["vec_id", "vec"])
+            packed = [bytes([kind().itemsize]) + np.array(x, kind).tobytes() for x in batch.column("embedding").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(packed, pa.binary())], ["vec_id", "code"])
 
     # -0.0 and 0.0 are equal components.
     plain = vectors.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0)))
-    packed = map_batches(plain, pack, "vec_id bigint, vec binary").withColumn("mark", F.sha2("vec", 256))
+    packed = map_batches(plain, pack, "vec_id bigint, code binary").withColumn("mark", F.sha2("code", 256))
     packed = keep(packed, "packed")
     marked = packed.select("vec_id", "mark")
     members = top_per_group(marked, "mark", [F.asc("vec_id")], ["vec_id"], MEMBERS)
     first = members.where("rank = 1").select("mark", F.col("vec_id").alias("id"))
     members = keep(members.join(first, "mark").select("id", "vec_id"), "members")
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            codes = _coded(_matrix(batch.column("vec"))) if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary())], ["id", "mark", "vec", "code"])
-
-    found = packed.join(first.select(F.col("id").alias("vec_id")), "vec_id").select(F.col("vec_id").alias("id"), "mark", "vec")
-    return keep(map_batches(found, code, "id bigint, mark string, vec binary, code binary"), "nodes"), members, marked
+    found = packed.join(first.select(F.col("id").alias("vec_id")), "vec_id").select(F.col("vec_id").alias("id"), "mark", "code")
+    return keep(found, "nodes"), members, marked
 
 
-def _matrix(column) -> np.ndarray:
+def _decoded(column) -> np.ndarray:
+    """The vectors of codes, a row each: after a byte that says how long a component is."""
     values = column.to_pylist() if isinstance(column, pa.Array) else list(column)
-    return np.frombuffer(b"".join(values), np.float64).reshape(len(values), -1)
+    raw = np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
+    return np.ascontiguousarray(raw[:, 1:]).view(f"f{raw[0, 0]}")
 
 
 def _squares(a: np.ndarray) -> np.ndarray:
     """Squared distances between the rows of ``a``, for each of a batch."""
+    a = a.astype(np.float64)
+    a -= a.mean(-2, keepdims=True)
     norms = (a * a).sum(-1)
     return np.maximum(norms[..., :, None] + norms[..., None, :] - 2 * (a @ np.swapaxes(a, -1, -2)), 0)
 
 
-def _coded(vectors: np.ndarray) -> list[bytes]:
-    """Vectors with their components rounded to bytes: the scale, then a byte for each."""
-    scale = np.abs(vectors).max(1) / 127
-    rounded = np.rint(vectors / scale[:, None]).astype(np.int8)
-    return [np.float32(x).tobytes() + r.tobytes() for x, r in zip(scale, rounded)]
-
-
-def _decoded(column) -> np.ndarray:
-    values = column.to_pylist() if isinstance(column, pa.Array) else list(column)
-    raw = np.frombuffer(b"".join(values), np.int8).reshape(len(values), -1)
-    return raw[:, 4:].astype(np.float32) * np.ascontiguousarray(raw[:, :4]).view(np.float32)
-
-
 def _shortest(owner: np.ndarray, other: np.ndarray, d: np.ndarray, k: int) -> np.ndarray:
     """Places of the k nearest of each owner, equal pairs once, sorted by owner and distance."""
     order = np.lexsort((d, other, owner))
@@ -224,32 +219,31 @@ def build(found: DataFrame) -> DataFrame:
         around = _around(graph, count).join(known, "nbr").select(_bundle("id", count), "id", "nbr", "code", "radius")
         offers = around.groupBy("bundle").applyInPandas(_local_joins, EDGE)
         graph = keep(_top(graph.unionByName(offers), NEIGHBOURS, count), "graph")
-        size = graph.agg(F.sum("d").alias("d"), F.count("*").alias("n")).first()
+        size = graph.agg(F.avg(F.log(F.greatest("d", F.lit(1e-37)))).alias("d"), F.count("*").alias("n")).first()
         new = (size["n"], size["d"] or 0.0)
         # Longer lists are progress, too.
-        if total is not None and new[0] == total[0] and new[1] >= total[1] * (1 - SHRINK):
+        if total is not None and new[0] == total[0] and new[1] >= total[1] - SHRINK:
             break
         total = new
     return graph
 
 
-def _with_distance(pairs: DataFrame, found: DataFrame, queries: DataFrame, exact: bool) -> DataFrame:
-    """query_id, id and d (the distance) of pairs (query_id, id), from codes or original vectors."""
-    column, read = ("vec", _matrix) if exact else ("code", _decoded)
+def _with_distance(pairs: DataFrame, found: DataFrame, queries: DataFrame) -> DataFrame:
+    """query_id, id and d (the distance) of pairs (query_id, id)."""
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                apart = read(batch.column(column)) - read(batch.column("query"))
-                d = np.sqrt((apart * apart).sum(1).astype(np.float64))
+                apart = _decoded(batch.column("code")).astype(np.float64) - _decoded(batch.column("query"))
+                d = np.sqrt((apart * apart).sum(1))
                 yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("id"), pa.array(d)], ["query_id", "id", "d"])
 
-    both = pairs.join(found.select("id", column), "id").join(queries.select("query_id", F.col(column).alias("query")), "query_id")
-    return map_batches(both.select("query_id", "id", column, "query"), turn, "query_id bigint, id bigint, d double")
+    both = pairs.join(found.select("id", "code"), "id").join(queries.select("query_id", F.col("code").alias("query")), "query_id")
+    return map_batches(both.select("query_id", "id", "code", "query"), turn, "query_id bigint, id bigint, d double")
 
 
 def search(queries: DataFrame, found: DataFrame, graph: DataFrame, count: int) -> DataFrame:
-    """query_id and id of the ``POOL`` nearest nodes found of each query (query_id, id, code).
+    """query_id, id and d of the ``POOL`` nearest nodes found of each query (query_id, id, code).
 
     ``state`` of a node in a pool: 0 not expanded, 1 to be expanded in the next hop, 2 expanded.
     """
@@ -272,13 +266,13 @@ def search(queries: DataFrame, found: DataFrame, graph: DataFrame, count: int) -
     for _ in range(HOPS):
         front = pool.where("state = 1").select("query_id", "id")
         met = front.join(links, "id").select("query_id", F.explode("nbrs").alias("id")).distinct()
-        new = _with_distance(met, found, queries, exact=False).withColumn("state", F.lit(0))
+        new = _with_distance(met, found, queries).withColumn("state", F.lit(0))
         old = pool.withColumn("state", F.when(F.col("state") == 1, 2).otherwise(F.col("state")))
         bundle = F.pmod(F.xxhash64("query_id"), F.lit(size // 64 + 1)).alias("bundle")
         pool = keep(old.unionByName(new).groupBy(bundle).applyInPandas(merge, state), "pool")
         if pool.where("state = 1").isEmpty():
             break
-    return pool.select("query_id", "id")
+    return pool.select("query_id", "id", "d")
 
 
 def nearest(rows: DataFrame, wanted: Column, key: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
@@ -288,13 +282,13 @@ def nearest(rows: DataFrame, wanted: Column, key: str = "vec_id", vector: str =
     """
     if k >= MEMBERS:
         raise ValueError(f"k is at most {K}")
-    found, members, marked = nodes(usable(rows, key, vector))
+    single = rows.schema[vector].dataType == T.ArrayType(T.FloatType(), rows.schema[vector].dataType.containsNull)
+    found, members, marked = nodes(usable(rows, key, vector), single)
     graph = build(found.select("id", "code"))
     # A query's vector is that of its node; ids beyond MEMBERS are queries, too, though no results.
     queries = marked.where(wanted).withColumnRenamed("vec_id", "query_id").join(found, "mark").drop("mark")
     queries = keep(queries, "queries")
     pool = search(queries, found, graph, found.count())
-    hits = _with_distance(pool, found, queries, exact=True)
-    offers = hits.join(members, "id").where("vec_id <> query_id").select("query_id", "vec_id", F.col("d").alias("score"))
+    offers = pool.join(members, "id").where("vec_id <> query_id").select("query_id", "vec_id", F.col("d").alias("score"))
     best = top_per_group(offers, "query_id", [F.asc("score"), F.asc("vec_id")], ["vec_id"], k, salts=1)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

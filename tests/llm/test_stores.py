@@ -48,6 +48,28 @@ def test_vectors_that_take_no_part(spark):
     assert ann.nearest(rows.limit(0), ann.F.col("vec_id") == 0).count() == 0
 
 
+def ten_nearest(vectors, q):
+    d = ((vectors - vectors[q]) ** 2).sum(1)
+    d[q] = np.inf
+    return set(np.argsort(d, kind="stable")[:10].tolist())
+
+
+def neighbours(spark, vectors, wanted):
+    rows = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id bigint, embedding array<double>")
+    found = {}
+    for r in ann.nearest(rows, wanted).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    return found
+
+
+def test_recall_in_a_large_group_of_nearly_equal_vectors(spark):
+    rng = np.random.default_rng(4)
+    vectors = np.concatenate([rng.normal(size=32) + rng.normal(size=(1500, 32)) * 1e-4, rng.normal(size=(300, 32))])
+    found = neighbours(spark, vectors, ann.F.col("vec_id") % 15 == 0)
+    hits = [len(found[q] & ten_nearest(vectors, q)) for q in range(0, 1500, 15)]
+    assert np.mean(hits) >= 9
+
+
 def test_archive_equals_sql(spark):
     frame = queries.op10_warc(spark, FOLDER)
     assert compare(frame, connect(FOLDER), queries.ORACLE["op10_warc"]) is None
