@@ -3,7 +3,9 @@
 Equal vectors are one node of the graph, with up to ``MEMBERS`` of their ids, the smallest;
 no other id of the node can be among the nearest ``k`` (ties go to smaller ids).
 
-*Building.* Nodes that fall on the same side of some random planes start as neighbours.
+*Building.* Nodes that fall on the same side of some random planes start as neighbours, and
+so do those of random blocks over all nodes, so that a node with no other on its side has
+neighbours, too.
 Then, again and again, each node's neighbours (its nearest and the nearest of those that it
 is nearest to) are joined with their vectors and compared with each other: the neighbours
 of a neighbour are likely neighbours. Each node keeps its ``NEIGHBOURS`` nearest. Rounds end
@@ -132,7 +134,7 @@ def _top(edges: DataFrame, k: int, count: int) -> DataFrame:
 
 
 def _start(found: DataFrame, count: int) -> DataFrame:
-    """Edges between nodes on the same side of random planes."""
+    """Edges between nodes on the same side of random planes, and in random blocks."""
     bits = max(0, math.ceil(math.log2(max(1, count / BLOCK))))
 
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,6 +146,8 @@ def _start(found: DataFrame, count: int) -> DataFrame:
                     side = ((vectors @ planes) > 0) @ (1 << np.arange(max(1, bits))) if bits else np.zeros(len(vectors), int)
                     cell = side.astype(np.int64) * STARTS + start
                     yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("code"), pa.array(cell)], ["id", "code", "cell"])
+                # One cell of all nodes, which is cut into blocks of many nodes each.
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("code"), pa.array(np.full(len(vectors), -1))], ["id", "code", "cell"])
 
     cells = map_batches(found, sides, "id bigint, code binary, cell bigint")
     # A cell with many nodes is cut into blocks by a hash, so any cell is done by many tasks.

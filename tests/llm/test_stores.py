@@ -70,6 +70,17 @@ def test_recall_in_a_large_group_of_nearly_equal_vectors(spark):
     assert np.mean(hits) >= 9
 
 
+def test_far_vectors_and_small_groups_have_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 40)
+    rng = np.random.default_rng(6)
+    near = np.concatenate([c + rng.normal(size=(500, 16)) * 0.01 for c in rng.normal(size=(3, 16))])
+    far = np.concatenate([rng.normal(size=(12, 16)) * 3, rng.normal(size=16) * 3 + rng.normal(size=(5, 16)) * 0.01])
+    vectors = np.concatenate([near, far])
+    found = neighbours(spark, vectors, ann.F.col("vec_id") >= 1500)
+    assert {q: len(v) for q, v in found.items()} == {q: 10 for q in range(1500, 1517)}
+    assert np.mean([len(found[q] & ten_nearest(vectors, q)) for q in found]) >= 9
+
+
 def test_archive_equals_sql(spark):
     frame = queries.op10_warc(spark, FOLDER)
     assert compare(frame, connect(FOLDER), queries.ORACLE["op10_warc"]) is None
