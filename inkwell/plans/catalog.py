@@ -439,7 +439,9 @@ def w2v_vectors(spark, sf):
 
 
 def lda_topics(spark, sf):
-    model, documents = _fitted(spark, sf)
+    # Topics need no label. A document without text is one without words.
+    documents = L.with_clean_review(_all_documents(spark, sf).select("doc_id", "review").na.fill("", ["review"]))
+    model = L.fit_tfidf(documents)
     # A fixed layout, so that the result does not follow the number of cores.
     laid = documents.repartition(16, "doc_id").sortWithinPartitions("doc_id")
     vectors = model.transform(laid).select("idf")

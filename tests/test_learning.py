@@ -114,3 +114,13 @@ def test_whole_analyses_run(spark):
     assert report["summary"].count() == 4 and report["correlation"].count() == 16
     assert report["confusion"].count() == 4
     assert report["features"].count() == reviews.count()
+
+
+def test_topics_are_learned_from_every_document(spark, monkeypatch):
+    from inkwell.plans import catalog
+
+    folder, seen = "/root/testdata/sf0.001", []
+    fit = catalog.L.fit_tfidf
+    monkeypatch.setattr(catalog.L, "fit_tfidf", lambda documents: seen.append(documents.count()) or fit(documents))
+    assert catalog.lda_topics(spark, folder).count() > 0
+    assert seen == [spark.read.parquet(f"{folder}/documents.parquet").count()]
