@@ -28,8 +28,6 @@ from inkwell.operators.terms import top_per_group
 
 #: N-grams of a profile.
 PROFILE = 400
-#: About the most texts per language that the profiles are learned from.
-TRAIN_ROWS = 5000
 NONE = "und"
 _MARK = 1
 
@@ -65,21 +63,13 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return found[order], np.searchsorted(of[order], np.arange(len(texts)), side="right")
 
 
-def learn(documents: DataFrame, lang: str = "lang", profile: int = PROFILE, rows: int = TRAIN_ROWS) -> dict[str, list[int]]:
+def learn(documents: DataFrame, lang: str = "lang", profile: int = PROFILE) -> dict[str, list[int]]:
     """The n-grams of each language, the most frequent first (equal counts: smaller first).
 
-    Learned from about ``rows`` texts of each language, chosen by a hash of the text. Tasks
-    count the n-grams of their texts; counts are summed per language and only profiles
-    reach the driver.
+    Learned from all texts. Tasks count the n-grams of their texts; counts are summed per
+    language and only profiles reach the driver.
     """
     usable = documents.select(F.col(lang).cast("string").alias("lang"), "text").where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return {}
-    share = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    limits = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int((1 << 30) * min(1.0, rows / n)))])
-    chosen = usable.where(share < limits[F.col("lang")])
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, texts = np.array(batch.column("lang").to_pylist(), object), batch.column("text").to_pylist()
@@ -88,7 +78,7 @@ def learn(documents: DataFrame, lang: str = "lang", profile: int = PROFILE, rows
                     kinds, n = np.unique(ngrams(held)[0], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(kinds), pa.string()), pa.array(kinds), pa.array(n)], ["lang", "gram", "n"])
 
-    summed = map_batches(chosen, count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    summed = map_batches(usable, count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     best = top_per_group(summed, "lang", [F.desc("n"), F.asc("gram")], ["gram"], profile)
     out: dict[str, list[int]] = {}
     for r in sorted(best.select("lang", "rank", "gram").collect()):

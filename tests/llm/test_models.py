@@ -87,3 +87,10 @@ def test_distances_by_definition():
     apart, most = langid.distances(grams, all_known, ranks, 400)
     # e at 0 (0 apart), q at 1 (unknown: 400), th at 2 (1 apart).
     assert apart.tolist() == [401] and most == 1200
+
+
+def test_a_language_of_few_texts_in_many_copies_is_learned(spark):
+    for text in ("zebra quagga okapi", "tapir lemur gibbon"):
+        rows = spark.range(100_000).selectExpr("'xx' AS lang", f"'{text}' AS text")
+        learned = langid.learn(rows.unionByName(spark.range(5).selectExpr("'yy' AS lang", "'one two three' AS text")))
+        assert set(learned) == {"xx", "yy"}
