@@ -31,3 +31,21 @@ def map_batches(
     """``mapInArrow`` of a function that may use this package."""
     ship(frame.sparkSession)
     return frame.mapInArrow(turn, schema)
+
+
+def append_columns(
+    rows: DataFrame, new: dict[str, str], make: Callable[[pa.RecordBatch], list[pa.Array]]
+) -> DataFrame:
+    """``rows`` with new columns (name to type) that ``make`` computes from each batch.
+
+    Columns named like new ones are replaced.
+    """
+    kept = [f for f in rows.schema.fields if f.name not in new]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{k}` {v}" for k, v in new.items()])
+    names = [f.name for f in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *make(batch)], [*names, *new])
+
+    return map_batches(rows, run, schema)
