@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.functions.stem import porter_stem
 from inkwell.functions.text import clean_punct, plural_stem, tokens
 from inkwell.operators.derive import compute_once
 from inkwell.operators.joins import enrich
@@ -242,6 +243,25 @@ def conflated_vocabulary(tokenized: DataFrame) -> DataFrame:
     )
 
 
+def stems(tokenized: DataFrame) -> DataFrame:
+    """token and stem, each token of the corpus once. A kept table."""
+    words = tokenized.select(F.explode(F.array_distinct("tokens")).alias("token")).distinct()
+    return keep(compute_once(words, "stem", porter_stem(F.col("token"))), "stems")
+
+
+def stemmed_bags(tokenized: DataFrame) -> DataFrame:
+    """One row per (document, stem) and the occurrences ``n`` of all its forms.
+
+    Tokens are counted in the row, each distinct token of the corpus is stemmed once, and the
+    stems are joined back. Documents are told apart by a row number, so repeated and null keys
+    do no harm.
+    """
+    kept = [c for c in tokenized.columns if c != "tokens"]
+    rows = keep(tokenized.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    counted = enrich(term_bags(rows).drop("n_tokens"), stems(rows), "token")
+    return counted.groupBy("_row", *kept, "stem").agg(F.sum("n").alias("n")).drop("_row")
+
+
 def letter_counts(texts: DataFrame, text: str, letters: str) -> DataFrame:
     """Occurrences of each of the letters, and of the spaces set between them."""
     kept = F.col("_kept")

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from inkwell.functions.text import clean_punct, clean_text, letters_only
 from inkwell.learning import classifiers as C
 from inkwell.learning import features as L
+from inkwell.learning import gaussian, linear
 from inkwell.operators import evaluate, joins, order, profile, reshape, sample, terms
 from inkwell.plans import jobs
 from inkwell.schema import STOP_WORDS
-from inkwell.session import scratch_path
+from inkwell.session import keep, scratch_path
 from inkwell.sources import files, tables
 
 BOOK = "src3"
@@ -30,6 +31,8 @@ FEATURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 LETTERS = "".join(c for c in ascii_lowercase if c not in STOP_WORDS)
 # The rule behind the metric queries: long documents are predicted to be class 1.
 LONG_DOCUMENT = 1500
+# Penalty on the squared weights of linear models; without it rare tokens learn single documents.
+PENALTY = 0.0001
 
 
 def _six(name: str):
@@ -346,9 +349,23 @@ def vocabulary_conflation(spark, sf):
     return terms.conflated_vocabulary(_tokenized(spark, sf))
 
 
+def porter_vocabulary(spark, sf):
+    return terms.stems(_tokenized(spark, sf))
+
+
+def stemmed_term_counts(spark, sf):
+    return terms.stemmed_bags(_tokenized(spark, sf).select("doc_id", "tokens"))
+
+
 # Splits and metrics
 
 
+def exact_split(spark, sf):
+    """Exactly four fifths of each class, unlabelled documents being one of their own."""
+    documents = _all_documents(spark, sf).select("doc_id", "class")
+    return sample.exact_split(documents, "doc_id", 0.8, 80, ["class"])
+
+
 def split_counts(spark, sf):
     documents = _documents(spark, sf).select("class", sample.in_sample("doc_id", 0.8, 80).alias("train"))
     return documents.groupBy("train", "class").agg(F.count("*").alias("n"))
@@ -414,6 +431,33 @@ def lr_predictions(spark, sf):
     )
 
 
+def _linear(spark, sf, loss):
+    """A linear model of the train rows' terms, and the weighed test rows."""
+    tokenized = terms.with_tokens(_documents(spark, sf).select("doc_id", "class", "review"))
+    train, test = sample.split(keep(tokenized, "tokens"), "doc_id")
+    idf = linear.smoothed_idf(train)
+    model = linear.fit(linear.weigh_rows(train, idf), "class", loss, penalty=PENALTY)
+    return model, linear.weigh_rows(test, idf)
+
+
+def lr_term_weights(spark, sf):
+    """The weights of a logistic model over all tokens, and its bias under the empty token."""
+    model, _ = _linear(spark, sf, linear.LOGISTIC)
+    return model.weights.select("token", _six("weight"))
+
+
+def lr_term_predictions(spark, sf):
+    model, test = _linear(spark, sf, linear.LOGISTIC)
+    return linear.predict(model, test).select(
+        "doc_id", "class", "prediction", F.round(linear.probability(F.col("margin")), 6).alias("p1")
+    )
+
+
+def svc_term_predictions(spark, sf):
+    model, test = _linear(spark, sf, linear.SQUARED_HINGE)
+    return linear.predict(model, test).select("doc_id", "class", "prediction", _six("margin"))
+
+
 def _binary_embeddings(spark, sf):
     rows = tables.table(spark, sf, "embeddings").select(
         "vec_id", "embedding", (F.col("label") < 5).cast("int").alias("class")
@@ -431,6 +475,13 @@ def rf_predictions(spark, sf):
     return C.random_forest().fit(train).transform(test).select("vec_id", "class", "prediction")
 
 
+def gnb_predictions(spark, sf):
+    """Gaussian naive Bayes on the embeddings and their ten labels."""
+    vectors = tables.table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    train, test = sample.split(vectors, "vec_id")
+    return gaussian.predict(gaussian.fit(train, "embedding", "label"), test, "embedding", "label")
+
+
 def w2v_vectors(spark, sf):
     sentences = L.with_clean_sentence(tables.conversation_sentences(spark, sf))
     return L.fit_word2vec(sentences).transform(sentences).select(
@@ -525,6 +576,8 @@ QUERIES = {
         count_vector_terms, ml_tfidf_terms, nb_predictions, lr_predictions, svc_predictions,
         rf_predictions, w2v_vectors, lda_topics, model_roundtrip, score_comments,
         tfidf_classifiers, word2vec_classifiers, sentence_classifier, feature_table,
+        lr_term_weights, lr_term_predictions, svc_term_predictions,
+        porter_vocabulary, stemmed_term_counts, exact_split, gnb_predictions,
     )
 }
 QUERIES["clean_punct"] = clean_punct_texts

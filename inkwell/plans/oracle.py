@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from inkwell.plans.catalog import BOOK, BOOST, BOOST_TIMES, FEATURES, LENGTH_POINTS, LETTERS, LONG_DOCUMENT, RATIO_POINTS
+from inkwell.functions.stem import DOUBLE, LAST, LONG, MENDED, PLURALS
+from inkwell.learning.gaussian import SHARE, TINY
+from inkwell.learning.linear import PASSES
+from inkwell.plans.catalog import (
+    BOOK, BOOST, BOOST_TIMES, FEATURES, LENGTH_POINTS, LETTERS, LONG_DOCUMENT, PENALTY, RATIO_POINTS,
+)
 from inkwell.schema import STOP_WORDS, WHITESPACE
 from inkwell.sources.tables import LONG_LINE
 
@@ -140,6 +145,96 @@ _ML_TOKENS = f"""{_TOKENS}, counts_ AS (
 
 _EMPTY_DOUBLE = "NULL::DOUBLE"
 
+
+def _linear(slope: str, bend: float, result: str) -> str:
+    """All passes of a linear model over term weights, one table each."""
+    passes = []
+    for i in range(PASSES):
+        passes.append(f"""slope_{i} AS (
+            SELECT t.doc_id, {slope} AS slope FROM train_ t
+            LEFT JOIN (SELECT doc_id, sum(value * weight) AS total FROM x_ JOIN w_{i} USING (token) GROUP BY doc_id) s USING (doc_id)
+            CROSS JOIN b_{i}),
+        w_{i + 1} AS (
+            SELECT token, any_value(weight) - (sum(slope * value) / (SELECT count(*) FROM train_) + {PENALTY} * any_value(weight))
+                    / ({bend} * any_value(reach) + {PENALTY}) AS weight,
+                any_value(reach) AS reach
+            FROM w_{i} JOIN x_ USING (token) JOIN slope_{i} USING (doc_id) GROUP BY token),
+        b_{i + 1} AS (
+            SELECT any_value(bias) - avg(slope) / ({bend} * any_value(reach)) AS bias, any_value(reach) AS reach
+            FROM b_{i} CROSS JOIN slope_{i})""")
+    margin = "coalesce(total, 0) + bias"
+    passed = ", ".join(passes).replace("{margin}", margin).replace("{side}", "(2 * class - 1)")
+    return f"""WITH {_ML_TOKENS.replace("LEFT JOIN", "JOIN")}, train_ AS (SELECT doc_id, class FROM documents_ WHERE {_SPLIT}),
+idf_ AS (
+    SELECT token, ln(((SELECT count(*) FROM train_) + 1) / (count(*) + 1)) AS idf
+    FROM counts_ WHERE {_SPLIT} GROUP BY token),
+raw_ AS (SELECT doc_id, token, n * idf AS value FROM counts_ JOIN idf_ USING (token) WHERE idf <> 0),
+all_ AS (SELECT doc_id, token, value / sqrt(sum(value * value) OVER (PARTITION BY doc_id)) AS value FROM raw_),
+x_ AS (SELECT * FROM all_ WHERE {_SPLIT}), test_ AS (SELECT * FROM all_ WHERE NOT ({_SPLIT})),
+mass_ AS (SELECT doc_id, coalesce(sum(abs(value)), 0) + 1 AS mass FROM train_ LEFT JOIN x_ USING (doc_id) GROUP BY doc_id),
+w_0 AS (
+    SELECT token, 0.0::DOUBLE AS weight, sum(abs(value) * mass) / (SELECT count(*) FROM train_) AS reach
+    FROM x_ JOIN mass_ USING (doc_id) GROUP BY token),
+b_0 AS (SELECT 0.0::DOUBLE AS bias, avg(mass) AS reach FROM mass_),
+{passed},
+margin_ AS (
+    SELECT d.doc_id, d.class, {margin} AS margin FROM documents_ d
+    LEFT JOIN (SELECT doc_id, sum(value * weight) AS total FROM test_ JOIN w_{PASSES} USING (token) GROUP BY doc_id) s USING (doc_id)
+    CROSS JOIN b_{PASSES} WHERE NOT ({_SPLIT}))
+{result}"""
+
+
+def _stem_stages() -> str:
+    """One table a stage: each word and its letters' shape, v or c."""
+    marked = "regexp_replace(regexp_replace(w, '(^|[aeiou])y', '\\1Y', 'g'), 'yy', 'yY', 'g')"
+    shape = f"regexp_replace(regexp_replace({marked}, '[^aeiouy]', 'c', 'g'), '[aeiouy]', 'v', 'g')"
+
+    def measure(cut: int, of: str = "s") -> str:
+        return f"len(regexp_extract_all(left({of}, len({of}) - {cut}), 'vc'))"
+
+    def cases(found: list[tuple[str, str, str]]) -> str:
+        lines = " ".join(f"WHEN suffix(w, '{x}') THEN CASE WHEN {test} THEN {new} ELSE w END" for x, test, new in found)
+        return f"CASE {lines} ELSE w END"
+
+    def cut(x: str, new: str = "") -> str:
+        return f"left(w, len(w) - {len(x)}) || '{new}'"
+
+    closed = "(suffix(s, 'cvc') AND NOT regexp_matches(w, '[wxy]$'))"
+    open_before_e = "NOT (suffix(left(s, len(s) - 1), 'cvc') AND NOT regexp_matches(left(w, len(w) - 1), '[wxy]$'))"
+    past = cases([("eed", f"{measure(3)} > 0", "left(w, len(w) - 1)")] + [
+        (x, f"contains(left(s, len(s) - {len(x)}), 'v')", f"'+' || left(w, len(w) - {len(x)})") for x in ("ed", "ing")
+    ])
+    # A + before the word says that its end has to be mended.
+    mended = f"""CASE WHEN NOT mend THEN w WHEN regexp_matches(w, '({"|".join(MENDED)})$') THEN w || 'e'
+        WHEN suffix(s, 'cc') AND right(w, 1) = left(right(w, 2), 1) AND NOT regexp_matches(w, '[lsz]$') THEN left(w, len(w) - 1)
+        WHEN {measure(0)} = 1 AND {closed} THEN w || 'e' ELSE w END"""
+    last = [(x, f"{measure(3 if x in ('sion', 'tion') else len(x))} > 1", cut("ion" if x in ("sion", "tion") else x)) for x in LAST]
+    stages = [
+        cases([(x, "true", cut(x, new)) for x, new in PLURALS]),
+        past,
+        mended,
+        "CASE WHEN suffix(w, 'y') AND contains(left(s, len(s) - 1), 'v') THEN left(w, len(w) - 1) || 'i' ELSE w END",
+        cases([(x, f"{measure(len(x))} > 0", cut(x, new)) for x, new in DOUBLE]),
+        cases([(x, f"{measure(len(x))} > 0", cut(x, new)) for x, new in LONG]),
+        cases(last),
+        f"""CASE WHEN suffix(w, 'e') AND ({measure(1)} > 1 OR ({measure(1)} = 1 AND {open_before_e}))
+            THEN left(w, len(w) - 1) ELSE w END""",
+        f"CASE WHEN suffix(w, 'll') AND {measure(0)} > 1 THEN left(w, len(w) - 1) ELSE w END",
+    ]
+    tables = ["stage_0 AS (SELECT DISTINCT token, token AS w, false AS mend FROM tokens_)"]
+    for i, stage in enumerate(stages):
+        tables.append(f"""stage_{i + 1} AS (
+            SELECT token, ltrim(new, '+') AS w, prefix(new, '+') AND new <> '+' AND len(token) > 2 AND NOT prefix(w, '+') AS mend FROM (
+                SELECT token, w, {stage} AS new FROM (SELECT token, w, mend, {shape} AS s FROM stage_{i})))""")
+    return ", ".join(tables) + f""", stems_ AS (
+        SELECT token, CASE WHEN len(token) <= 2 THEN token ELSE w END AS stem FROM stage_{len(stages)})"""
+
+
+_STEMS = f"{_TOKENS}, {_stem_stages()}"
+
+_LOGISTIC = ("-{side} / (1 + exp({side} * ({margin})))", 0.25)
+_HINGE = ("-2 * {side} * greatest(1 - {side} * ({margin}), 0)", 2.0)
+
 ORACLE: dict[str, str] = {
     "json_roundtrip": _SENTENCES,
     "csv_roundtrip": f"WITH {_ALL_DOCUMENTS} SELECT doc_id, class, {_clean('review')} AS review FROM documents_",
@@ -292,6 +387,31 @@ score_ AS (
     LEFT JOIN counts_ c ON c.doc_id = d.doc_id LEFT JOIN cell_ k ON k.token = c.token AND k.class = p.class
     GROUP BY d.doc_id, d.class, p.class, p.lp)
 SELECT doc_id, class, arg_max(guess, score) AS prediction FROM score_ GROUP BY doc_id, class""",
+    "lr_term_weights": _linear(*_LOGISTIC, f"""SELECT token, round(weight, 6) AS weight FROM w_{PASSES}
+UNION ALL SELECT '', round(bias, 6) FROM b_{PASSES}"""),
+    "lr_term_predictions": _linear(*_LOGISTIC, """SELECT doc_id, class, (margin > 0)::INTEGER AS prediction,
+    round(1 / (1 + exp(-margin)), 6) AS p1 FROM margin_"""),
+    "svc_term_predictions": _linear(
+        *_HINGE, "SELECT doc_id, class, (margin > 0)::INTEGER AS prediction, round(margin, 6) AS margin FROM margin_"
+    ),
+    "porter_vocabulary": f"WITH {_STEMS} SELECT token, stem FROM stems_",
+    "stemmed_term_counts": f"""WITH {_STEMS}
+SELECT doc_id, stem, count(*) AS n FROM tokens_ JOIN stems_ USING (token) GROUP BY doc_id, stem""",
+    "exact_split": f"""WITH {_ALL_DOCUMENTS}
+SELECT doc_id, class, row_number() OVER (PARTITION BY class ORDER BY left(md5('80:' || doc_id::VARCHAR), 15), doc_id)
+    <= floor(count(*) OVER (PARTITION BY class) * 0.8 + 0.5) AS chosen FROM documents_""",
+    "gnb_predictions": f"""WITH entries_ AS (
+    SELECT vec_id, label, {_SPLIT.replace("doc_id", "vec_id")} AS train, unnest(embedding)::DOUBLE AS x,
+        generate_subscripts(embedding, 1) AS place FROM embeddings),
+more_ AS (SELECT {SHARE} * max(v) + {TINY} AS more FROM (SELECT var_pop(x) AS v FROM entries_ WHERE train GROUP BY place)),
+class_ AS (
+    SELECT label AS guess, place, avg(x) AS m, var_pop(x) + any_value(more) AS v, count(*) AS n
+    FROM entries_, more_ WHERE train GROUP BY label, place),
+prior_ AS (SELECT guess, ln(n / sum(n) OVER ()) AS lp FROM class_ WHERE place = 1),
+score_ AS (
+    SELECT vec_id, label, guess, any_value(lp) - sum(ln(2 * pi() * v) + (x - m) * (x - m) / v) / 2 AS score
+    FROM entries_ JOIN class_ USING (place) JOIN prior_ USING (guess) WHERE NOT train GROUP BY vec_id, label, guess)
+SELECT vec_id, label, arg_max(guess, score) AS prediction FROM score_ GROUP BY vec_id, label""",
     "model_roundtrip": f"WITH {_DOCUMENTS} SELECT doc_id, true AS same_logistic, true AS same_forest FROM documents_",
     "feature_table": f"""WITH {_REVIEW_RATIOS}, plain_ AS (
     SELECT doc_id::VARCHAR AS review_id, regexp_replace(lower(string_agg(reviews, ' ' ORDER BY pos)), '[^a-z]+', ' ', 'g') AS text

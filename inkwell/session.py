@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,13 +53,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def keep(frame: DataFrame, name: str) -> DataFrame:
+#: Paths of the kept tables of each open ``scratch`` block, the innermost last.
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open scratch blocks", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that ``keep`` writes within the block when it ends.
+
+    Nothing may be read from them later: what leaves the block is kept with ``lasting``.
+    """
+    paths: list[str] = []
+    token = _OPEN.set((*_OPEN.get(), paths))
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in paths:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system that Spark uses for it."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def keep(frame: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """The frame as a table written to the shared folder.
 
     For tables that are read several times or must not change between two reads:
     they are computed once, a lost executor does not bring their lineage back, and
-    Spark knows their size when it picks a join.
+    Spark knows their size when it picks a join. Within a ``scratch`` block the table goes
+    when the block ends, a ``lasting`` one when the block around it does.
     """
     path = scratch_path(frame.sparkSession, name)
+    blocks = _OPEN.get()
+    if len(blocks) > lasting:
+        blocks[-1 - lasting].append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
