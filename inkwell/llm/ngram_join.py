@@ -2,7 +2,8 @@
 
 Documents are sets of shingles (five words in a row, lower case). Two documents are
 linked if the Jaccard similarity of their sets is ``THRESHOLD`` or more. Equal sets are one
-*text*; everything below works on one representative of each text.
+*text*, told apart by a 128-bit mark and numbered; everything below works on these numbers, and
+document keys come back at the end.
 
 1. Every set is mapped to ``POSITIONS`` tokens (minimum hashes), of which two sets share each
    with a probability equal to their similarity.
@@ -24,8 +25,8 @@ linked if the Jaccard similarity of their sets is ``THRESHOLD`` or more. Equal s
 Defined results: a text without words (null and empty ones, too) has no shingles and is
 linked to nothing: its class is itself. A text of one to four words has one shingle, of
 all its words. Rows without a key get a null class and no links, and count for nobody.
-Rows repeated under one key count as often as they occur, and are never linked to
-themselves by that. Columns other than key and text are not read.
+Rows under one key, with equal or different texts, count as often as they occur. Columns other
+than key and text are not read.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from inkwell.llm import textnum
 from inkwell.llm.shipping import map_batches, ship
 from inkwell.llm.sieve import sieve
-from inkwell.session import keep
+from inkwell.session import keep, scratch
 
 SHINGLE, THRESHOLD = 5, 0.8
 POSITIONS, BRANCH, LEVELS, SMALL = 128, 2.0, 3, 1000
@@ -52,7 +53,7 @@ BLOCK = 2000
 #: A tile's side weighs about so much; a document weighs its shingles and ``WEIGHT``.
 TILE, WEIGHT = 250_000, 250
 #: Small buckets are put together for one call up to about so many rows.
-BUNDLE = 30_000
+BUNDLE = 4_000
 #: Similarities estimated from POSITIONS tokens are off by this, 4 standard deviations.
 SLACK = 0.14
 
@@ -80,7 +81,7 @@ def _min_hashes(shingles: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def features(documents: DataFrame, key: str) -> DataFrame:
-    """key, s1, s2 (128-bit mark of the shingle set), n (its size), tokens and sketch of each row.
+    """key, s1, s2 (128-bit mark of the shingle set), n (its size) and tokens of each row.
 
     ``n`` is 0 for a row without a key or a word.
     """
@@ -94,13 +95,13 @@ def features(documents: DataFrame, key: str) -> DataFrame:
                 found, ends = textnum.shingle_sets(held, SHINGLE)
                 sizes = np.diff(ends, prepend=0)
                 some = np.flatnonzero(sizes)
-                marks, tokens, sketches = np.zeros((2, len(held)), np.uint64), [b""] * len(held), [b""] * len(held)
+                marks, tokens = np.zeros((2, len(held)), np.uint64), [b""] * len(held)
                 if len(some):
                     starts = (ends - sizes)[some]
                     for seed in (0, 1):
                         marks[seed, some] = np.add.reduceat(textnum.mix(found, seed + 1), starts)
                     for i, row in zip(some, _min_hashes(found, ends[some])):
-                        tokens[i], sketches[i] = row.tobytes(), row.astype(np.uint8).tobytes()
+                        tokens[i] = row.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(key).slice(first, len(held)),
@@ -108,43 +109,64 @@ def features(documents: DataFrame, key: str) -> DataFrame:
                         pa.array(marks[1].view(np.int64)),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(tokens, pa.binary()),
-                        pa.array(sketches, pa.binary()),
                     ],
-                    [key, "s1", "s2", "n", "tokens", "sketch"],
+                    [key, "s1", "s2", "n", "tokens"],
                 )
 
-    schema = f"`{key}` {kind}, s1 bigint, s2 bigint, n bigint, tokens binary, sketch binary"
+    schema = f"`{key}` {kind}, s1 bigint, s2 bigint, n bigint, tokens binary"
     return map_batches(documents.select(key, "text"), turn, schema)
 
 
-def _children(rows: DataFrame, key: str, kind: str, runs: int | None) -> DataFrame:
-    """Split buckets: (path, tokens) to the paths of the chosen positions.
-
-    At the root, ``runs`` paths are started for each row.
-    """
+def _chosen(paths: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and path of each child of the given paths, one for each row of ``tokens``."""
     limit = np.uint64(int(BRANCH / (THRESHOLD * POSITIONS) * (1 << 32)))
     place = np.arange(POSITIONS, dtype=np.uint64)[None, :]
+    chosen = (textnum.mix(textnum.mix(paths)[:, None] + place) >> np.uint64(32)) < limit
+    row, position = np.nonzero(chosen)
+    return row, textnum.mix(textnum.mix(paths[row] + position.astype(np.uint64), 4) + tokens[row, position])
+
+
+def _token_rows(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    for at in range(0, batch.num_rows, 2000):
+        part = batch.slice(at, 2000)
+        yield part, np.frombuffer(b"".join(part.column("tokens").to_pylist()), np.uint32).reshape(-1, POSITIONS)
+
+
+def rooted(texts: DataFrame, runs: int) -> DataFrame:
+    """id, sketch and paths at the first level of all runs, from id and tokens."""
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(-1, POSITIONS)
-                if runs is None:
-                    starts = [batch.column("path").to_numpy().view(np.uint64)]
-                else:
-                    starts = [np.full(batch.num_rows, r + 1, np.uint64) for r in range(runs)]
-                for path in starts:
-                    chosen = (textnum.mix(textnum.mix(path)[:, None] + place) >> np.uint64(32)) < limit
-                    row, position = np.nonzero(chosen)
-                    child = textnum.mix(textnum.mix(path[row] + position.astype(np.uint64), 4) + tokens[row, position])
-                    if len(row):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(child.view(np.int64)), batch.column(key).take(pa.array(row))], ["path", key]
-                        )
-
-    columns = ["path", key, "tokens"] if runs is None else [key, "tokens"]
-    return map_batches(rows.select(*columns), turn, f"path bigint, `{key}` {kind}")
+        for batch in batches:
+            for part, tokens in _token_rows(batch):
+                found = [_chosen(np.full(part.num_rows, r + 1, np.uint64), tokens) for r in range(runs)]
+                row = np.concatenate([f[0] for f in found])
+                order = np.argsort(row, kind="stable")
+                paths = np.concatenate([f[1] for f in found])[order].view(np.int64)
+                ends = np.searchsorted(row[order], np.arange(part.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("id"),
+                        pa.array([t.tobytes() for t in tokens.astype(np.uint8)], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(paths)),
+                    ],
+                    ["id", "sketch", "paths"],
+                )
+
+    return map_batches(texts.select("id", "tokens"), turn, "id bigint, sketch binary, paths array<bigint>")
+
+
+def _children(rows: DataFrame) -> DataFrame:
+    """Split buckets: (path, id, tokens) to the paths of the chosen positions."""
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, tokens in _token_rows(batch):
+                row, child = _chosen(part.column("path").to_numpy().view(np.uint64), tokens)
+                if len(row):
+                    ids = part.column("id").take(pa.array(row))
+                    yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), ids], ["path", "id"])
+
+    return map_batches(rows.select("path", "id", "tokens"), turn, "path bigint, id bigint")
 
 
 def _groups(sketches: np.ndarray) -> np.ndarray:
@@ -167,12 +189,12 @@ def _groups(sketches: np.ndarray) -> np.ndarray:
     return label
 
 
-def _solve(buckets: DataFrame, key: str, kind: str, bundle: list[str]) -> DataFrame:
-    """Links (u, v) that connect the candidate groups of each bucket: (path, key, sketch)."""
+def _solve(buckets: DataFrame, bundle: list[str]) -> DataFrame:
+    """Links (u, v) that connect the candidate groups of each bucket: (path, id, sketch)."""
 
     def turn(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates(["path", key]).sort_values(["path", key])
-        keys, paths = rows[key].to_numpy(), rows["path"].to_numpy()
+        rows = rows.drop_duplicates(["path", "id"]).sort_values(["path", "id"])
+        keys, paths = rows["id"].to_numpy(), rows["path"].to_numpy()
         sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(keys), POSITIONS)
         starts = np.flatnonzero(np.concatenate([[True], paths[1:] != paths[:-1]]))
         root = np.arange(len(keys))
@@ -183,36 +205,36 @@ def _solve(buckets: DataFrame, key: str, kind: str, bundle: list[str]) -> DataFr
         return pd.DataFrame({"u": keys[root[joined]], "v": keys[joined]})
 
     ship(buckets.sparkSession)
-    return buckets.groupBy(*bundle).applyInPandas(turn, f"u {kind}, v {kind}")
+    return buckets.groupBy(*bundle).applyInPandas(turn, "u bigint, v bigint")
 
 
-def candidate_pairs(texts: DataFrame, key: str, recall: float = RECALL) -> DataFrame:
-    """Pairs (u, v) whose connected components hold every link of ``texts`` (key, tokens, sketch).
+def candidate_pairs(texts: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Pairs (u, v) whose connected components hold every link of ``texts`` (id, sketch, paths).
 
-    ``texts`` is read several times, so pass a kept table.
+    ``texts`` is read several times, so pass a kept table; ``tokens`` (id, tokens) is read
+    only where buckets have to be split.
     """
-    kind = texts.schema[key].dataType.simpleString()
-    sketches = texts.select(key, "sketch")
-    live, solved, large = _children(texts, key, kind, runs_needed(recall)), [], None
+    sketches, live = texts.select("id", "sketch"), texts.select("id", F.explode("paths").alias("path"))
+    solved, large = [], None
     for level in range(1, LEVELS + 1):
-        live = keep(live, "paths")
         sizes = keep(live.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
         small, large = F.col("size") <= SMALL, F.col("size") > SMALL
         counted = sizes.agg(F.sum(F.when(small, F.col("size"))).alias("rows"), F.count_if(large).alias("large")).first()
+        # Paths with one text are left behind here, before anything is written.
         several = live.join(sizes, "path")
         bundle = F.pmod(F.xxhash64("path"), F.lit((counted["rows"] or 0) // BUNDLE + 1)).alias("bundle")
-        rows = several.where(small).join(sketches, key).select(bundle, "path", key, "sketch")
-        solved.append(_solve(rows, key, kind, ["bundle"]))
-        large = several.where(large) if counted["large"] else None
+        rows = several.where(small).join(sketches, "id").select(bundle, "path", "id", "sketch")
+        solved.append(_solve(rows, ["bundle"]))
+        large = keep(several.where(large), "large") if counted["large"] else None
         if large is None:
             break
         if level < LEVELS:
-            live = _children(large.join(texts.select(key, "tokens"), key), key, kind, None)
+            live = keep(_children(large.join(tokens, "id")), "paths")
     if large is not None:
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        rows = large.join(sketches, key).withColumn("side", F.pmod(F.xxhash64(key), blocks).cast("int"))
-        rows = rows.select("path", key, "sketch", F.explode(_tiles(blocks, F.col("side"))).alias("tile"))
-        solved.append(_solve(rows, key, kind, ["path", "tile"]))
+        rows = large.join(sketches, "id").withColumn("side", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+        rows = rows.select("path", "id", "sketch", F.explode(_tiles(blocks, F.col("side"))).alias("tile"))
+        solved.append(_solve(rows, ["path", "tile"]))
     pairs = solved[0]
     for more in solved[1:]:
         pairs = pairs.unionByName(more)
@@ -272,11 +294,11 @@ def _pair_counts(sets: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
-def _verify(tile: pd.DataFrame, key: str, threshold: float) -> pd.DataFrame:
+def _verify(tile: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links of one tile: for each text the copies it is linked to, and links that connect it."""
     u, v, links = [], [], []
-    tile = tile.drop_duplicates(["component", key]).sort_values(["component", key])
-    all_keys, all_copies, all_sides = tile[key].to_numpy(), tile["copies"].to_numpy(), tile["side"].to_numpy()
+    tile = tile.drop_duplicates(["component", "id"]).sort_values(["component", "id"])
+    all_keys, all_copies, all_sides = tile["id"].to_numpy(), tile["copies"].to_numpy(), tile["side"].to_numpy()
     all_sets = [np.frombuffer(x, np.uint64) for x in tile["shingles"]]
     whose, across = tile["component"].to_numpy(), bool(tile["across"].iloc[0])
     starts = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1]]))
@@ -313,10 +335,10 @@ def _verify(tile: pd.DataFrame, key: str, threshold: float) -> pd.DataFrame:
 def verified(documents: DataFrame, texts: DataFrame, groups: DataFrame, key: str, threshold: float) -> DataFrame:
     """Rows (u, v, links): u = v with a text's links in a tile, or a link that connects two texts.
 
-    ``texts`` has key, s1, s2, n, copies of representatives, ``groups`` key and component.
+    ``texts`` has id, a key of a document that has it, s1, s2, n and copies, ``groups`` key (an id)
+    and component.
     """
-    kind = documents.schema[key].dataType.simpleString()
-    members = texts.select(key, "s1", "s2", "n", "copies").join(groups.withColumnRenamed("key", key), key)
+    members = texts.join(groups.withColumnRenamed("key", "id"), "id")
     weight = F.col("n") + WEIGHT
     sizes = members.groupBy("component").agg(F.ceil(F.sum(weight) / TILE).cast("int").alias("blocks"))
     members = keep(members.join(sizes, "component"), "members")
@@ -342,11 +364,11 @@ def verified(documents: DataFrame, texts: DataFrame, groups: DataFrame, key: str
                     [*columns, "shingles"],
                 )
 
-    columns = [key, "component", "blocks", "copies"]
+    columns = ["id", "component", "blocks", "copies"]
     wanted = sieve(documents.select(key, "text"), members, key).join(members.drop("n"), key)
-    schema = f"`{key}` {kind}, component {kind}, blocks int, copies bigint, shingles binary"
+    schema = "id bigint, component bigint, blocks int, copies bigint, shingles binary"
     loaded = map_batches(wanted.select(*columns, "s1", "s2", "text"), sets, schema)
-    side = F.pmod(F.xxhash64(key, F.lit(9)), F.col("blocks")).cast("int")
+    side = F.pmod(F.xxhash64("id", F.lit(9)), F.col("blocks")).cast("int")
     own = F.struct(F.col("side").alias("i"), F.col("side").alias("j"))
     tiles = F.array_distinct(F.concat(F.array(own), _tiles(F.col("blocks"), F.col("side"))))
     bundle = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(bundles))).otherwise(F.xxhash64("component"))
@@ -354,41 +376,45 @@ def verified(documents: DataFrame, texts: DataFrame, groups: DataFrame, key: str
     placed = placed.withColumn("bundle", bundle).withColumn("across", F.col("tile.i") != F.col("tile.j"))
 
     def turn(tile: pd.DataFrame) -> pd.DataFrame:
-        return _verify(tile, key, threshold)
+        return _verify(tile, threshold)
 
     ship(documents.sparkSession)
-    return placed.groupBy("bundle", "tile").applyInPandas(turn, f"u {kind}, v {kind}, links bigint")
+    return placed.groupBy("bundle", "tile").applyInPandas(turn, "u bigint, v bigint, links bigint")
 
 
 def classes(documents: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """key, class_id and links of each row of ``documents`` (key, text).
+    """key, class_id and links of each row of ``documents`` (key, text), as a kept table.
 
     The class is the smallest key among all documents that links connect; links counts the
-    other documents that are linked to it, copies included.
+    other documents that are linked to it, copies included. Tables in between are deleted.
     """
     if threshold < THRESHOLD:
         raise ValueError(f"similarities below {THRESHOLD} need other settings")
-    found = keep(features(documents, key), "features")
-    marks, some = ["s1", "s2"], F.col("n") > 0
-    groups = found.where(some).groupBy(*marks).agg(F.min(key).alias("text_id"), F.count("*").alias("copies"))
-    groups = keep(groups, "texts")
-    # One row of each text; rows repeated under one key would come in several times.
-    texts = found.where(some).join(groups.withColumnRenamed("text_id", key), [key, *marks]).dropDuplicates([key, *marks])
-    texts = keep(texts.select(key, *marks, "n", "copies", "tokens", "sketch"), "representatives")
-    pairs = candidate_pairs(texts, key, recall)
-    groups_of = components(pairs)
-    checked = keep(verified(documents, texts, groups_of, key, threshold), "verified")
-    links = checked.where("u = v").groupBy(F.col("u").alias("text_id")).agg(F.sum("links").alias("others"))
-    joined = components(checked.where("u != v").select("u", "v"))
-    by_text = (
-        groups.join(links, "text_id", "left")
-        .join(joined.select(F.col("key").alias("text_id"), "component"), "text_id", "left")
-        .select(
-            *marks,
-            F.coalesce("component", "text_id").alias("class_id"),
-            (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"),
+    with scratch(documents.sparkSession):
+        found = keep(features(documents, key), "features")
+        marks, some = ["s1", "s2"], F.col("n") > 0
+        counted = found.where(some).groupBy(*marks).agg(F.min(key).alias(key), F.first("n").alias("n"), F.count("*").alias("copies"))
+        texts = keep(counted.withColumn("id", F.monotonically_increasing_id()), "texts")
+        with scratch(documents.sparkSession):
+            # One row of each text; rows repeated under one key would come in several times.
+            one = found.where(some).select(key, *marks, "tokens").join(texts.select(key, *marks, "id"), [key, *marks])
+            tokens = one.dropDuplicates([key, *marks]).select("id", "tokens")
+            pairs = candidate_pairs(keep(rooted(tokens, runs_needed(recall)), "representatives"), tokens)
+            groups_of = keep(components(pairs), "groups", lasting=True)
+        checked = keep(verified(documents, texts, groups_of, key, threshold), "verified")
+        links = checked.where("u = v").groupBy(F.col("u").alias("id")).agg(F.sum("links").alias("others"))
+        joined = components(checked.where("u != v").select("u", "v")).withColumnRenamed("key", "id")
+        members = joined.join(texts.select("id", key), "id")
+        least = keep(members.groupBy("component").agg(F.min(key).alias("class_id")), "least")
+        by_text = (
+            texts.join(links, "id", "left")
+            .join(joined.join(least, "component").select("id", "class_id"), "id", "left")
+            .select(
+                *marks,
+                F.coalesce("class_id", F.col(key)).alias("class_id"),
+                (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"),
+            )
         )
-    )
-    linked = found.where(some).select(key, *marks).join(by_text, marks).select(key, "class_id", "links")
-    alone = found.where(~some).select(key, F.col(key).alias("class_id"), F.lit(0).cast("bigint").alias("links"))
-    return linked.unionByName(alone)
+        linked = found.where(some).select(key, *marks).join(by_text, marks).select(key, "class_id", "links")
+        alone = found.where(~some).select(key, F.col(key).alias("class_id"), F.lit(0).cast("bigint").alias("links"))
+        return keep(linked.unionByName(alone), "classes", lasting=True)

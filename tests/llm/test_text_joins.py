@@ -1,5 +1,6 @@
 import random
 import tracemalloc
+from pathlib import Path
 
 import duckdb
 from helpers import ODD, documents, links, shingles, words
@@ -50,6 +51,32 @@ def test_join_query_and_empty_table(spark):
     assert ngram_join.classes(documents(spark, []).limit(0)).count() == 0
 
 
+def test_texts_under_one_id_are_told_apart(spark):
+    rng = random.Random(8)
+    a, b = ([f"{x}{rng.randrange(10**6)}" for _ in range(300)] for x in "ab")
+    near_a, near_b = changed(rng, a, 0.004), changed(rng, b, 0.004)
+    a, b = " ".join(a), " ".join(b)
+    rows = [(1, b), (1, a), (2, near_a), (5, near_b), (6, a), (6, a)]
+    found = ngram_join.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    # Each row with the links that unique ids would give it; both classes have 1 as smallest id.
+    assert sorted((r["doc_id"], r["class_id"], r["links"]) for r in found) == [
+        (1, 1, 1), (1, 1, 3), (2, 1, 3), (5, 1, 1), (6, 1, 3), (6, 1, 3)
+    ]
+    rows = [(1, a), (1, b), (2, near_a)]
+    found = ngram_join.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["links"]) for r in found) == [(1, 1, 0), (1, 1, 1), (2, 1, 1)]
+
+
+def test_tables_in_between_are_deleted(spark):
+    from inkwell.session import shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    result = ngram_join.classes(documents(spark, groups_of(random.Random(2))))
+    assert {p.name.split("-")[0] for p in set(folder.iterdir()) - before} == {"classes"}
+    assert result.count() > 0
+
+
 def test_runs_reach_the_recall():
     assert ngram_join.runs_needed(0.999) > ngram_join.runs_needed(0.9) >= 1
 
