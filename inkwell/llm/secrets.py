@@ -218,9 +218,16 @@ def scan(documents: DataFrame, text: str = "text", carry: tuple[str, ...] = ("do
     base holds (start, place of the kind in KINDS, end); runs holds (start, end, encoding,
     length class, p) of runs that overlap no base span and fit an encoding.
     """
-    rows = documents.select(
-        F.struct(*[F.col(c) for c in carry]).alias("_carried"), F.coalesce(F.col(text), F.lit("")).alias("_whole")
-    )
+    return _tested(documents.select(F.struct(*[F.col(c) for c in carry]).alias("_carried"), _whole(text)))
+
+
+def _whole(text: str) -> Column:
+    return F.coalesce(F.col(text), F.lit("")).alias("_whole")
+
+
+def _tested(rows: DataFrame) -> DataFrame:
+    """base and runs of each text in ``_whole``, beside the other columns."""
+    carried = [c for c in rows.columns if c != "_whole"]
     rows = compute_once(rows, "base", _base_spans(F.col("_whole")))
     none = F.array().cast("array<struct<start:int,end:int,run:string>>")
     runs = F.when(F.col("_whole").rlike(RUN), located(F.col("_whole"), RUN)).otherwise(none)
@@ -240,7 +247,7 @@ def scan(documents: DataFrame, text: str = "text", carry: tuple[str, ...] = ("do
             p_value(r["run"], r["encoding"]).alias("p"),
         ),
     )
-    return rows.select("_carried", "base", tested.alias("runs"))
+    return rows.select(*carried, "base", tested.alias("runs"))
 
 
 def thresholds(scanned: DataFrame, share: float = SHARE) -> DataFrame:
@@ -270,15 +277,22 @@ def thresholds(scanned: DataFrame, share: float = SHARE) -> DataFrame:
 
 
 def find(
-    documents: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",), share: float = SHARE
+    documents: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",), share: float = SHARE, twice: bool = False
 ) -> DataFrame:
     """The columns ``carry`` and spans of each row: (start, kind, end) by start, then kind as in KINDS.
 
-    The scan is kept as a table in the shared folder, as it is read for the thresholds and
-    for the result.
+    The scan is read for the thresholds and for the result, so it is kept as a table in the
+    shared folder. With ``twice`` the texts are scanned a second time instead, and nothing is
+    written: for carried columns that are as large as the texts.
     """
-    scanned = keep(scan(documents, text, carry), "secrets")
-    limits = thresholds(scanned, share).agg(
+    if twice:
+        counted = _tested(documents.select(_whole(text)))
+        scanned = _tested(documents.select(*[F.col(c).alias(f"_carried_{c}") for c in carry], _whole(text)))
+        carried = {c: F.col(f"`_carried_{c}`") for c in carry}
+    else:
+        counted = scanned = keep(scan(documents, text, carry), "secrets")
+        carried = {c: F.col("_carried")[c] for c in carry}
+    limits = thresholds(counted, share).agg(
         F.map_from_entries(
             F.collect_list(F.struct(F.concat_ws("/", "encoding", "length_class"), F.col("least_p")))
         ).alias("_limits")
@@ -293,7 +307,7 @@ def find(
     spans = F.transform(ordered, lambda s: F.struct(s["start"].alias("start"), named[s["kind"]].alias("kind"), s["end"].alias("end")))
     # One row with at most a number for each stratum.
     found = scanned.join(F.broadcast(limits))
-    return found.select(*[F.col("_carried")[c].alias(c) for c in carry if c != "spans"], spans.alias("spans"))
+    return found.select(*[value.alias(c) for c, value in carried.items() if c != "spans"], spans.alias("spans"))
 
 
 def written(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
