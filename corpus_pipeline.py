@@ -47,7 +47,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a placeholder."""
-    found = secrets.find(docs, carry=DOCUMENT)
+    found = secrets.find(docs, carry=DOCUMENT, twice=True)
     clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col("spans")))
     return clean.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*DOCUMENT)
 
