@@ -206,10 +206,11 @@ def naive_bayes(tokenized: DataFrame, key: str, label: str) -> DataFrame:
     """key, label and prediction of multinomial naive Bayes fitted on the same documents.
 
     Sums by class and token, smoothed by one; no token is left out. Equal scores go to
-    the smaller class. A document without a token gets the most frequent class.
+    the smaller class. A document without a token gets the most frequent class. Documents are told
+    apart by a row number, so null and repeated keys do no harm.
     """
-    documents = keep(tokenized.where(F.col(label).isNotNull()), "labelled")
-    bags = keep(term_bags(documents.select(key, label, "tokens")).select(key, label, "token", "n"), "bags")
+    documents = keep(tokenized.where(F.col(label).isNotNull()).withColumn("_row", F.monotonically_increasing_id()), "labelled")
+    bags = keep(term_bags(documents.select("_row", label, "tokens")).select("_row", label, "token", "n"), "bags")
     cells = bags.groupBy("token", label).agg(F.sum("n").alias("n"))
     cells = keep(cells.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("by_class")), "cells")
     # One row per class reaches the driver, as in any fitted model.
@@ -222,7 +223,8 @@ def naive_bayes(tokenized: DataFrame, key: str, label: str) -> DataFrame:
         F.sum(F.col("n") * (F.ln(F.coalesce(F.col("by_class")[F.lit(c)], F.lit(0)) + 1) - math.log(totals.get(c, 0) + kinds))).alias(f"_{i}")
         for i, c in enumerate(classes)
     ]
-    scored = documents.select(key, label).join(enrich(bags, cells, "token").groupBy(key).agg(*likelihood), key, "left")
+    sums = enrich(bags, cells, "token").groupBy("_row").agg(*likelihood)
+    scored = documents.select("_row", key, label).join(sums, "_row", "left")
     scores = [
         F.struct(
             (F.coalesce(f"_{i}", F.lit(0.0)) + math.log((sizes[c] + 1) / (size + len(classes)))).alias("score"),
@@ -234,6 +236,34 @@ def naive_bayes(tokenized: DataFrame, key: str, label: str) -> DataFrame:
     return scored.select(key, label, F.array_max(F.array(*scores))["guess"].alias("prediction"))
 
 
+def mutual_information(tokenized: DataFrame, label: str) -> DataFrame:
+    """token, df and mi, in nats, of a token's presence in a document with the document's class.
+
+    Documents without a class take no part; those without a token count as documents. From
+    document frequencies by class: one row for each token and class, then one a token. A
+    class's size, one number each, is all that the driver sees.
+    """
+    rows = keep(tokenized.where(F.col(label).isNotNull()).select(label, F.array_distinct("tokens").alias("tokens")), "labelled")
+    sizes = {r[0]: r[1] for r in rows.groupBy(label).agg(F.count("*")).collect()}
+    total = float(sum(sizes.values()))
+    cells = rows.select(label, F.explode("tokens").alias("token")).groupBy("token", label).agg(F.count("*").alias("n"))
+    found = cells.groupBy("token").agg(
+        F.sum("n").alias("df"), F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("_by_class")
+    )
+    df, mi = F.col("df"), F.lit(0.0)
+    for value, size in sorted(sizes.items()):
+        with_token = F.coalesce(F.col("_by_class")[F.lit(value)], F.lit(0))
+        for n, margin in ((with_token, df), (size - with_token, total - df)):
+            # An empty cell adds nothing.
+            mi = mi + F.when(n > 0, n / total * F.ln(n * total / (margin * F.lit(float(size))))).otherwise(0.0)
+    return found.select("token", "df", mi.alias("mi"))
+
+
+def top_informative(ranked: DataFrame, k: int) -> DataFrame:
+    """The ``k`` tokens with the most information; equal ones (to nine digits) by name."""
+    return ranked.orderBy(F.round("mi", 9).desc(), "token").limit(k)
+
+
 def conflated_vocabulary(tokenized: DataFrame) -> DataFrame:
     """Occurrences and word forms per plural stem, from the counted vocabulary."""
     return (

@@ -61,10 +61,12 @@ def _predicted(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _nested_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.with_length(
-        L.with_clean_review(reshape.assemble_nested(tables.reviews(spark, sf)))
-    )
+def _all_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.reviews(spark, sf, "left")
+
+
+def _nested_documents(reviews: DataFrame) -> DataFrame:
+    return profile.with_length(L.with_clean_review(reshape.assemble_nested(reviews)))
 
 
 # Sources and sinks
@@ -72,7 +74,7 @@ def _nested_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_roundtrip(spark, sf):
     path = scratch_path(spark, "reviews")
-    files.write_reviews(tables.reviews(spark, sf), path)
+    files.write_reviews(_all_reviews(spark, sf), path)
     return reshape.explode_sentences(files.read_reviews(spark, path)).select(
         "review_id", "user_id", "book_id", "rating", "has_spoiler", "pos", "class", "reviews"
     )
@@ -101,7 +103,7 @@ def hash_pick(spark, sf):
 
 
 def explode_sentences(spark, sf):
-    return reshape.explode_sentences(tables.reviews(spark, sf)).select(
+    return reshape.explode_sentences(_all_reviews(spark, sf)).select(
         "review_id", "book_id", "user_id", "has_spoiler", "rating", "pos", "class", "reviews"
     )
 
@@ -111,13 +113,13 @@ def assemble_reviews(spark, sf):
 
 
 def assemble_nested(spark, sf):
-    return reshape.assemble_nested(tables.reviews(spark, sf)).select(
+    return reshape.assemble_nested(_all_reviews(spark, sf)).select(
         "review_id", "class", "review", "book_id", "user_id", "rating", "has_spoiler"
     )
 
 
 def review_left_join(spark, sf):
-    reviews = tables.reviews(spark, sf)
+    reviews = _all_reviews(spark, sf)
     documents = reshape.assemble_reviews(reshape.explode_sentences(reviews))
     return joins.attach_reviews(documents, reviews.select("review_id", "book_id", "rating", "has_spoiler"))
 
@@ -130,15 +132,15 @@ def split_sentences(spark, sf):
 
 
 def class_counts(spark, sf):
-    return profile.class_counts(_nested_documents(spark, sf).select("class"))
+    return profile.class_counts(_nested_documents(_all_reviews(spark, sf)).select("class"))
 
 
 def avg_length_by_class(spark, sf):
-    return profile.mean_length(_nested_documents(spark, sf), "class").select("class", _six("avg_length"))
+    return profile.mean_length(_nested_documents(_all_reviews(spark, sf)), "class").select("class", _six("avg_length"))
 
 
 def avg_total_length(spark, sf):
-    return profile.mean_total_length(_nested_documents(spark, sf), "review_id", "has_spoiler").select(
+    return profile.mean_total_length(_nested_documents(tables.reviews(spark, sf)), "review_id", "has_spoiler").select(
         "has_spoiler", _six("avg_length")
     )
 
@@ -345,6 +347,12 @@ def char_counts(spark, sf):
     return terms.letter_counts(texts, "text", LETTERS)
 
 
+def mutual_information(spark, sf):
+    """The 100 tokens whose presence tells most about the class of a labelled document."""
+    tokenized = terms.with_tokens(_documents(spark, sf).select("doc_id", "class", "review"))
+    return terms.top_informative(terms.mutual_information(tokenized, "class"), 100).select("token", "df", _six("mi"))
+
+
 def vocabulary_conflation(spark, sf):
     return terms.conflated_vocabulary(_tokenized(spark, sf))
 
@@ -372,7 +380,7 @@ def split_counts(spark, sf):
 
 
 def split_anti(spark, sf):
-    documents = _documents(spark, sf).select("doc_id", "class")
+    documents = _all_documents(spark, sf).select("doc_id", "class")
     train, _ = sample.split(documents, "doc_id")
     return joins.complement(documents, train, "doc_id")
 
@@ -458,6 +466,13 @@ def svc_term_predictions(spark, sf):
     return linear.predict(model, test).select("doc_id", "class", "prediction", _six("margin"))
 
 
+def lr_auc(spark, sf):
+    """Area under the curve of the logistic model's margins on the test rows."""
+    model, test = _linear(spark, sf, linear.LOGISTIC)
+    scored = keep(linear.predict(model, test).select("class", F.round("margin", 9).alias("margin")), "margins")
+    return order.area_under_roc(scored, "class", "margin").select("positives", "negatives", _six("auc"))
+
+
 def _binary_embeddings(spark, sf):
     rows = tables.table(spark, sf, "embeddings").select(
         "vec_id", "embedding", (F.col("label") < 5).cast("int").alias("class")
@@ -577,7 +592,7 @@ QUERIES = {
         rf_predictions, w2v_vectors, lda_topics, model_roundtrip, score_comments,
         tfidf_classifiers, word2vec_classifiers, sentence_classifier, feature_table,
         lr_term_weights, lr_term_predictions, svc_term_predictions,
-        porter_vocabulary, stemmed_term_counts, exact_split, gnb_predictions,
+        lr_auc, porter_vocabulary, stemmed_term_counts, exact_split, gnb_predictions, mutual_information,
     )
 }
 QUERIES["clean_punct"] = clean_punct_texts

@@ -64,7 +64,9 @@ nested_ AS (
     SELECT review_id, class, string_agg(reviews, ' ' ORDER BY pos) AS review
     FROM sentences_ GROUP BY review_id, class)"""
 
-_SENTENCES = f"""WITH {_LINES}
+_ALL_LINES = _LINES.replace("documents JOIN labels", "documents LEFT JOIN labels")
+
+_SENTENCES = f"""WITH {_ALL_LINES}
 SELECT review_id, book_id, user_id, has_spoiler, rating, pos, class, reviews
 FROM sentences_ JOIN reviews_ USING (review_id)"""
 
@@ -244,9 +246,9 @@ ORDER BY md5('7:' || doc_id::VARCHAR), doc_id LIMIT 1""",
     "explode_sentences": _SENTENCES,
     "assemble_reviews": """SELECT conv_id AS review_id, role AS class, string_agg(text, ' ' ORDER BY turn) AS review
 FROM conversations GROUP BY conv_id, role""",
-    "assemble_nested": f"""WITH {_LINES}
+    "assemble_nested": f"""WITH {_ALL_LINES}
 SELECT review_id, class, review, book_id, user_id, rating, has_spoiler FROM nested_ JOIN reviews_ USING (review_id)""",
-    "review_left_join": f"""WITH {_LINES}
+    "review_left_join": f"""WITH {_ALL_LINES}
 SELECT review_id, class, review, book_id, rating, has_spoiler FROM nested_ LEFT JOIN reviews_ USING (review_id)""",
     "split_sentences": f"""WITH lines_ AS (
     SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS l,
@@ -254,10 +256,10 @@ SELECT review_id, class, review, book_id, rating, has_spoiler FROM nested_ LEFT
 SELECT conv_id, turn, line::INTEGER AS line,
     (generate_subscripts(string_split(trim(l, {_SPACE}), '. '), 1) - 1)::INTEGER AS part,
     unnest(string_split(trim(l, {_SPACE}), '. ')) AS review FROM lines_""",
-    "class_counts": f"""WITH {_LINES}
+    "class_counts": f"""WITH {_ALL_LINES}
 SELECT class::INTEGER AS class, count(*) AS n, grouping(class)::INTEGER AS is_total
 FROM nested_ GROUP BY ROLLUP (class)""",
-    "avg_length_by_class": f"WITH {_LENGTHS} SELECT class, round(avg(length), 6) AS avg_length FROM lengths_ GROUP BY class",
+    "avg_length_by_class": f"WITH {_LENGTHS.replace(_LINES, _ALL_LINES)} SELECT class, round(avg(length), 6) AS avg_length FROM lengths_ GROUP BY class",
     "avg_total_length": f"""WITH {_LENGTHS} SELECT has_spoiler, round(avg(total), 6) AS avg_length
 FROM (SELECT review_id, has_spoiler, sum(length) AS total FROM lengths_ GROUP BY ALL) GROUP BY has_spoiler""",
     "stopped_length": f"""WITH {_TOKENS}
@@ -351,7 +353,7 @@ SELECT CASE WHEN length(token) <= 2 THEN token
     ELSE left(token, length(token) - 1) END AS stem, sum(n)::BIGINT AS n, count(*) AS forms
 FROM vocabulary_ GROUP BY stem""",
     "split_counts": f"""WITH {_DOCUMENTS} SELECT {_SPLIT} AS train, class, count(*) AS n FROM documents_ GROUP BY ALL""",
-    "split_anti": f"WITH {_DOCUMENTS} SELECT doc_id, class FROM documents_ WHERE NOT ({_SPLIT})",
+    "split_anti": f"WITH {_ALL_DOCUMENTS} SELECT doc_id, class FROM documents_ WHERE NOT ({_SPLIT})",
     "weighted_f1": f"""WITH {_PREDICTED} SELECT round(sum(f1 * support) / sum(support), 6) AS weighted_f1,
     sum(support)::BIGINT AS n FROM rates_""",
     "auc": f"""WITH {_DOCUMENTS}, ranks_ AS (
@@ -391,9 +393,26 @@ SELECT doc_id, class, arg_max(guess, score) AS prediction FROM score_ GROUP BY d
 UNION ALL SELECT '', round(bias, 6) FROM b_{PASSES}"""),
     "lr_term_predictions": _linear(*_LOGISTIC, """SELECT doc_id, class, (margin > 0)::INTEGER AS prediction,
     round(1 / (1 + exp(-margin)), 6) AS p1 FROM margin_"""),
+    "lr_auc": _linear(*_LOGISTIC, """, rounded_ AS (SELECT class, round(margin, 9) AS m FROM margin_),
+ranks_ AS (SELECT class, rank() OVER (ORDER BY m) + (count(*) OVER (PARTITION BY m) - 1) / 2 AS r FROM rounded_)
+SELECT count_if(class = 1)::BIGINT AS positives, count_if(class = 0)::BIGINT AS negatives,
+    round((sum(r) FILTER (class = 1) - count_if(class = 1) * (count_if(class = 1) + 1) / 2)
+        / (count_if(class = 1) * count_if(class = 0)), 6) AS auc FROM ranks_"""),
     "svc_term_predictions": _linear(
         *_HINGE, "SELECT doc_id, class, (margin > 0)::INTEGER AS prediction, round(margin, 6) AS margin FROM margin_"
     ),
+    "mutual_information": f"""WITH {_ML_TOKENS.replace("LEFT JOIN", "JOIN")},
+size_ AS (SELECT class, count(*)::DOUBLE AS size FROM documents_ GROUP BY class),
+all_ AS (SELECT sum(size) AS total FROM size_),
+df_ AS (SELECT token, count(*) AS df FROM counts_ GROUP BY token),
+cell_ AS (
+    SELECT token, df, size, total, count(c.doc_id) AS n
+    FROM df_ CROSS JOIN size_ s CROSS JOIN all_ LEFT JOIN counts_ c USING (token, class) GROUP BY ALL),
+mi_ AS (
+    SELECT token, df, sum(CASE WHEN n > 0 THEN n / total * ln(n * total / (df * size)) ELSE 0 END
+        + CASE WHEN size - n > 0 THEN (size - n) / total * ln((size - n) * total / ((total - df) * size)) ELSE 0 END) AS mi
+    FROM cell_ GROUP BY token, df)
+SELECT token, df, round(mi, 6) AS mi FROM mi_ ORDER BY round(mi, 9) DESC, token LIMIT 100""",
     "porter_vocabulary": f"WITH {_STEMS} SELECT token, stem FROM stems_",
     "stemmed_term_counts": f"""WITH {_STEMS}
 SELECT doc_id, stem, count(*) AS n FROM tokens_ JOIN stems_ USING (token) GROUP BY doc_id, stem""",

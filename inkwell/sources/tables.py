@@ -42,13 +42,16 @@ def all_documents(spark: SparkSession, folder: str) -> DataFrame:
     return documents.join(labels, "doc_id", "left")
 
 
-def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents as reviews with their lines as nested sentences."""
+def reviews(spark: SparkSession, folder: str, how: str = "inner") -> DataFrame:
+    """Labelled documents as reviews with their lines as nested sentences.
+
+    With ``how="left"`` all documents; one without a label has a null rating and flag.
+    """
     sentences = F.transform(
         F.split("text", "\n"),
         lambda s: F.array(F.when(F.char_length(s) > LONG_LINE, "1").otherwise("0"), s),
     )
-    labelled = text_table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    labelled = text_table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id", how)
     return labelled.select(
         F.col("lang").alias("user_id"),
         F.lit(None).cast("string").alias("timestamp"),

@@ -116,3 +116,32 @@ def test_frequencies_over_rows_equal_those_of_the_whole(spark, corpus):
     order = ["doc_id", "token"]
     found = terms.term_frequencies_over_rows(halves.repartition(6), "doc_id").orderBy(order).collect()
     assert found == terms.term_frequencies(rows).orderBy(order).collect()
+
+
+def test_mutual_information_equals_plain_entropies(spark):
+    import math
+
+    rows = [("a", 0), ("a b", 0), ("b", 1), ("b c", 1), ("", 1), ("c", None), ("a b c", 0)]
+    frame = spark.createDataFrame([(t.split(), c) for t, c in rows], "tokens array<string>, class int")
+    found = {r["token"]: (r["df"], r["mi"]) for r in terms.mutual_information(frame, "class").collect()}
+    used = [(set(t.split()), c) for t, c in rows if c is not None]
+    assert set(found) == {"a", "b", "c"}
+    for token in found:
+        mi = 0.0
+        for there in (True, False):
+            for c in (0, 1):
+                n = sum((token in w) == there and x == c for w, x in used)
+                if n:
+                    mi += n / 6 * math.log(n * 6 / (sum((token in w) == there for w, _ in used) * sum(x == c for _, x in used)))
+        assert found[token] == (sum(token in w for w, _ in used), pytest.approx(mi))
+    assert terms.top_informative(terms.mutual_information(frame, "class"), 1).head()["token"] == "a"
+    assert terms.mutual_information(frame.where("class is null"), "class").count() == 0
+
+
+def test_naive_bayes_bears_null_and_repeated_keys(spark):
+    rows = [(1, 0, "a a"), (2, 0, "a"), (3, 1, "b b b"), (None, 1, "b b b"), (3, 0, "a a"), (None, 0, "")]
+    frame = spark.createDataFrame([(k, c, t.split()) for k, c, t in rows], "doc_id bigint, class int, tokens array<string>")
+    found = terms.naive_bayes(frame, "doc_id", "class").collect()
+    assert sorted(map(str, found)) == sorted(
+        f"Row(doc_id={k}, class={c}, prediction={int('b' in t)})" for k, c, t in rows
+    )
