@@ -236,6 +236,75 @@ def naive_bayes(tokenized: DataFrame, key: str, label: str) -> DataFrame:
     return scored.select(key, label, F.array_max(F.array(*scores))["guess"].alias("prediction"))
 
 
+def cross_validated_bayes(
+    tokenized: DataFrame, label: str, fold: Column, folds: int, smoothings: Sequence[float]
+) -> DataFrame:
+    """fold, smoothing, class and prediction of each document under naive Bayes fitted without its fold.
+
+    Counts by token, class and fold are taken once; a fold's model is the total minus the fold's own
+    counts, so no data is read again for a fold or a smoothing. ``fold`` is a number from 0. A
+    document is scored by all smoothings at once. Its tokens meet one row of counts each. Tokens
+    that only the document's fold has are unknown to its model and left out. Equal scores go to
+    the smaller class. Folds, classes and smoothings are few: their totals are on the driver.
+    """
+    rows = keep(
+        tokenized.where(F.col(label).isNotNull()).select(label, fold.cast("int").alias("_fold"), "tokens")
+        .withColumn("_row", F.monotonically_increasing_id()),
+        "labelled",
+    )
+    bags = keep(term_bags(rows).select("_row", label, "_fold", "token", "n"), "bags")
+    sizes = {(r[0], r[1]): r[2] for r in rows.groupBy("_fold", label).agg(F.count("*")).collect()}
+    classes = sorted({c for _, c in sizes})
+    # A token's counts by class and fold, one row a token.
+    cells = bags.groupBy("token", label, "_fold").agg(F.sum("n").alias("n"))
+    named = F.concat_ws("/", F.col("_fold"), F.col(label))
+    counts = keep(cells.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct(named, "n"))).alias("_counts")), "counts")
+
+    def count(k, c):
+        return F.coalesce(F.col("_counts")[F.concat_ws("/", F.lit(k), F.lit(c))], F.lit(0).cast("bigint"))
+
+    def without(k, c):
+        return sum((count(j, c) for j in range(folds) if j != k), F.lit(0).cast("bigint"))
+
+    # Occurrences by class, and kinds of tokens, without each fold: one row.
+    sums = counts.agg(*[
+        F.sum(without(k, c)).alias(f"n_{k}_{i}") for k in range(folds) for i, c in enumerate(classes)
+    ], *[
+        F.count_if(sum((without(k, c) for c in classes), F.lit(0)) > 0).alias(f"v_{k}") for k in range(folds)
+    ]).first()
+    if not classes or not sums[0]:
+        return rows.select("_fold", F.lit(0.0).alias("smoothing"), label, F.col(label).alias("prediction")).where("false")
+
+    def pick(of_fold):
+        found = F.lit(None)
+        for k in range(folds):
+            found = F.when(F.col("_fold") == k, of_fold(k)).otherwise(found)
+        return found
+
+    known = enrich(bags, counts, "token")
+    others = [pick(lambda k, c=c: without(k, c)) for c in classes]
+    known = known.select("_row", "_fold", "n", *[o.alias(f"o_{i}") for i, o in enumerate(others)])
+    known = known.where(sum((F.col(f"o_{i}") for i in range(len(classes))), F.lit(0)) > 0)
+    parts = []
+    for a, smoothing in enumerate(smoothings):
+        for i in range(len(classes)):
+            rest = pick(lambda k, i=i, s=smoothing: F.lit(math.log((sums[f"n_{k}_{i}"] or 0) + s * sums[f"v_{k}"] or 1)))
+            parts.append(F.sum(F.col("n") * (F.ln(F.col(f"o_{i}") + F.lit(float(smoothing))) - rest)).alias(f"s_{a}_{i}"))
+    scored = rows.select("_row", "_fold", label).join(known.groupBy("_row").agg(*parts), "_row", "left")
+    results = []
+    for a, smoothing in enumerate(smoothings):
+        options = []
+        for i, c in enumerate(classes):
+            prior = pick(lambda k, c=c: F.lit(math.log(
+                (sum(sizes.get((j, c), 0) for j in range(folds) if j != k) + 1)
+                / (sum(n for (j, _), n in sizes.items() if j != k) + len(classes))
+            )))
+            score = F.coalesce(F.col(f"s_{a}_{i}"), F.lit(0.0)) + prior
+            options.append(F.struct(score.alias("score"), F.lit(-i).alias("order"), F.lit(c).cast(rows.schema[label].dataType).alias("value")))
+        results.append(F.struct(F.lit(float(smoothing)).alias("smoothing"), F.array_max(F.array(*options))["value"].alias("prediction")))
+    return scored.select(F.col("_fold").alias("fold"), label, F.inline(F.array(*results)))
+
+
 def mutual_information(tokenized: DataFrame, label: str) -> DataFrame:
     """token, df and mi, in nats, of a token's presence in a document with the document's class.
 

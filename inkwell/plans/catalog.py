@@ -33,6 +33,8 @@ LETTERS = "".join(c for c in ascii_lowercase if c not in STOP_WORDS)
 LONG_DOCUMENT = 1500
 # Penalty on the squared weights of linear models; without it rare tokens learn single documents.
 PENALTY = 0.0001
+# The folds and the smoothings that cross-validation compares.
+FOLDS, SMOOTHINGS = 4, (0.1, 0.5, 1.0)
 
 
 def _six(name: str):
@@ -430,6 +432,15 @@ def nb_predictions(spark, sf):
     return terms.naive_bayes(_tokenized(spark, sf), "doc_id", "class")
 
 
+def nb_cross_validation(spark, sf):
+    """Weighted F1 of naive Bayes for each fold and smoothing."""
+    tokenized = terms.with_tokens(_documents(spark, sf).select("doc_id", "class", "review"))
+    digest = F.md5(F.col("doc_id").cast("string").cast("binary"))
+    fold = F.conv(F.left(digest, F.lit(7)), 16, 10).cast("bigint") % FOLDS
+    found = keep(terms.cross_validated_bayes(tokenized, "class", fold, FOLDS, SMOOTHINGS), "validated")
+    return evaluate.weighted_f1_by(found, ["fold", "smoothing"]).select("fold", "smoothing", _six("weighted_f1"), "n")
+
+
 def lr_predictions(spark, sf):
     train, test = sample.split(_clean_documents(spark, sf), "doc_id")
     model = L.fit_tfidf(train)
@@ -592,7 +603,7 @@ QUERIES = {
         rf_predictions, w2v_vectors, lda_topics, model_roundtrip, score_comments,
         tfidf_classifiers, word2vec_classifiers, sentence_classifier, feature_table,
         lr_term_weights, lr_term_predictions, svc_term_predictions,
-        lr_auc, porter_vocabulary, stemmed_term_counts, exact_split, gnb_predictions, mutual_information,
+        nb_cross_validation, lr_auc, porter_vocabulary, stemmed_term_counts, exact_split, gnb_predictions, mutual_information,
     )
 }
 QUERIES["clean_punct"] = clean_punct_texts

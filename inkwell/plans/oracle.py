@@ -6,7 +6,8 @@ from inkwell.functions.stem import DOUBLE, LAST, LONG, MENDED, PLURALS
 from inkwell.learning.gaussian import SHARE, TINY
 from inkwell.learning.linear import PASSES
 from inkwell.plans.catalog import (
-    BOOK, BOOST, BOOST_TIMES, FEATURES, LENGTH_POINTS, LETTERS, LONG_DOCUMENT, PENALTY, RATIO_POINTS,
+    BOOK, BOOST, BOOST_TIMES, FEATURES, FOLDS, LENGTH_POINTS, LETTERS, LONG_DOCUMENT, PENALTY, RATIO_POINTS,
+    SMOOTHINGS,
 )
 from inkwell.schema import STOP_WORDS, WHITESPACE
 from inkwell.sources.tables import LONG_LINE
@@ -234,6 +235,8 @@ def _stem_stages() -> str:
 
 _STEMS = f"{_TOKENS}, {_stem_stages()}"
 
+_FOLD = f"(('0x' || left(md5(doc_id::VARCHAR), 7))::BIGINT % {FOLDS})::INTEGER"
+
 _LOGISTIC = ("-{side} / (1 + exp({side} * ({margin})))", 0.25)
 _HINGE = ("-2 * {side} * greatest(1 - {side} * ({margin}), 0)", 2.0)
 
@@ -401,6 +404,38 @@ SELECT count_if(class = 1)::BIGINT AS positives, count_if(class = 0)::BIGINT AS
     "svc_term_predictions": _linear(
         *_HINGE, "SELECT doc_id, class, (margin > 0)::INTEGER AS prediction, round(margin, 6) AS margin FROM margin_"
     ),
+    "nb_cross_validation": f"""WITH {_ML_TOKENS.replace("LEFT JOIN", "JOIN")},
+fold_of_ AS (SELECT doc_id, {_FOLD} AS fold FROM documents_),
+docs_ AS (SELECT doc_id, class, fold FROM documents_ JOIN fold_of_ USING (doc_id)),
+bags_ AS (SELECT doc_id, class, fold, token, n FROM counts_ JOIN fold_of_ USING (doc_id)),
+folds_ AS (SELECT unnest(range({FOLDS}))::INTEGER AS fold),
+grid_ AS (SELECT unnest({list(SMOOTHINGS)})::DOUBLE AS smoothing),
+classes_ AS (SELECT DISTINCT class AS guess FROM docs_),
+cell_ AS (
+    SELECT f.fold, b.class AS guess, b.token, sum(b.n) AS n FROM folds_ f JOIN bags_ b ON b.fold <> f.fold
+    GROUP BY f.fold, b.class, b.token),
+known_ AS (SELECT DISTINCT fold, token FROM cell_),
+kinds_ AS (SELECT fold, count(*) AS v FROM known_ GROUP BY fold),
+total_ AS (SELECT fold, guess, sum(n) AS t FROM cell_ GROUP BY fold, guess),
+prior_ AS (
+    SELECT f.fold, c.guess, ln((count_if(d.class = c.guess) + 1) / (count(*) + (SELECT count(*) FROM classes_))) AS lp
+    FROM folds_ f JOIN docs_ d ON d.fold <> f.fold CROSS JOIN classes_ c GROUP BY f.fold, c.guess),
+score_ AS (
+    SELECT d.doc_id, d.class, d.fold, g.smoothing, p.guess, any_value(p.lp) + coalesce(sum(
+        CASE WHEN k.token IS NOT NULL THEN b.n * (ln(coalesce(c.n, 0) + g.smoothing) - ln(t.t + g.smoothing * v.v)) END), 0) AS score
+    FROM docs_ d CROSS JOIN grid_ g JOIN prior_ p ON p.fold = d.fold JOIN total_ t ON t.fold = d.fold AND t.guess = p.guess
+    JOIN kinds_ v ON v.fold = d.fold LEFT JOIN bags_ b ON b.doc_id = d.doc_id
+    LEFT JOIN known_ k ON k.fold = d.fold AND k.token = b.token
+    LEFT JOIN cell_ c ON c.fold = d.fold AND c.token = b.token AND c.guess = p.guess
+    GROUP BY d.doc_id, d.class, d.fold, g.smoothing, p.guess),
+guess_ AS (SELECT doc_id, class, fold, smoothing, arg_max(guess, score) AS prediction FROM score_ GROUP BY ALL),
+f1_ AS (
+    SELECT fold, smoothing, c.guess, count_if(class = c.guess) AS support,
+        coalesce(2 * count_if(class = c.guess AND prediction = c.guess)
+            / nullif(count_if(class = c.guess) + count_if(prediction = c.guess), 0), 0) AS f1
+    FROM guess_ CROSS JOIN classes_ c GROUP BY fold, smoothing, c.guess)
+SELECT fold, smoothing, round(sum(f1 * support) / sum(support), 6) AS weighted_f1, sum(support)::BIGINT AS n
+FROM f1_ GROUP BY fold, smoothing""",
     "mutual_information": f"""WITH {_ML_TOKENS.replace("LEFT JOIN", "JOIN")},
 size_ AS (SELECT class, count(*)::DOUBLE AS size FROM documents_ GROUP BY class),
 all_ AS (SELECT sum(size) AS total FROM size_),

@@ -145,3 +145,35 @@ def test_naive_bayes_bears_null_and_repeated_keys(spark):
     assert sorted(map(str, found)) == sorted(
         f"Row(doc_id={k}, class={c}, prediction={int('b' in t)})" for k, c, t in rows
     )
+
+
+def test_cross_validation_equals_fits_without_the_fold(spark):
+    import math
+    import random
+
+    from inkwell.operators.evaluate import weighted_f1, weighted_f1_by
+
+    r = random.Random(7)
+    rows = [(i, c, [r.choice("abcdef" if c else "defghi") for _ in range(r.randrange(0, 6))]) for i in range(60) for c in [int(r.random() < 0.4)]]
+    rows += [(60, None, ["a"]), (61, 1, ["only", "here"])]
+    frame = spark.createDataFrame(rows, "id int, class int, tokens array<string>")
+    found = terms.cross_validated_bayes(frame, "class", F.col("id") % 3, 3, [0.5, 1.0])
+    want = []
+    for fold in range(3):
+        train = [(c, t) for i, c, t in rows if c is not None and i % 3 != fold]
+        known = {w for _, t in train for w in t}
+        for smoothing in (0.5, 1.0):
+            for i, c, t in rows:
+                if c is None or i % 3 != fold:
+                    continue
+                scores = []
+                for k in (0, 1):
+                    own = [w for x, u in train if x == k for w in u]
+                    score = math.log((sum(x == k for x, _ in train) + 1) / (len(train) + 2))
+                    score += sum(math.log((own.count(w) + smoothing) / (len(own) + smoothing * len(known))) for w in t if w in known)
+                    scores.append(score)
+                want.append((fold, smoothing, c, int(scores[1] > scores[0])))
+    assert sorted(map(tuple, found.select("fold", "smoothing", "class", "prediction").collect())) == sorted(want)
+    one = weighted_f1(found.where("fold = 1 and smoothing = 1.0")).head()
+    assert weighted_f1_by(found, ["fold", "smoothing"]).where("fold = 1 and smoothing = 1.0").head()[2:] == tuple(one)
+    assert terms.cross_validated_bayes(frame.where("class is null"), "class", F.lit(0), 3, [1.0]).count() == 0
