@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from inkwell.functions.text import clean_punct, clean_text, letters_only
 from inkwell.learning import classifiers as C
 from inkwell.learning import features as L
-from inkwell.learning import gaussian, linear
+from inkwell.learning import cooccurrence, factors, gaussian, kernel, linear
 from inkwell.operators import evaluate, joins, order, profile, reshape, sample, terms
 from inkwell.plans import jobs
 from inkwell.schema import STOP_WORDS
@@ -33,6 +33,9 @@ LETTERS = "".join(c for c in ascii_lowercase if c not in STOP_WORDS)
 LONG_DOCUMENT = 1500
 # Penalty on the squared weights of linear models; without it rare tokens learn single documents.
 PENALTY = 0.0001
+# Factors of words and of documents.
+VECTOR, TOPICS = 10, 5
+KERNEL_GAMMA = 1.0
 # The folds and the smoothings that cross-validation compares.
 FOLDS, SMOOTHINGS = 4, (0.1, 0.5, 1.0)
 
@@ -89,6 +92,34 @@ def csv_roundtrip(spark, sf):
     return files.read_documents_csv(spark, path)
 
 
+def json_quarantine(spark, sf):
+    """Lines by the reason they are kept aside, good ones under an empty reason.
+
+    All reviews are written as JSON lines. Of those outside the hashed sample, labelled ones get a
+    text as their rating, and the others lose the end of their line.
+    """
+    path = scratch_path(spark, "lines")
+    reviews = _all_reviews(spark, sf)
+    line = F.to_json(F.struct(*files.REVIEW.fieldNames()))
+    worded = F.to_json(F.struct(*[F.lit("five").alias(n) if n == "rating" else n for n in files.REVIEW.fieldNames()]))
+    damaged = F.when(F.col("rating").isNotNull(), worded).otherwise(F.left(line, F.char_length(line) - 1))
+    whole = sample.in_sample("review_id", 0.8, 80)
+    reviews.select(F.when(whole, line).otherwise(damaged).alias("value")).write.text(path)
+    good, bad = files.read_reviews_apart(spark, path)
+    counted = good.select(F.lit("").alias("reason"), F.col("review_id").cast("bigint").alias("key"))
+    return counted.unionByName(bad.select("reason", F.lit(None).cast("bigint").alias("key"))).groupBy("reason").agg(
+        F.count("*").alias("n"), F.sum("key").alias("keys")
+    )
+
+
+def item_lookup(spark, sf):
+    """All term weights of one source, read from a table laid out by source."""
+    path = scratch_path(spark, "by-item")
+    weights = terms.tf_idf(_tokenized(spark, sf)).select("source", "doc_id", "token", _six("tf_idf"))
+    files.write_by_item(weights, path, "source", "doc_id")
+    return files.read_item(spark, path, "source", BOOK)
+
+
 def bounded_scan(spark, sf):
     return sample.first_rows(
         tables.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value"),
@@ -515,6 +546,38 @@ def w2v_vectors(spark, sf):
     )
 
 
+def _clean_words(spark, sf):
+    sentences = L.with_clean_sentence(tables.conversation_sentences(spark, sf))
+    return sentences.select("review_id", "pos", F.split("clean_review", " ").alias("tokens"))
+
+
+def cooccurrence_pmi(spark, sf):
+    """Positive mutual information of words that stand near each other in conversations."""
+    return cooccurrence.positive_pmi(_clean_words(spark, sf)).select("token", "context", "n", _six("pmi"))
+
+
+def cooccurrence_vectors(spark, sf):
+    """Word vectors of 10 numbers, without a word table on the driver."""
+    return cooccurrence.word_vectors(_clean_words(spark, sf), VECTOR).rows.select("token", "factors")
+
+
+def latent_factors(spark, sf):
+    """Each document's coordinates in the leading factors of the term weights."""
+    documents = tables.table(spark, sf, "documents").count()
+    weights = terms.smoothed_weights(_tokenized(spark, sf), "doc_id", documents)
+    return factors.truncated_svd(weights, "doc_id", "token", "weight", TOPICS).rows
+
+
+def kernel_svc_predictions(spark, sf):
+    """A kernel machine that tells the first five labels of the embeddings from the others."""
+    vectors = tables.table(spark, sf, "embeddings").select(
+        "vec_id", "embedding", (F.col("label") < 5).cast("int").alias("class")
+    )
+    # Embeddings have 64 components; the kernel falls to 1/e at the distance at which gamma * d^2 is 1.
+    train, test = sample.split(kernel.mapped(vectors, "embedding", kernel.FourierMap(64, KERNEL_GAMMA)), "vec_id")
+    return kernel.kernel_svc().fit(train).transform(test).select("vec_id", "class", "prediction")
+
+
 def lda_topics(spark, sf):
     # Topics need no label. A document without text is one without words.
     documents = L.with_clean_review(_all_documents(spark, sf).select("doc_id", "review").na.fill("", ["review"]))
@@ -604,6 +667,7 @@ QUERIES = {
         tfidf_classifiers, word2vec_classifiers, sentence_classifier, feature_table,
         lr_term_weights, lr_term_predictions, svc_term_predictions,
         nb_cross_validation, lr_auc, porter_vocabulary, stemmed_term_counts, exact_split, gnb_predictions, mutual_information,
+        json_quarantine, item_lookup, cooccurrence_pmi, cooccurrence_vectors, latent_factors, kernel_svc_predictions,
     )
 }
 QUERIES["clean_punct"] = clean_punct_texts

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from inkwell.functions.stem import DOUBLE, LAST, LONG, MENDED, PLURALS
+from inkwell.learning.cooccurrence import WINDOW
 from inkwell.learning.gaussian import SHARE, TINY
 from inkwell.learning.linear import PASSES
 from inkwell.plans.catalog import (
@@ -10,6 +11,7 @@ from inkwell.plans.catalog import (
     SMOOTHINGS,
 )
 from inkwell.schema import STOP_WORDS, WHITESPACE
+from inkwell.sources.files import NO_OBJECT, OTHER_TYPE
 from inkwell.sources.tables import LONG_LINE
 
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
@@ -436,6 +438,24 @@ f1_ AS (
     FROM guess_ CROSS JOIN classes_ c GROUP BY fold, smoothing, c.guess)
 SELECT fold, smoothing, round(sum(f1 * support) / sum(support), 6) AS weighted_f1, sum(support)::BIGINT AS n
 FROM f1_ GROUP BY fold, smoothing""",
+    "json_quarantine": f"""WITH {_ALL_DOCUMENTS}, lines_ AS (
+    SELECT doc_id, CASE WHEN {_SPLIT} THEN '' WHEN class IS NULL THEN '{NO_OBJECT}' ELSE '{OTHER_TYPE}' END AS reason FROM documents_)
+SELECT reason, count(*) AS n, (sum(doc_id) FILTER (reason = ''))::BIGINT AS keys FROM lines_ GROUP BY reason""",
+    "item_lookup": f"""WITH {_WEIGHTS}
+SELECT source, doc_id, token, round(tf_idf, 6) AS tf_idf FROM weights_ WHERE source = '{BOOK}'""",
+    "cooccurrence_pmi": f"""WITH bare_ AS (SELECT conv_id, turn, {_clean_text('text')} AS text FROM conversations),
+clean_ AS (SELECT conv_id, turn, {_stop_free('text', ' ', 'length(w) >= 3')} AS clean_review FROM bare_),
+words_ AS (
+    SELECT conv_id, turn, unnest(string_split(clean_review, ' ')) AS w,
+        generate_subscripts(string_split(clean_review, ' '), 1) AS i FROM clean_ WHERE clean_review <> ''),
+pairs_ AS (
+    SELECT a.w AS token, b.w AS context, count(*) AS n FROM words_ a JOIN words_ b USING (conv_id, turn)
+    WHERE b.i <> a.i AND b.i BETWEEN a.i - {WINDOW} AND a.i + {WINDOW} GROUP BY a.w, b.w),
+single_ AS (SELECT token, sum(n) AS met FROM pairs_ GROUP BY token),
+pmi_ AS (
+    SELECT p.token, p.context, n, ln(n * (SELECT sum(met) FROM single_)::DOUBLE / (s.met::DOUBLE * c.met)) AS pmi
+    FROM pairs_ p JOIN single_ s ON s.token = p.token JOIN single_ c ON c.token = p.context)
+SELECT token, context, n, round(pmi, 6) AS pmi FROM pmi_ WHERE pmi > 0""",
     "mutual_information": f"""WITH {_ML_TOKENS.replace("LEFT JOIN", "JOIN")},
 size_ AS (SELECT class, count(*)::DOUBLE AS size FROM documents_ GROUP BY class),
 all_ AS (SELECT sum(size) AS total FROM size_),

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkwell.schema import DOCUMENT, REVIEW
+from inkwell.session import keep
 
 # Texts come back as they were: spaces at the ends stay, and null is told from empty (it is written as \\N).
 CSV = {
@@ -27,6 +30,35 @@ def read_reviews(spark: SparkSession, path: str, partitions: int | None = None,
     return reviews if partitions is None else reviews.repartition(partitions)
 
 
+#: Why a line is kept aside.
+EMPTY, NO_OBJECT, OTHER_TYPE = "empty line", "no JSON object", "field of another type"
+
+
+def read_reviews_apart(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Reviews of the good JSON lines, and the bad lines with file, reason and text.
+
+    Each line is in one of the two. The lines are parsed once and kept, so both tables
+    come from the same reading, even if files are added in between. A line that is cut off or
+    no object is bad as a whole; so is one with a field that does not fit its type, which
+    would be read as null otherwise. Unknown fields do no harm. Lines end with a line feed alone.
+    """
+    lines = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_path").alias("file"))
+    broken = "_broken"
+    schema = T.StructType([*REVIEW.fields, T.StructField(broken, T.StringType())])
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken})
+    # A value's own text, so that any well-formed object passes here.
+    plain = F.try_parse_json("value")
+    whole = plain.isNotNull() & F.schema_of_variant(plain).startswith("OBJECT")
+    reason = (
+        F.when(F.trim(F.regexp_replace("value", "\r", "")) == "", EMPTY)
+        .when(~F.coalesce(whole, F.lit(False)), NO_OBJECT)
+        .when(F.col("review").isNull() | F.col(f"review.{broken}").isNotNull(), OTHER_TYPE)
+    )
+    read = keep(lines.withColumn("review", parsed).withColumn("reason", reason), "lines")
+    good = read.where("reason is null").select("review.*").drop(broken)
+    return good, read.where("reason is not null").select("file", "reason", F.col("value").alias("line"))
+
+
 def convert_reviews(spark: SparkSession, source: str, target: str, partitions: int | None = None) -> None:
     """Rewrite JSON lines as Parquet, so that later scans split and prune."""
     read_reviews(spark, source, partitions).write.mode("overwrite").parquet(target)
@@ -52,3 +84,21 @@ def write_documents_csv(documents: DataFrame, path: str) -> None:
 def read_documents_csv(spark: SparkSession, path: str, schema=DOCUMENT) -> DataFrame:
     """Documents from CSV; text may hold line breaks."""
     return spark.read.schema(schema).csv(path, header=True, multiLine=True, **CSV)
+
+
+def write_by_item(rows: DataFrame, path: str, item: str, order: str, buckets: int = 32, files: int = 32) -> None:
+    """A table laid out for reading single items: a folder for each hash bucket of the item, sorted within.
+
+    Rows are spread by range over bucket, item and ``order``, so a very frequent item fills
+    several files instead of one task.
+    """
+    bucket = F.pmod(F.xxhash64(item), F.lit(buckets)).cast("int")
+    laid = rows.withColumn("_bucket", bucket).repartitionByRange(files, "_bucket", item, order)
+    laid.sortWithinPartitions("_bucket", item, order).write.mode("overwrite").partitionBy("_bucket").parquet(path)
+
+
+def read_item(spark: SparkSession, path: str, item: str, value: str, buckets: int = 32) -> DataFrame:
+    """The rows of one item; only its bucket's folder is read, and there the row groups that can hold it."""
+    # One value, to find its bucket.
+    bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit(value)), F.lit(buckets))).first()[0]
+    return spark.read.parquet(path).where((F.col("_bucket") == bucket) & (F.col(item) == value)).drop("_bucket")
