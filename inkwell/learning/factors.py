@@ -16,9 +16,11 @@ entries are added up. A matrix of lower rank than asked for gives as many factor
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,9 +56,24 @@ def _times(entries: DataFrame, block: DataFrame, over: str, by: str, names: list
 
 
 def _products(rows: DataFrame, left: list[str], right: list[str]) -> np.ndarray:
-    """The matrix of sums of products of two lists of columns."""
-    sums = rows.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for a in left for b in right]).first()
-    return np.array([x or 0.0 for x in sums], float).reshape(len(left), len(right))
+    """The matrix of sums of products of two lists of columns.
+
+    Each batch of rows is one matrix product in its task; a handful of numbers a batch are
+    added up by place. Sums of products as rows or columns in SQL take ten times as long.
+    """
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dense = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in {*left, *right}}
+            product = np.array([dense[n] for n in left]) @ np.array([dense[n] for n in right]).T
+            yield pa.record_batch([pa.array(np.arange(product.size)), pa.array(product.ravel())], ["at", "x"])
+
+    used = rows.select(*dict.fromkeys([*left, *right]))
+    sums = used.mapInArrow(partial, "at bigint, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
+    found = np.zeros(len(left) * len(right))
+    for r in sums:
+        found[r["at"]] = r["x"]
+    return found.reshape(len(left), len(right))
 
 
 def _turned(names: list[str], by: np.ndarray, to: str) -> list[Column]:
@@ -67,9 +84,13 @@ def _turned(names: list[str], by: np.ndarray, to: str) -> list[Column]:
     ]
 
 
+def _symmetric(square: np.ndarray) -> np.ndarray:
+    return (square + square.T) / 2
+
+
 def _straight(gram: np.ndarray) -> np.ndarray:
     """A matrix that makes vectors of these products orthonormal, without directions of no length."""
-    size, way = np.linalg.eigh((gram + gram.T) / 2)
+    size, way = np.linalg.eigh(_symmetric(gram))
     long = size > max(size.max(initial=0.0), 0.0) * _RANK
     return way[:, long] / np.sqrt(size[long])
 
@@ -104,14 +125,15 @@ def truncated_svd(
             renamed = images.select("column", *[F.col(n).alias(f"w{n[1:]}") for n in names])
             both = keep(vectors.join(renamed, "column"), "images")
             far = _names("w", len(names))
-            squares, turn = np.linalg.eigh(_symmetric(_products(both, names, far)))
+            products = _products(both, names + far, far)
+            squares, turn = np.linalg.eigh(_symmetric(products[: len(names)]))
             squares, turn = squares[::-1], turn[:, ::-1]
             now = np.sqrt(np.maximum(squares, 0.0))[:size]
             moved = float(np.abs(now - found).max() / max(now[0], 1e-300)) if len(now) == len(found) else float("inf")
             found = now
             if moved <= tolerance:
                 break
-            way = _straight(_products(both, far, far))
+            way = _straight(products[len(names) :])
             vectors = keep(both.select("column", *_turned(far, way, "v")), "block")
         names = _names("v", turn.shape[0])
         real = found > (found[0] * _RANK**0.5 if len(found) else 0.0)
@@ -135,7 +157,3 @@ def truncated_svd(
             keep(right.select(F.col("column").alias(column), F.array(*names).alias("factors")), "columns", lasting=True),
             moved,
         )
-
-
-def _symmetric(square: np.ndarray) -> np.ndarray:
-    return (square + square.T) / 2

@@ -8,6 +8,7 @@ themselves, as a column expression, so a fit has a fixed width however many rows
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,7 +39,9 @@ class FourierMap:
         ways, shifts = self.drawn()
         x = F.col(vector).cast("array<double>")
         dot = lambda w: F.aggregate(F.zip_with(w, x, lambda a, b: a * b), F.lit(0.0), lambda s, p: s + p)
-        drawn = F.zip_with(F.lit(ways.tolist()), F.lit(shifts.tolist()), lambda w, b: F.struct(w.alias("w"), b.alias("b")))
+        # One literal, which is parsed when the plan is made; a literal a number takes seconds to build.
+        written = json.dumps([{"w": w, "b": b} for w, b in zip(ways.tolist(), shifts.tolist())])
+        drawn = F.from_json(F.lit(written), "array<struct<w:array<double>,b:double>>")
         mapped = F.transform(drawn, lambda d: float(np.sqrt(2 / self.size)) * F.cos(dot(d["w"]) + d["b"]))
         whole = (F.size(x) == self.width) & F.forall(x, lambda c: c.isNotNull() & (F.abs(c) < float("inf")))
         return F.when(whole, mapped)
