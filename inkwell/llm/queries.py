@@ -17,8 +17,9 @@ VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
 def fold(key: str, folds: int) -> Column:
-    """Fold of a row by the checksum of its key."""
-    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(folds))
+    """Fold of a row by the checksum of its key; a null key counts as an empty one, so no fold is null."""
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.pmod(F.crc32(name.cast("binary")), F.lit(folds))
 
 
 def op1_secret_scans(spark: SparkSession, sf: str) -> DataFrame:

@@ -94,3 +94,10 @@ def test_a_language_of_few_texts_in_many_copies_is_learned(spark):
         rows = spark.range(100_000).selectExpr("'xx' AS lang", f"'{text}' AS text")
         learned = langid.learn(rows.unionByName(spark.range(5).selectExpr("'yy' AS lang", "'one two three' AS text")))
         assert set(learned) == {"xx", "yy"}
+
+
+def test_every_row_has_a_fold(spark):
+    rows = spark.createDataFrame([(None,), (0,), (7,), (-3,), (123456789,)], "doc_id bigint")
+    for folds in (4, 5):
+        for r in rows.select("doc_id", queries.fold("doc_id", folds).alias("fold")).collect():
+            assert r.fold == zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % folds
