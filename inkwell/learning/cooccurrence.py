@@ -14,6 +14,9 @@ from inkwell.operators.joins import enrich
 from inkwell.session import keep
 
 WINDOW = 5
+#: Singular values of mutual information lie close together; more digits of them take many
+#: passes and do not bring like words nearer.
+TOLERANCE = 1e-3
 
 
 def pair_counts(tokenized: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -56,7 +59,12 @@ def positive_pmi(tokenized: DataFrame, window: int = WINDOW) -> DataFrame:
     return joined.select("token", "context", "n", pmi.alias("pmi")).where("pmi > 0")
 
 
-def word_vectors(tokenized: DataFrame, size: int, window: int = WINDOW) -> factors.Factors:
-    """Vectors of all tokens: the leading factors of their positive mutual information."""
+def word_vectors(
+    tokenized: DataFrame, size: int, window: int = WINDOW, tolerance: float = TOLERANCE
+) -> factors.Factors:
+    """Vectors of all tokens: the leading factors of their positive mutual information.
+
+    Passes end when no singular value moves by more than ``tolerance`` of the largest.
+    """
     weights = positive_pmi(tokenized, window).select("token", "context", "pmi")
-    return factors.truncated_svd(weights, "token", "context", "pmi", size)
+    return factors.truncated_svd(weights, "token", "context", "pmi", size, tolerance=tolerance)

@@ -1,9 +1,10 @@
-"""Latent factors of a sparse table: truncated singular value decomposition by block power iteration.
+"""Latent factors of a sparse table: truncated singular value decomposition by block Krylov iteration.
 
-The matrix is a table of (row, column, value) of any height and width. A pass multiplies it and
-its transpose with a block of vectors, which are a table as well, by two joins and two
-aggregates that combine before they move. Only products of the block with itself, ``block`` x
-``block`` numbers, reach the driver, where the block is made orthogonal and rotated towards the factors.
+The matrix is a table of (row, column, value) of any height and width. It and its transpose
+multiply a block of vectors, which are a table as well, by two joins and two aggregates that
+combine before they move. A pass does so ``depth`` times and finds the best factors that the
+block and its images can make up (Rayleigh-Ritz); the next block is their image. Only products
+of the vectors with each other, a few thousand numbers, reach the driver.
 
 The start is a hash of the columns' keys, so results do not depend on partitions or cores, but for
 the order in which sums are added up. Signs are such that the cubes of a factor's column
@@ -21,14 +22,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.operators.joins import enrich
 from inkwell.session import keep, scratch
 
 #: Vectors of the block beyond the factors asked for; more of them need fewer passes.
-SPARE, PASSES, TOLERANCE = 12, 60, 1e-10
+SPARE, DEPTH, PASSES, TOLERANCE = 12, 3, 20, 1e-10
 SEED = 80
 #: Directions this much shorter than the longest are rounding errors.
 _RANK = 1e-11
@@ -52,7 +53,7 @@ def _names(prefix: str, count: int) -> list[str]:
 def _times(entries: DataFrame, block: DataFrame, over: str, by: str, names: list[str]) -> DataFrame:
     """Sum of value times the vector of ``over``, for each ``by``."""
     met = enrich(entries, block, over)
-    return met.groupBy(by).agg(*[F.sum(F.col("value") * F.col(n)).alias(n) for n in names])
+    return met.groupBy(by).agg(*[F.expr(f"sum(value * {n})").alias(n) for n in names])
 
 
 def _products(rows: DataFrame, left: list[str], right: list[str]) -> np.ndarray:
@@ -76,12 +77,22 @@ def _products(rows: DataFrame, left: list[str], right: list[str]) -> np.ndarray:
     return found.reshape(len(left), len(right))
 
 
-def _turned(names: list[str], by: np.ndarray, to: str) -> list[Column]:
-    """The vectors times a small matrix."""
-    return [
-        sum((F.col(n) * F.lit(float(w)) for n, w in zip(names, column)), F.lit(0.0)).alias(f"{to}{j}")
-        for j, column in enumerate(by.T)
-    ]
+def _turned(rows: DataFrame, key: str, names: list[str], by: np.ndarray, to: str) -> DataFrame:
+    """The key and its vector times a small matrix, a batch of rows at a time.
+
+    Spelled out in SQL, the matrix would be hundreds of terms that are compiled anew in every pass.
+    """
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dense = np.array([batch.column(n).to_numpy(zero_copy_only=False) for n in names])
+            columns = [batch.column(key), *map(pa.array, by.T @ dense)]
+            yield pa.RecordBatch.from_arrays(columns, [key, *found])
+
+    found = _names(to, by.shape[1])
+    kind = rows.schema[key].dataType.simpleString()
+    schema = ", ".join([f"`{key}` {kind}", *[f"{n} double" for n in found]])
+    return rows.select(key, *names).mapInArrow(turn, schema)
 
 
 def _symmetric(square: np.ndarray) -> np.ndarray:
@@ -90,14 +101,27 @@ def _symmetric(square: np.ndarray) -> np.ndarray:
 
 def _straight(gram: np.ndarray) -> np.ndarray:
     """A matrix that makes vectors of these products orthonormal, without directions of no length."""
-    size, way = np.linalg.eigh(_symmetric(gram))
+    lengths = np.sqrt(np.maximum(np.diag(gram), 0.0))
+    scale = np.divide(1.0, lengths, out=np.zeros_like(lengths), where=lengths > 0)
+    size, way = np.linalg.eigh(_symmetric(gram * np.outer(scale, scale)))
     long = size > max(size.max(initial=0.0), 0.0) * _RANK
-    return way[:, long] / np.sqrt(size[long])
+    return scale[:, None] * way[:, long] / np.sqrt(size[long])
+
+
+def _best(products: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Squared singular values, falling, and the shares of the vectors in their factors.
+
+    The products are those of a block of ``count`` vectors and its images, each of which is
+    the one before it multiplied; the last image takes no share.
+    """
+    way = _straight(products[:-count, :-count])
+    squares, turn = np.linalg.eigh(_symmetric(way.T @ products[:-count, count:] @ way))
+    return squares[::-1], way @ turn[:, ::-1]
 
 
 def truncated_svd(
     entries: DataFrame, row: str, column: str, value: str, size: int, spare: int = SPARE,
-    passes: int = PASSES, tolerance: float = TOLERANCE,
+    depth: int = DEPTH, passes: int = PASSES, tolerance: float = TOLERANCE,
 ) -> Factors:
     """The ``size`` leading factors of the matrix that the entries make up."""
     spark = entries.sparkSession
@@ -106,49 +130,43 @@ def truncated_svd(
         fits = F.col(row).isNotNull() & F.col(column).isNotNull() & x.isNotNull() & (F.abs(x) < float("inf"))
         own = entries.where(fits).select(F.col(row).alias("row"), F.col(column).alias("column"), x.alias("value"))
         own = keep(own.where("value != 0"), "entries")
-        block = size + spare
-        start = [
-            (F.xxhash64("column", F.lit(SEED + j)).cast("double") / float(2**63)).alias(f"v{j}") for j in range(block)
-        ]
-        held = own.select("column").distinct().select("column", *start)
-        names = _names("v", block)
-        held = keep(held, "start")
-        way = _straight(_products(held, names, names))
-        vectors = keep(held.select("column", *_turned(names, way, "v")), "block")
-        found, moved, turn = np.zeros(0), float("inf"), np.zeros((0, 0))
+        start = [f"cast(xxhash64(column, {SEED + j}) as double) / {2**63}D as v0_{j}" for j in range(size + spare)]
+        block = own.select("column").distinct().selectExpr("column", *start)
+        width, found, moved = size + spare, np.zeros(0), float("inf")
         for _ in range(passes):
-            names = _names("v", way.shape[1])
-            if not names:
-                break
-            met = _times(own, vectors, "column", "row", names)
-            images = _times(own, met, "row", "column", names)
-            renamed = images.select("column", *[F.col(n).alias(f"w{n[1:]}") for n in names])
-            both = keep(vectors.join(renamed, "column"), "images")
-            far = _names("w", len(names))
-            products = _products(both, names + far, far)
-            squares, turn = np.linalg.eigh(_symmetric(products[: len(names)]))
-            squares, turn = squares[::-1], turn[:, ::-1]
-            now = np.sqrt(np.maximum(squares, 0.0))[:size]
-            moved = float(np.abs(now - found).max() / max(now[0], 1e-300)) if len(now) == len(found) else float("inf")
+            names = [_names(f"v{i}_", width) for i in range(depth + 1)]
+            held = keep(block, "block")
+            for last, new in zip(names, names[1:]):
+                met = _times(own, held.select("column", *last), "column", "row", last)
+                images = _times(own, met, "row", "column", last).toDF("column", *new)
+                held = keep(held.join(images, "column"), "images")
+            flat = [n for part in names for n in part]
+            squares, turn = _best(_products(held, flat, flat), width)
+            squares, turn = squares[: size + spare], turn[:, : size + spare]
+            real = squares > max(squares.max(initial=0.0), 0.0) * _RANK
+            squares, turn = squares[real], turn[:, real]
+            now = np.sqrt(squares[:size])
+            moved = float(np.abs(now - found).max(initial=0.0) / now.max(initial=1e-300)) if len(now) == len(found) else float("inf")
             found = now
-            if moved <= tolerance:
+            if moved <= tolerance or not len(now):
                 break
-            way = _straight(products[len(names) :])
-            vectors = keep(both.select("column", *_turned(far, way, "v")), "block")
-        names = _names("v", turn.shape[0])
-        real = found > (found[0] * _RANK**0.5 if len(found) else 0.0)
-        found, turn = found[real], turn[:, :size][:, real] if len(found) else turn
-        right = keep(vectors.select("column", *_turned(names, turn, "f")), "right") if len(found) else None
-        if right is None:
-            none = "array<double>"
-            empty = own.where("false").select("row", "column", F.array().cast(none).alias("factors"))
+            # Images of the factors found, each by its value shorter: never near to each other.
+            block = _turned(held, "column", flat[width:], turn / squares, "v0_")
+            width = len(squares)
+        if not len(found):
+            none = own.where("false").select("row", "column", F.array().cast("array<double>").alias("factors"))
             return Factors((), *(
-                keep(empty.select(F.col(a).alias(b), "factors"), "factors", lasting=True) for a, b in (("row", row), ("column", column))
+                keep(none.select(F.col(a).alias(b), "factors"), "factors", lasting=True) for a, b in (("row", row), ("column", column))
             ), 0.0)
         names = _names("f", len(found))
-        cubes = right.agg(*[F.sum(F.pow(n, F.lit(3.0))).alias(n) for n in names]).first()
-        signs = [-1.0 if c < 0 else 1.0 for c in cubes]
-        right = keep(right.select("column", *[(F.col(n) * s).alias(n) for n, s in zip(names, signs)]), "signed")
+        right = keep(_turned(held, "column", flat[: turn.shape[0]], turn[:, : len(found)], "f"), "right")
+        # What rounding left of products between different factors goes here.
+        size_of, way = np.linalg.eigh(_symmetric(_products(right, names, names)))
+        exact = way / np.sqrt(size_of) @ way.T
+        right = keep(_turned(right, "column", names, exact, "f"), "orthonormal")
+        cubes = right.agg(*[F.expr(f"sum(pow({n}, 3))").alias(n) for n in names]).first()
+        signs = np.diag([-1.0 if c < 0 else 1.0 for c in cubes])
+        right = keep(_turned(right, "column", names, signs, "f"), "signed")
         left = _times(own, right, "column", "row", names)
         scaled = F.array(*[F.col(n) / float(s) for n, s in zip(names, found)])
         return Factors(
