@@ -3,6 +3,7 @@ import tracemalloc
 from pathlib import Path
 
 import duckdb
+import numpy as np
 from helpers import ODD, documents, links, shingles, words
 
 from inkwell.llm import decontam, licenses, ngram_join, queries
@@ -147,6 +148,33 @@ def test_each_kind_of_edit_is_found_at_every_size():
         assert edits(items[k], words(texts[t][start:end])) == distance <= len(items[k]) // 5
 
 
+def test_walks_and_tables_reach_the_recall_at_every_size():
+    rng = np.random.default_rng(3)
+    for size in (5, 9, 14, 20, 38, 59, 100, 150, 320):
+        setting = decontam.level(size, decontam.SHARE)
+        assert setting in decontam.LEVELS
+        # Other trials than those that chose the setting.
+        for kind, found in decontam.recall(size, decontam.SHARE, setting, 500).items():
+            assert found >= 0.985, (size, kind, found)
+        # Windows of other words meet no item.
+        item = decontam.sketch(rng.integers(1, 2**63, (1, size), dtype=np.uint64), setting, True)
+        assert not (decontam.sketch(rng.integers(1, 2**63, (200, size), dtype=np.uint64), setting, False) == item).any()
+    assert decontam.level(decontam.MEASURED + 1, decontam.SHARE) is None
+
+
+def test_decontamination_query_loses_nothing_to_the_tables(spark):
+    rows = queries.op7_decontamination(spark, FOLDER).collect()
+    connection = duckdb.connect()
+    texts = connection.sql(f"SELECT doc_id, text FROM '{FOLDER}/documents.parquet' WHERE text IS NOT NULL").fetchall()
+    items = connection.sql(f"SELECT item_id, text FROM '{FOLDER}/benchmark.parquet' ORDER BY 1").fetchall()
+    every = decontam.Items([i for i, _ in items], [t for _, t in items], decontam.SHARE)
+    # Without the walks, every window that the exact count leaves is verified.
+    every.meet = lambda cut, chosen: np.ones(len(chosen), bool)
+    want = [(texts[t][0], *rest) for t, *rest in decontam.matches(every, [t for _, t in texts])]
+    assert {r[:2] for r in rows} == {w[:2] for w in want} and len(rows) == len(want) > 0
+    assert sorted(map(tuple, rows)) == sorted(want)
+
+
 def test_one_long_item_does_not_widen_the_others():
     texts = [f"a{i} b{i} c{i} d{i} e{i} f{i}" for i in range(5_000)] + [" ".join(f"w{j}" for j in range(4_000)), "alone"]
     tracemalloc.start()
