@@ -73,31 +73,62 @@ _BINS = 100
 REDACTED = "[redacted]"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, kind: str, none, join) -> Column:
+    """What ``join`` makes of each value and all before it; ``none`` joins without effect.
+
+    An array that grows by one costs the square of its length, so the values are cut into as many blocks
+    as each has values, and the blocks' totals run on their own.
+    """
+    start = F.lit(none).cast(kind)
+
+    def along(block: Column) -> Column:
+        return F.aggregate(
+            block,
+            F.struct(start.alias("at"), F.array().cast(f"array<{kind}>").alias("out")),
+            lambda done, x: let(join(done["at"], x), lambda now: F.struct(
+                now.alias("at"), F.concat(done["out"], F.array(now)).cast(f"array<{kind}>").alias("out")
+            )),
+        )["out"]
+
+    def joined(blocks: Column) -> Column:
+        totals = along(F.transform(blocks, lambda b: F.coalesce(F.get(b, F.size(b) - 1), start)))
+        return let(totals, lambda t: F.flatten(F.transform(blocks, lambda b, i: let(
+            F.coalesce(F.get(t, i - 1), start), lambda before: F.transform(b, lambda x: join(before, x))
+        ))))
+
+    return let(values, lambda v: let(F.transform(blocks_of(v), along), joined))
+
+
+def blocks_of(values: Column) -> Column:
+    """An array cut into about as many pieces as each of them is long; ``values`` is named more than once."""
+    wide = F.greatest(F.ceil(F.sqrt(F.size(values))), F.lit(1)).cast("int")
+    last = F.greatest(F.floor((F.size(values) - 1) / wide), F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * wide + 1, wide))
+
+
 def located(text: Column, pattern: str) -> Column:
     """Start, end and string of all matches of a pattern, from the pieces between them."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<start:int,end:int,run:string>>")
-    walked = F.aggregate(
-        F.zip_with(between, found, lambda gap, run: F.struct(F.char_length(gap).alias("gap"), run.alias("run"))),
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda done, next_: F.when(next_["run"].isNull(), done).otherwise(
-            F.struct(
-                (done["at"] + next_["gap"] + F.char_length(next_["run"])).alias("at"),
-                F.concat(
-                    done["spans"],
-                    F.array(
-                        F.struct(
-                            (done["at"] + next_["gap"]).alias("start"),
-                            (done["at"] + next_["gap"] + F.char_length(next_["run"])).alias("end"),
-                            next_["run"].alias("run"),
-                        )
-                    ),
-                ).cast("array<struct<start:int,end:int,run:string>>").alias("spans"),
-            )
-        ),
+    pieces = F.filter(
+        F.zip_with(between, found, lambda gap, run: F.struct(
+            (F.char_length(gap) + F.char_length(run)).alias("moves"), F.char_length(run).alias("length"), run.alias("run")
+        )),
+        lambda p: p["run"].isNotNull(),
     )
-    return walked["spans"]
+
+    def placed(v: Column) -> Column:
+        ends = running(F.transform(v, lambda p: p["moves"]), "int", 0, lambda a, x: a + x)
+        return F.zip_with(
+            v, ends, lambda p, end: F.struct((end - p["length"]).alias("start"), end.alias("end"), p["run"].alias("run"))
+        )
+
+    return let(pieces, placed)
 
 
 def _spans_of(text: Column, order: int, kind: str) -> Column:
@@ -121,11 +152,6 @@ def _encoding(run: Column) -> Column:
     return F.coalesce(*[F.when(run.rlike(p), F.lit(name)) for name, (_, p) in ENCODINGS.items()])
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
@@ -232,7 +258,7 @@ def _tested(rows: DataFrame) -> DataFrame:
     none = F.array().cast("array<struct<start:int,end:int,run:string>>")
     runs = F.when(F.col("_whole").rlike(RUN), located(F.col("_whole"), RUN)).otherwise(none)
     rows = compute_once(rows, "_runs", runs)
-    free = F.filter("_runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    free = F.when((F.size("base") == 0) | (F.size("_runs") == 0), F.col("_runs")).otherwise(_apart(F.col("_runs"), F.col("base")))
     encoded = F.filter(
         F.transform(free, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["run"].alias("run"), _encoding(r["run"]).alias("encoding"))),
         lambda r: r["encoding"].isNotNull(),
@@ -250,6 +276,30 @@ def _tested(rows: DataFrame) -> DataFrame:
     return rows.select(*carried, "base", tested.alias("runs"))
 
 
+def _apart(runs: Column, base: Column) -> Column:
+    """The runs that overlap no base span; both are sorted by start.
+
+    All are put into one order. A run is met by a base span before it that ends after the run's start, or by the
+    next base span after it if that starts before the run's end.
+    """
+    far = F.lit(2**31 - 1)
+    spans = F.array_sort(F.concat(
+        F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(-1).alias("run"), b["end"].alias("end"))),
+        F.transform(runs, lambda r, i: F.struct(r["start"].alias("start"), i.alias("run"), r["end"].alias("end"))),
+    ))
+
+    def chosen(v: Column) -> Column:
+        ends = running(F.transform(v, lambda s: F.when(s["run"] < 0, s["end"]).otherwise(0)), "int", 0, F.greatest)
+        later = F.reverse(F.transform(v, lambda s: F.when(s["run"] < 0, s["start"]).otherwise(far)))
+        starts = F.reverse(running(later, "int", 2**31 - 1, F.least))
+        met = F.zip_with(v, F.arrays_zip(ends.alias("end"), starts.alias("start")), lambda s, o: F.struct(
+            s["run"].alias("run"), ((o["end"] <= s["start"]) & (o["start"] >= s["end"])).alias("free")
+        ))
+        return F.transform(F.filter(met, lambda m: (m["run"] >= 0) & m["free"]), lambda m: F.get(runs, m["run"]))
+
+    return let(spans, chosen)
+
+
 def thresholds(scanned: DataFrame, share: float = SHARE) -> DataFrame:
     """encoding, length_class and least_p: from which p-value on a run counts as random.
 
@@ -317,20 +367,25 @@ def written(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
 
 
 def redacted(text: Column, spans: Column, by: str = REDACTED) -> Column:
-    """The text with each span, or run of overlapping spans, replaced."""
-    walked = F.aggregate(
-        spans,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda done, s: F.struct(
-            F.when(
-                s["start"] >= done["at"],
-                F.concat(done["out"], F.substring(text, done["at"] + 1, s["start"] - done["at"]), F.lit(by)),
-            )
-            .otherwise(done["out"])
-            .alias("out"),
-            F.greatest(done["at"], s["end"]).alias("at"),
-        ),
-    )
-    return F.when(F.size(spans) == 0, text).otherwise(
-        F.concat(walked["out"], F.substring(text, walked["at"] + 1, F.char_length(text)))
-    )
+    """The text with each span, or run of overlapping spans, replaced.
+
+    Places in a text are found by walking it, so the text is cut into blocks of spans first.
+    """
+
+    def filled(gaps: Column) -> Column:
+        base = gaps[0]["start"]
+        part = F.substring(text, base + 1, F.get(gaps, F.size(gaps) - 1)["end"] - base)
+        return let(part, lambda own: F.array_join(
+            F.transform(gaps, lambda g: F.concat(F.substring(own, g["start"] - base + 1, g["end"] - g["start"]), F.lit(by))), ""
+        ))
+
+    def between(reached: Column) -> Column:
+        gaps = F.filter(
+            F.transform(spans, lambda s, i: F.struct(F.coalesce(F.get(reached, i - 1), F.lit(0)).alias("start"), s["start"].alias("end"))),
+            lambda g: g["end"] >= g["start"],
+        )
+        tail = F.substring(text, F.get(reached, F.size(reached) - 1) + 1, F.char_length(text))
+        return let(gaps, lambda g: F.concat(F.array_join(F.transform(blocks_of(g), filled), ""), tail))
+
+    ends = running(F.transform(spans, lambda s: s["end"]), "int", 0, F.greatest)
+    return F.when(F.size(spans) == 0, text).otherwise(let(ends, between))
