@@ -20,8 +20,13 @@ from pyspark.sql import functions as F
 
 from inkwell.llm import textnum
 from inkwell.llm.shipping import map_batches
+from inkwell.session import keep, scratch
 
 BITS = 18
+#: The most bytes of packed bags that reach the driver.
+HELD_BYTES = 64 << 20
+#: The order in which bags are taken: by a hash of the key, then key, label and the text's hash.
+ORDER = ("place", "key", "label", "mark")
 
 # For each text of a slice: the buckets of its features, all texts after each other,
 # and the end of each text's part.
@@ -156,9 +161,9 @@ class Packed(Sequence):
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, key: str, label: str, rows: int, bounds: int) -> DataFrame:
-    """key, text and label of at most ``rows`` labelled rows, chosen by a hash of the key.
+    """Documents of at most ``rows`` labels, chosen by a hash of the key: key, text, its mark, label and place.
 
-    Rows without key, label or text are left out. A key with several labels takes part
+    A key that several documents share brings all of them. Rows without key, label or text are left out. A key with several labels takes part
     with each of them. ``bounds`` is the number of labelled rows, which the caller counts.
     """
     chosen = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).select(
@@ -167,35 +172,47 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, key: str, label: st
     if bounds > rows:
         least = F.pmod(F.xxhash64(F.col(key), F.lit(11)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.2 * rows / bounds))
         chosen = chosen.where(least)
-    chosen = chosen.orderBy(F.xxhash64(F.col(key), F.lit(12)), key, "_label").limit(rows)
-    return documents.select(F.col(key), F.col("text").alias("_text")).where("_text is not null").join(chosen, key)
+    place = F.xxhash64(F.col(key), F.lit(12)).alias("_place")
+    chosen = chosen.select(key, "_label", place).orderBy("_place", key, "_label").limit(rows)
+    texts = documents.select(F.col(key), F.col("text").alias("_text"), F.xxhash64("text").alias("_mark"))
+    return texts.where("_text is not null").join(chosen, key)
 
 
 def fit(
-    documents: DataFrame, labels: DataFrame, key: str, label: str, featurize: Featurizer, rows: int, **settings
+    documents: DataFrame, labels: DataFrame, key: str, label: str, featurize: Featurizer, rows: int,
+    held: int = HELD_BYTES, **settings
 ) -> Model:
-    """Train on at most ``rows`` labelled documents.
+    """Train on at most ``rows`` labelled documents, and on at most ``held`` bytes of packed bags.
 
-    Tasks turn the chosen texts into bags of buckets; only these reach the driver.
+    Tasks turn the chosen texts into bags of buckets, kept as a table; only the first of these, by a hash
+    of the key, reach the driver. Each text under a repeated key counts as a document.
     """
+    spark = documents.sparkSession
     bounds = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).count()
     sample = labelled_sample(documents, labels, key, label, rows, bounds)
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = bags(featurize, batch.column("_text").to_pylist())
+            packed = [pack(*bag) for bag in bags(featurize, batch.column("_text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("_place"),
                     batch.column(key).cast(pa.string()),
                     batch.column("_label"),
-                    pa.array([pack(*bag) for bag in found], pa.binary()),
+                    batch.column("_mark"),
+                    pa.array(packed, pa.binary()),
                 ],
-                ["key", "label", "bag"],
+                [*ORDER, "bag"],
             )
 
-    found = map_batches(sample, turn, "key string, label int, bag binary").toArrow()
+    with scratch(spark):
+        found = keep(map_batches(sample, turn, "place bigint, key string, label int, mark bigint, bag binary"), "bags")
+        # As many of the first bags as fit: rows that tie in the order are copies of one text.
+        sizes = found.select(*ORDER, F.length("bag").alias("bytes")).orderBy(*ORDER).limit(rows).toArrow()
+        fits = int(np.searchsorted(np.cumsum(sizes.column("bytes").to_numpy()), held, side="right"))
+        found = found.orderBy(*ORDER).limit(fits).toArrow()
     # Sorted, for the same model whatever the order of the rows.
-    order = pc.sort_indices(found, [("key", "ascending"), ("label", "ascending")]).to_numpy()
+    order = pc.sort_indices(found, [(c, "ascending") for c in ("key", "label", "mark")]).to_numpy()
     packed, labels = found.column("bag").to_pylist(), found.column("label").to_numpy()[order]
     del found
     bagged = Packed([packed[i] for i in order])

@@ -101,3 +101,18 @@ def test_every_row_has_a_fold(spark):
     for folds in (4, 5):
         for r in rows.select("doc_id", queries.fold("doc_id", folds).alias("fold")).collect():
             assert r.fold == zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % folds
+
+
+def test_what_reaches_the_driver_is_bounded_in_rows_and_bytes(spark, monkeypatch):
+    taken = []
+    train = subwords.train
+    monkeypatch.setattr(subwords, "train", lambda bags, labels, **k: taken.append(list(bags.bags)) or train(bags, labels, **k))
+    # A third of the rows share one key, half of these one text.
+    rows = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 7, id) AS doc_id", "if(id % 6 = 0, 'a hot text', concat('text number ', id)) AS text")
+    labels = spark.range(3000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality")
+    one = subwords.fit(rows, labels, "doc_id", "quality", quality.features, 50)
+    again = subwords.fit(rows.repartition(5), labels.repartition(3), "doc_id", "quality", quality.features, 50)
+    assert 0 < len(taken[0]) <= 50 and taken[0] == taken[1] and np.array_equal(one.weights, again.weights)
+    subwords.fit(rows, labels, "doc_id", "quality", quality.features, 50, held=1000)
+    assert 0 < len(taken[2]) < len(taken[0]) and sum(map(len, taken[2])) <= 1000
