@@ -36,8 +36,10 @@ PIECES = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-#: Ids of distinct pieces are remembered, up to about twice as many at once.
-CACHED_PIECES = 300_000
+#: Ids of distinct pieces are remembered in about twice as many bytes at most, and only of
+#: pieces up to that many letters. Pieces of the text at hand come on top.
+CACHED_BYTES, CACHED_LETTERS = 64 << 20, 64
+_SLOT = 100
 
 
 def byte_letters() -> list[str]:
@@ -71,6 +73,7 @@ class Codec:
         self.pieces = regex.compile(PIECES)
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one piece. A queue entry is the merge's rank, then its position."""
@@ -115,13 +118,20 @@ class Codec:
         return out
 
     def _plain(self, text: str) -> bytes:
-        if len(self.cache) > CACHED_PIECES:
-            self.older, self.cache = self.cache, {}
-        pieces, cache, older = self.pieces.findall(text), self.cache, self.older
+        if self.held > CACHED_BYTES:
+            self.older, self.cache, self.held = self.cache, {}, 0
+        pieces, cache, older, long = self.pieces.findall(text), self.cache, self.older, []
         for piece in set(pieces):
             if piece not in cache:
-                cache[piece] = older.get(piece) or array("I", self.merge(piece.encode())).tobytes()
-        return b"".join(map(cache.__getitem__, pieces))
+                ids = cache[piece] = older.get(piece) or array("I", self.merge(piece.encode())).tobytes()
+                if len(piece) > CACHED_LETTERS:
+                    long.append(piece)
+                else:
+                    self.held += _SLOT + sys.getsizeof(piece) + sys.getsizeof(ids)
+        found = b"".join(map(cache.__getitem__, pieces))
+        for piece in long:
+            del cache[piece]
+        return found
 
     def encode(self, text: str) -> array:
         """Ids of a text, as unsigned 32-bit integers."""

@@ -60,3 +60,14 @@ def test_queue_equals_scan_for_the_lowest_rank():
 
     for piece in (b"tionlyerthand", b" unbelievable", b"aaaaaaaaaaaaaaaaa", "èévieauxque".encode(), b"", b"z"):
         assert own.merge(piece) == slow(piece)
+
+
+def test_cache_is_bounded_in_bytes(monkeypatch, library):
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 20_000)
+    own = bpe.Codec(open(PATH, encoding="utf-8").read())
+    for i in range(300):
+        text = f"word{i} " + chr(97 + i % 26) * (50 + i) + f" {i * 7919}"
+        assert list(own.encode(text)) == library.encode(text, add_special_tokens=False).ids
+        held = [*own.cache, *own.older]
+        assert all(len(p) <= bpe.CACHED_LETTERS for p in held)
+        assert sum(map(len, held)) < 2 * bpe.CACHED_BYTES and len(held) < 600
