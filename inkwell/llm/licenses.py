@@ -74,6 +74,28 @@ def _band(shingles: np.ndarray, band: int) -> np.ndarray:
     )
 
 
+def _length(text: str) -> int:
+    """The number of words of a text."""
+    return len(textnum.word_runs(textnum.flatten([text.lower()])[0])[0])
+
+
+def _short(templates: Templates, words: np.ndarray, low: np.ndarray, high: np.ndarray) -> dict[tuple[int, int], tuple[float, int, int]]:
+    """First place of each short template in each text: (text, template) to (-1, first word, last word).
+
+    A set of one shingle is its own minimum in every band, so a text meets the template where it holds that shingle.
+    """
+    found: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for length, known in templates.short.items():
+        hashed = textnum.mix(textnum.shingle_hashes(words, length), length)
+        at = np.flatnonzero(np.isin(hashed, np.fromiter(known, np.uint64, len(known))))
+        texts = np.searchsorted(high, at, side="right")
+        for a, t in zip(at.tolist(), texts.tolist()):
+            if low[t] <= a and a + length <= high[t]:
+                for k in known[int(hashed[a])]:
+                    found.setdefault((t, k), (-1.0, a, a + length - 1))
+    return found
+
+
 class Templates:
     """Templates by the size of their blocks."""
 
@@ -84,8 +106,13 @@ class Templates:
         self.share = share
         self.classes: dict[int, list[int]] = {}
         self.bands: dict[int, int] = {}
+        # Templates of fewer words than a shingle, by their number of words: one shingle of that length each.
+        self.short: dict[int, dict[int, list[int]]] = {}
         for k, shingles in enumerate(self.sets):
-            if n := len(shingles):
+            length = _length(texts[self.names[k]])
+            if 0 < length < SHINGLE:
+                self.short.setdefault(length, {}).setdefault(int(shingles[0]), []).append(k)
+            elif n := len(shingles):
                 size = max(4, 1 << (n - 1).bit_length())
                 least = math.ceil(share * n - 1e-9) / (2 * size + n - math.ceil(share * n - 1e-9))
                 self.classes.setdefault(size, []).append(k)
@@ -109,16 +136,14 @@ def matches(templates: Templates, texts: list[str]) -> list[tuple[int, str, floa
     owner = np.repeat(np.arange(len(texts)), counts)
     word = low[owner] + np.arange(int(counts.sum())) - offset[owner]
     shingles = first[word]
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    if not len(shingles) or not templates.classes:
-        return []
-    sizes = sorted(templates.classes)
+    best = _short(templates, words, low, high)
+    sizes = sorted(templates.classes) if len(shingles) else []
     blocks = {}
     for size in sizes:
         within = np.arange(len(shingles)) - offset[owner]
         blocks[size] = np.flatnonzero(within % size == 0)
     met: set[tuple[int, int, int]] = set()
-    for band in range(max(templates.bands.values())):
+    for band in range(max(templates.bands.values(), default=0) if sizes else 0):
         hashed, finest, at_finest = _band(shingles, band), None, None
         for size in sizes:
             if band >= templates.bands[size]:

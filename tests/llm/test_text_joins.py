@@ -219,3 +219,17 @@ def test_licenses_equal_brute_force(spark):
     for r in rows:
         assert set(words(texts[r["doc_id"]][r["start"] : r["end"]])) <= set(words(licenses.TEMPLATES[r["license"]]))
     assert licenses.scan(documents(spark, []).limit(0)).count() == 0
+
+
+def test_short_licenses_are_found(spark):
+    short = {"spdx": "SPDX-License-Identifier: MIT", "one": "WTFPL", "none": " . ", "same": "spdx license identifier mit",
+             "long": licenses.TEMPLATES["MIT notice"]}
+    texts = [None, "", "x WTFPL", "wtfpl", "SPDX-License-Identifier", "identifier MIT", "// spdx license-identifier: mit, wtfpl, WTFPL",
+             "SPDX License", "Identifier MIT", "İ SPDX License Identifier MIT", "Released under the MIT License. WTFPL", "WTFPLS"]
+    rows = licenses.scan(documents(spark, texts), short).where("doc_id is not null").collect()
+    found = {(r["doc_id"], r["license"]): texts[r["doc_id"]][r["start"] : r["end"]] for r in rows}
+    spdx = {(i, n): t for i, t in ((6, "spdx license-identifier: mit"), (9, "SPDX License Identifier MIT")) for n in ("spdx", "same")}
+    once = {(2, "one"): "WTFPL", (3, "one"): "wtfpl", (6, "one"): "wtfpl", (10, "one"): "WTFPL"}
+    assert found == spdx | once | {(10, "long"): "Released under the MIT License"} and len(rows) == len(found)
+    assert all(r["share"] == 1.0 for r in rows)
+    assert licenses.scan(documents(spark, texts), {"none": " . "}).count() == 0
