@@ -81,9 +81,11 @@ def train(
     batch: int = 64,
     seed: int = 1,
     bits: int = BITS,
+    least: int = 0,
 ) -> Model:
     """Fit vectors and softmax to bags of (buckets, shares), rows scaled by past gradients.
 
+    Few bags are read more often than ``epochs`` times, until there were ``least`` steps.
     No bag at all, or one class only, gives the constant score of that class's share.
     """
     share = (labels.sum() + 1) / (len(labels) + 2)
@@ -94,6 +96,7 @@ def train(
         return Model(np.zeros(1 << bits, np.float32), float(bias[1]))
     softmax = rng.normal(0, 0.5, (dim, 2))
     seen_rows, seen_softmax, seen_bias = np.full(1 << bits, 1e-8), np.full((dim, 2), 1e-8), np.full(2, 1e-8)
+    epochs = max(epochs, -(-least // -(-len(bags) // batch)))
     steps, total = 0, epochs * -(-len(bags) // batch)
     for _ in range(epochs):
         order = rng.permutation(len(bags))

@@ -20,6 +20,8 @@ from inkwell.llm.subwords import Model
 
 #: The most labelled documents that the classifier is fitted on.
 TRAIN_ROWS = 8000
+#: Few of the rows are toxic, so a small table is read until that many steps were taken.
+LEAST_STEPS = 600
 TOXIC = 0.5
 
 
@@ -52,7 +54,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
     """Learn from the labelled rows of ``documents`` (key, text)."""
-    return subwords.fit(documents, labels, key, label, features, rows, rate=1.0, epochs=8)
+    return subwords.fit(documents, labels, key, label, features, rows, rate=1.0, epochs=8, least=LEAST_STEPS)
 
 
 def score(documents: DataFrame, model: Model, column: str = "score") -> DataFrame:

@@ -24,6 +24,10 @@ def test_held_out_accuracy(spark, query, label, folds, held, least):
     assert all(r["held_out"] == (fold(r["doc_id"], folds) == held) and 0 <= r["score"] <= 1 for r in rows)
     test = [r for r in rows if r["held_out"] and r["doc_id"] in labels]
     assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in test]) >= least
+    # No constant score passes these.
+    one, zero = ([r["score"] for r in test if labels[r["doc_id"]] == c] for c in (1, 0))
+    assert np.mean([(a > b) + (a == b) / 2 for a in one for b in zero]) >= 0.9
+    assert any(r["predicted"] == labels[r["doc_id"]] == 1 for r in test)
 
 
 @pytest.mark.parametrize("module", [quality, toxicity])
