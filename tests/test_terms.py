@@ -186,3 +186,36 @@ def test_cross_validation_looks_up_its_counts(spark):
     assert found.count() == 30
     # Counts of other folds are added up once a token, not once for each of its occurrences.
     assert "concat_ws" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def group_rows(spark):
+    dice = random.Random(9)
+    made = []
+    for i in range(300):
+        words = [f"w{int(dice.paretovariate(0.7)) % 400}" for _ in range(dice.choice([0, 1, 2, 5, 60]))]
+        made.append((i if i % 40 else None, dice.choice(["a", "a", "a", "b", None]), words))
+    # A group of fewer entries than are asked for, equal rows, and one with weights of 0 alone.
+    made += [(900, "c", ["rare", "w1"]), (901, "d", ["w1"]), (901, "d", ["w1"]), (902, "e", []), (903, "f", None)]
+    return spark.createDataFrame(made, "doc_id int, source string, tokens array<string>")
+
+
+@pytest.mark.parametrize("k", [1, 7, 100])
+def test_top_weights_are_the_first_of_all_weights(spark, k):
+    rows = group_rows(spark)
+    weights = terms.tf_idf(rows).select("source", "doc_id", "token", F.round("tf_idf", 6).alias("tf_idf"))
+    order = [F.desc("tf_idf"), F.asc("token"), F.asc("doc_id")]
+    key = lambda r: tuple(str(x) for x in r)
+    expected = terms.top_per_group(weights, "source", order, ["doc_id", "token"], k).collect()
+    found = terms.top_weights(rows, "source", ["doc_id"], k).select("source", "doc_id", "token", "tf_idf", "rank").collect()
+    assert sorted(map(key, found)) == sorted(map(key, expected))
+
+
+def test_top_weights_rank_few_entries(spark, monkeypatch):
+    dice = random.Random(2)
+    made = [(i, "a", [f"w{dice.randrange(2000)}" for _ in range(2 if i % 5 == 0 else 100)]) for i in range(200)]
+    rows = spark.createDataFrame(made, "doc_id int, source string, tokens array<string>")
+    ranked, top = [], terms.top_per_group
+    monkeypatch.setattr(terms, "top_per_group", lambda found, *more: ranked.append(found.count()) or top(found, *more))
+    assert terms.top_weights(rows, "source", ["doc_id"], 5).count() == 5
+    # Before, all 16,000 entries were ranked.
+    assert len(ranked) == 2 and max(ranked) < 200
