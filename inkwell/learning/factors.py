@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkwell.operators.joins import enrich
-from inkwell.session import keep, scratch
+from inkwell.session import keep, release, scratch
 
 #: Vectors of the block beyond the factors asked for; more of them need fewer passes.
 SPARE, DEPTH, PASSES, TOLERANCE = 12, 3, 20, 1e-10
@@ -131,35 +131,43 @@ def truncated_svd(
         own = entries.where(fits).select(F.col(row).alias("row"), F.col(column).alias("column"), x.alias("value"))
         own = keep(own.where("value != 0"), "entries")
         start = [f"cast(xxhash64(column, {SEED + j}) as double) / {2**63}D as v0_{j}" for j in range(size + spare)]
-        block = own.select("column").distinct().selectExpr("column", *start)
+        block = keep(own.select("column").distinct().selectExpr("column", *start), "block")
         width, found, moved = size + spare, np.zeros(0), float("inf")
-        for _ in range(passes):
+        right = None
+        for at in range(passes):
             names = [_names(f"v{i}_", width) for i in range(depth + 1)]
-            held = keep(block, "block")
-            for last, new in zip(names, names[1:]):
-                met = _times(own, held.select("column", *last), "column", "row", last)
-                images = _times(own, met, "row", "column", last).toDF("column", *new)
-                held = keep(held.join(images, "column"), "images")
-            flat = [n for part in names for n in part]
-            squares, turn = _best(_products(held, flat, flat), width)
-            squares, turn = squares[: size + spare], turn[:, : size + spare]
-            real = squares > max(squares.max(initial=0.0), 0.0) * _RANK
-            squares, turn = squares[real], turn[:, real]
-            now = np.sqrt(squares[:size])
-            moved = float(np.abs(now - found).max(initial=0.0) / now.max(initial=1e-300)) if len(now) == len(found) else float("inf")
-            found = now
-            if moved <= tolerance or not len(now):
+            # A pass leaves the next block alone: its images are deleted when that is written.
+            with scratch(spark):
+                held = block
+                for last, new in zip(names, names[1:]):
+                    met = _times(own, held.select("column", *last), "column", "row", last)
+                    images = _times(own, met, "row", "column", last).toDF("column", *new)
+                    held = keep(held.join(images, "column"), "images")
+                flat = [n for part in names for n in part]
+                squares, turn = _best(_products(held, flat, flat), width)
+                squares, turn = squares[: size + spare], turn[:, : size + spare]
+                real = squares > max(squares.max(initial=0.0), 0.0) * _RANK
+                squares, turn = squares[real], turn[:, real]
+                now = np.sqrt(squares[:size])
+                moved = float(np.abs(now - found).max(initial=0.0) / now.max(initial=1e-300)) if len(now) == len(found) else float("inf")
+                found = now
+                ended = moved <= tolerance or not len(now)
+                if len(found) and (ended or at == passes - 1):
+                    right = keep(_turned(held, "column", flat[: turn.shape[0]], turn[:, : len(found)], "f"), "right", lasting=True)
+                elif not ended:
+                    # Images of the factors found, each by its value shorter: never near to each other.
+                    block = keep(_turned(held, "column", flat[width:], turn / squares, "v0_"), "block", lasting=True)
+                    width = len(squares)
+                del held, images, met
+            release(spark)
+            if ended:
                 break
-            # Images of the factors found, each by its value shorter: never near to each other.
-            block = _turned(held, "column", flat[width:], turn / squares, "v0_")
-            width = len(squares)
         if not len(found):
             none = own.where("false").select("row", "column", F.array().cast("array<double>").alias("factors"))
             return Factors((), *(
                 keep(none.select(F.col(a).alias(b), "factors"), "factors", lasting=True) for a, b in (("row", row), ("column", column))
             ), 0.0)
         names = _names("f", len(found))
-        right = keep(_turned(held, "column", flat[: turn.shape[0]], turn[:, : len(found)], "f"), "right")
         # What rounding left of products between different factors goes here.
         size_of, way = np.linalg.eigh(_symmetric(_products(right, names, names)))
         exact = way / np.sqrt(size_of) @ way.T

@@ -164,3 +164,20 @@ def test_one_item_reads_few_files(spark, tmp_path):
     # The frequent item is spread over several files.
     hot = files.read_item(spark, path, "item", "hot").select(F.input_file_name().alias("f")).distinct().count()
     assert hot > 3
+
+
+def test_a_pass_leaves_no_images(spark, monkeypatch):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from inkwell.session import shared_dir
+
+    folder = Path(urlparse(shared_dir(spark)).path)
+    there = lambda: {p.name for p in folder.glob("images-*")}
+    old, seen, best = there(), [], factors._best
+    monkeypatch.setattr(factors, "_best", lambda *given: seen.append(len(there() - old)) or best(*given))
+    rng = np.random.default_rng(4)
+    entries = [(int(i), int(j), float(rng.normal())) for i in range(30) for j in range(20)]
+    made = spark.createDataFrame(entries, "r int, c int, x double")
+    factors.truncated_svd(made, "r", "c", "x", 2, spare=1, depth=2, passes=3, tolerance=0.0)
+    assert seen == [2, 2, 2] and there() == old
