@@ -172,6 +172,30 @@ def test_linear_model_bears_empty_and_unknown(spark):
     assert [r["margin"] for r in linear.predict(model, other).collect()] == [0.0] * 5
 
 
+def test_linear_blocks_of_any_size_give_the_same_model(spark, monkeypatch):
+    tokenized = random_rows(spark).repartition(3)
+    idf = linear.smoothed_idf(tokenized)
+    found = []
+    for size in (linear.BLOCK, 40, 1):
+        monkeypatch.setattr(linear, "BLOCK", size)
+        rows = linear.weigh_rows(tokenized, idf)
+        model = linear.fit(rows, "class", passes=3, penalty=0.01)
+        margins = sorted((str(r["doc_id"]), str(r["class"]), round(r["margin"], 9)) for r in linear.predict(model, rows).collect())
+        found.append(({r["token"]: round(r["weight"], 9) for r in model.weights.collect()}, margins))
+    assert len(found[0][1]) == 120 and found[0] == found[1] == found[2]
+
+
+def test_linear_pass_moves_weights_and_not_terms(spark):
+    rows = linear.weigh_rows(random_rows(spark), linear.smoothed_idf(random_rows(spark)))
+    blocks = linear._packed(rows.select("_row", "terms"))
+    places = linear._places(blocks)
+    weights = places.select("token").distinct().selectExpr("token", "1.5D as weight")
+    plan = linear._met(blocks, places, linear.keep(weights, "weights"))._jdf.queryExecution().executedPlan().toString()
+    # Weights go to their places, and those of a block to the block; nothing else moves.
+    assert plan.count("Exchange hashpartitioning(token") == 1 and plan.count("Exchange hashpartitioning(block") == 1
+    assert plan.count("Exchange") == 2 and "SortMergeJoin" not in plan
+
+
 # Exact samples
 
 
