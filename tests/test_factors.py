@@ -166,6 +166,20 @@ def test_one_item_reads_few_files(spark, tmp_path):
     assert hot > 3
 
 
+def test_rows_are_laid_out_by_item_in_one_reading(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(2_000).select("id", F.when(F.col("id") % 7 != 0, F.concat(F.lit("s"), F.col("id") % 5)).alias("item"))
+    files.write_by_item(rows.mapInArrow(counted, "id bigint, item string"), str(tmp_path / "items"), "item", "id")
+    assert read.value == 2_000
+    assert spark.read.parquet(str(tmp_path / "items")).count() == 2_000
+
+
 def test_a_pass_leaves_no_images(spark, monkeypatch):
     from pathlib import Path
     from urllib.parse import urlparse
