@@ -6,6 +6,8 @@ keeps its place. A token next to itself counts in both directions, like any othe
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,19 @@ WINDOW = 5
 #: Singular values of mutual information lie close together; more digits of them take many
 #: passes and do not bring like words nearer.
 TOLERANCE = 1e-3
+#: Places of a task's share of the texts; its distinct pairs, up to ``WINDOW`` times as many, are held in memory.
+SHARE = 1 << 21
+
+
+def in_shares(tokenized: DataFrame, share: int = SHARE) -> DataFrame:
+    """The lists of tokens, dealt over so many tasks that each has about ``share`` places.
+
+    A split of a file may hold any number of texts, and what counting pairs takes in memory would grow
+    with it. The lists are kept for that and moved once; they are a tenth of their pairs.
+    """
+    rows = keep(tokenized.select("tokens"), "words")
+    places = rows.agg(F.sum(F.greatest(F.size("tokens"), F.lit(0)))).first()[0] or 0
+    return rows.repartition(max(math.ceil(places / share), rows.rdd.getNumPartitions(), 1))
 
 
 def pair_counts(tokenized: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -50,7 +65,7 @@ def positive_pmi(tokenized: DataFrame, window: int = WINDOW) -> DataFrame:
     The counts of single tokens are a kept table, joined twice; a frequent token is hot on
     the pairs' side alone, where adaptive execution cuts it.
     """
-    pairs = keep(pair_counts(tokenized, window), "pairs")
+    pairs = keep(pair_counts(in_shares(tokenized), window), "pairs")
     single = keep(pairs.groupBy("token").agg(F.sum("n").alias("met")), "single")
     total = single.agg(F.sum("met")).first()[0] or 0
     of_context = single.select(F.col("token").alias("context"), F.col("met").alias("context_met"))

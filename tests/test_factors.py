@@ -180,6 +180,18 @@ def test_rows_are_laid_out_by_item_in_one_reading(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "items")).count() == 2_000
 
 
+def test_pairs_are_counted_in_bounded_shares(spark):
+    texts = [([f"w{(i * j) % 37}" for j in range(50)],) for i in range(100)] + [([],), (None,)]
+    rows = spark.createDataFrame(texts, "tokens array<string>").coalesce(1)
+    dealt = cooccurrence.in_shares(rows, 500)
+    sizes = dealt.rdd.mapPartitions(lambda part: [sum(len(r[0] or []) for r in part)]).collect()
+    assert sum(sizes) == 5_000 and max(sizes) <= 1_000
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+    counts = lambda of: sorted(map(tuple, cooccurrence.pair_counts(of, 3).collect()))
+    assert counts(dealt) == counts(rows)
+    assert cooccurrence.in_shares(rows.where("false")).count() == 0
+
+
 def test_a_pass_leaves_no_images(spark, monkeypatch):
     from pathlib import Path
     from urllib.parse import urlparse
