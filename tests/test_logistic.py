@@ -8,6 +8,7 @@ from inkwell.learning import classifiers as C
 from inkwell.learning import features as L
 from inkwell.learning import linear, logistic
 from inkwell.operators import terms
+from inkwell.sources.files import literal_comments
 
 WORDS = "dragon king falls cover print lovely page ink ends begins".split()
 
@@ -53,7 +54,16 @@ def test_one_class_and_other_labels(spark):
         logistic.fit(rows.withColumn("class", F.lit(2)), "class")
 
 
-@pytest.mark.parametrize("name", ["lr_predictions"])
+def test_comments_are_scored_as_by_mllib(spark, documents):
+    comments = literal_comments(spark, ["Dragon KING falls! Lovely, lovely cover. \nprint", "", "unknown"])
+    fitted, features, _ = mllib(documents)
+    wanted = C.score_comments(features, fitted, comments)
+    model = logistic.fit(terms.with_tokens(documents), "class")
+    found = logistic.score_comments(model, comments)
+    assert found.columns == wanted.columns and sorted(found.collect()) == sorted(wanted.collect())
+
+
+@pytest.mark.parametrize("name", ["lr_predictions", "score_comments"])
 def test_registered_queries_need_no_vocabulary_on_the_driver(spark, monkeypatch, name):
     from inkwell.plans import catalog
 
