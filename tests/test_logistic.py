@@ -1,5 +1,7 @@
 """Logistic regression on token tables against MLlib's."""
 
+import math
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from inkwell.learning import classifiers as C
 from inkwell.learning import features as L
 from inkwell.learning import linear, logistic
 from inkwell.operators import terms
+from inkwell.plans import jobs
 from inkwell.sources.files import literal_comments
 
 WORDS = "dragon king falls cover print lovely page ink ends begins".split()
@@ -54,13 +57,19 @@ def test_one_class_and_other_labels(spark):
         logistic.fit(rows.withColumn("class", F.lit(2)), "class")
 
 
-def test_comments_are_scored_as_by_mllib(spark, documents):
+def test_queries_beyond_the_driver_give_what_mllib_gives(spark, documents, monkeypatch):
     comments = literal_comments(spark, ["Dragon KING falls! Lovely, lovely cover. \nprint", "", "unknown"])
     fitted, features, _ = mllib(documents)
     wanted = C.score_comments(features, fitted, comments)
     model = logistic.fit(terms.with_tokens(documents), "class")
     found = logistic.score_comments(model, comments)
     assert found.columns == wanted.columns and sorted(found.collect()) == sorted(wanted.collect())
+    sentences = documents.select("doc_id", "class", F.col("review").alias("reviews"))
+    before = jobs.compare_sentence_classifier(sentences, "doc_id").first()
+    monkeypatch.setattr(logistic, "DRIVER_TERMS", 0)
+    monkeypatch.setattr(L, "fit_sentence_tfidf", None)
+    after = jobs.compare_sentence_classifier(sentences, "doc_id").first()
+    assert (after.model, after.n) == (before.model, before.n) and math.isclose(after.weighted_f1, before.weighted_f1)
 
 
 @pytest.mark.parametrize("name", ["lr_predictions", "score_comments"])
