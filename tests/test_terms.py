@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from inkwell.functions.numbers import rounded
 from inkwell.operators import terms
 
 
@@ -219,3 +220,31 @@ def test_top_weights_rank_few_entries(spark, monkeypatch):
     assert terms.top_weights(rows, "source", ["doc_id"], 5).count() == 5
     # Before, all 16,000 entries were ranked.
     assert len(ranked) == 2 and max(ranked) < 200
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("weights", [terms.tf_idf])
+def test_many_tokens_are_weighed_without_a_sort(spark, corpus, monkeypatch, weights):
+    order = ["doc_id", "token"]
+    columns = ["doc_id", "token", "tf", "idf", "tf_idf"]
+    expected = weights(corpus).select(columns).orderBy(order).collect()
+    monkeypatch.setattr(terms, "HASHED_TOKENS", 0)
+    found = weights(corpus)
+    assert "ShuffledHashJoin" in plan_of(found) and "SortMergeJoin" not in plan_of(found)
+    assert found.select(columns).orderBy(order).collect() == expected
+
+
+def test_rounded_is_round(spark):
+    ties = spark.range(40000).select(((F.col("id") + 0.5) / 1e6).alias("x"))
+    shares = spark.range(1, 300).select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda k: k / F.col("id"))).alias("x"))
+    odd = spark.createDataFrame([(x,) for x in (None, math.nan, math.inf, -math.inf, -0.0, -1.2345675, 1e-9, 999.9999995, 1e3, 123456789.1234565, 1e300)], "x double")
+    both = ties.union(shares).union(odd).withColumn("found", rounded(F.col("x")))
+    assert both.where(~F.col("found").eqNullSafe(F.round("x", 6))).collect() == []
+
+
+def test_a_bag_takes_one_pass_over_the_tokens(corpus):
+    plan = terms.term_bags(corpus)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction") == 1 and plan.count("sort_array") == 1
