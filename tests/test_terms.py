@@ -226,7 +226,7 @@ def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("weights", [terms.tf_idf])
+@pytest.mark.parametrize("weights", [terms.tf_idf, lambda rows: terms.tf_idf_by_pair(rows, "doc_id")])
 def test_many_tokens_are_weighed_without_a_sort(spark, corpus, monkeypatch, weights):
     order = ["doc_id", "token"]
     columns = ["doc_id", "token", "tf", "idf", "tf_idf"]
@@ -237,6 +237,17 @@ def test_many_tokens_are_weighed_without_a_sort(spark, corpus, monkeypatch, weig
     assert found.select(columns).orderBy(order).collect() == expected
 
 
+def test_joined_weights_of_repeated_and_missing_keys(spark, monkeypatch):
+    rows = [(1, ["a", "b", "a"]), (1, ["a"]), (None, ["a", "c"]), (2, []), (3, None)]
+    frame = spark.createDataFrame(rows, "doc_id int, tokens array<string>")
+    columns = ["doc_id", "token", "tf", "idf"]
+    expected = [(1, "a", 2 / 3, 3)] * 2 + [(1, "a", 1.0, 3)] * 2 + [(1, "b", 1 / 3, 1)]
+    for limit in (terms.HASHED_TOKENS, 0):
+        monkeypatch.setattr(terms, "HASHED_TOKENS", limit)
+        found = sorted(tuple(r) for r in terms.tf_idf_by_pair(frame, "doc_id").select(columns).collect())
+        assert found == sorted((d, t, tf, pytest.approx(math.log(1 / df))) for d, t, tf, df in expected)
+
+
 def test_rounded_is_round(spark):
     ties = spark.range(40000).select(((F.col("id") + 0.5) / 1e6).alias("x"))
     shares = spark.range(1, 300).select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda k: k / F.col("id"))).alias("x"))
