@@ -86,6 +86,29 @@ def test_factors_of_odd_tables(spark):
     assert {r.c: round(r.factors[0], 9) for r in found.columns.collect()} == {"x": 0.6, "y": 0.8}
 
 
+def test_factors_of_many_blocks(spark, monkeypatch):
+    """Blocks of a few entries, a row longer than a block, and shards of a few columns."""
+    for name, number in (("BLOCK", 16), ("LEAST", 8), ("SHARD", 16), ("LEAST_PLACES", 4), ("_CHUNK", 5)):
+        monkeypatch.setattr(factors, name, number)
+    rng = np.random.default_rng(5)
+    dense = rng.normal(size=(25, 90)) * (rng.random((25, 90)) < 0.08)
+    dense[3] = rng.normal(size=90)
+    entries = [(f"r{i}", int(j), float(dense[i, j])) for i, j in zip(*np.nonzero(dense))]
+    made = spark.createDataFrame(entries, "r string, c int, x double")
+    for passes in (1, 20):
+        found = factors.truncated_svd(made, "r", "c", "x", 3, passes=passes)
+        if passes > 1:
+            check_factors(found, dense, [f"r{i}" for i in range(25)], range(90), "r", "c", 3)
+        right = np.array([r.factors for r in found.columns.collect()])
+        np.testing.assert_allclose(right.T @ right, np.eye(3), atol=1e-8)
+
+
+def test_the_start_is_the_hash_that_sql_gives(spark):
+    keys = spark.createDataFrame([("",), ("a",), ("\u00e4 long word",)], "k string")
+    rows = keys.selectExpr("xxhash64(k) as code", *factors._start_of("k", 4)).collect()
+    np.testing.assert_array_equal(factors._start(np.array([r[0] for r in rows]), 4), [r[1:] for r in rows])
+
+
 def test_word_vectors_bring_like_words_together(spark):
     # cat and dog never meet, but have the same neighbours; so have car and bus.
     texts = [[w, "fur", "purr"] for w in ("cat", "dog")] * 20 + [[w, "road", "wheel"] for w in ("car", "bus")] * 20
