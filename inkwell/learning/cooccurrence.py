@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from inkwell.learning import factors
 from inkwell.operators.joins import enrich
-from inkwell.session import keep
+from inkwell.session import keep, release
 
 WINDOW = 5
 #: Singular values of mutual information lie close together; more digits of them take many
@@ -34,12 +34,11 @@ def in_shares(tokenized: DataFrame, share: int = SHARE) -> DataFrame:
     return rows.repartition(max(math.ceil(places / share), rows.rdd.getNumPartitions(), 1))
 
 
-def pair_counts(tokenized: DataFrame, window: int = WINDOW) -> DataFrame:
-    """token, context and n: how often the two stand within ``window`` places, in either order.
+def _met(tokenized: DataFrame, window: int) -> DataFrame:
+    """x, y and n: how often the two stand within ``window`` places. Each unordered pair once, in one of its orders.
 
     Pairs are made in the row that holds the tokens, and counted before they move, so no
-    token's rows come together. Each unordered pair is shuffled once; its two directions are
-    written out after that.
+    token's rows come together.
     """
     last = F.size("tokens")
 
@@ -49,29 +48,42 @@ def pair_counts(tokenized: DataFrame, window: int = WINDOW) -> DataFrame:
         return F.zip_with(behind, ahead, lambda a, b: F.struct(F.least(a, b).alias("x"), F.greatest(a, b).alias("y"), (a.isNotNull() & b.isNotNull()).alias("whole")))
 
     pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window)), at_distance))
-    met = tokenized.select(F.inline(pairs)).where("whole").groupBy("x", "y").agg(F.count("*").alias("n"))
-    ways = F.when(F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("token"), F.col("y").alias("context"), (2 * F.col("n")).alias("n")))).otherwise(
-        F.array(
-            F.struct(F.col("x").alias("token"), F.col("y").alias("context"), F.col("n").alias("n")),
-            F.struct(F.col("y").alias("token"), F.col("x").alias("context"), F.col("n").alias("n")),
-        )
+    return tokenized.select(F.inline(pairs)).where("whole").groupBy("x", "y").agg(
+        # A token next to itself counts in both directions.
+        F.when(F.col("x") == F.col("y"), 2 * F.count("*")).otherwise(F.count("*")).alias("n")
     )
-    return met.select(F.inline(ways))
+
+
+def _both_ways(met: DataFrame, *values: str) -> DataFrame:
+    """token, context and values of both directions of each pair, one for a token next to itself."""
+    way, back = (F.struct(F.col(a).alias("token"), F.col(b).alias("context"), *values) for a, b in (("x", "y"), ("y", "x")))
+    return met.select(F.inline(F.when(F.col("x") == F.col("y"), F.array(way)).otherwise(F.array(way, back))))
+
+
+def pair_counts(tokenized: DataFrame, window: int = WINDOW) -> DataFrame:
+    """token, context and n: how often the two stand within ``window`` places, in either order.
+
+    Each unordered pair is shuffled once; its two directions are written out after that.
+    """
+    return _both_ways(_met(tokenized, window), "n")
 
 
 def positive_pmi(tokenized: DataFrame, window: int = WINDOW) -> DataFrame:
     """token, context, n and pmi = ln(n * total / (n of the token * n of the context)), where that is above 0.
 
     The counts of single tokens are a kept table, joined twice; a frequent token is hot on
-    the pairs' side alone, where adaptive execution cuts it.
+    the pairs' side alone, where adaptive execution cuts it. Both directions of a pair have the same
+    information, so pairs are kept and joined once, and written out both ways at the end.
     """
-    pairs = keep(pair_counts(in_shares(tokenized), window), "pairs")
-    single = keep(pairs.groupBy("token").agg(F.sum("n").alias("met")), "single")
+    met = keep(_met(in_shares(tokenized), window), "pairs")
+    # Pairs are counted; their shuffle files are not needed.
+    release(met.sparkSession)
+    single = keep(_both_ways(met, "n").groupBy("token").agg(F.sum("n").alias("met")), "single")
     total = single.agg(F.sum("met")).first()[0] or 0
-    of_context = single.select(F.col("token").alias("context"), F.col("met").alias("context_met"))
-    joined = enrich(enrich(pairs, single, "token"), of_context, "context")
-    pmi = F.ln(F.col("n") * F.lit(float(total)) / (F.col("met").cast("double") * F.col("context_met")))
-    return joined.select("token", "context", "n", pmi.alias("pmi")).where("pmi > 0")
+    of_x, of_y = (single.select(F.col("token").alias(a), F.col("met").alias(f"{a}_met")) for a in ("x", "y"))
+    joined = enrich(enrich(met, of_x, "x"), of_y, "y")
+    pmi = F.ln(F.col("n") * F.lit(float(total)) / (F.col("x_met").cast("double") * F.col("y_met")))
+    return _both_ways(joined.withColumn("pmi", pmi).where("pmi > 0"), "n", "pmi")
 
 
 def word_vectors(
@@ -81,5 +93,4 @@ def word_vectors(
 
     Passes end when no singular value moves by more than ``tolerance`` of the largest.
     """
-    weights = positive_pmi(tokenized, window).select("token", "context", "pmi")
-    return factors.truncated_svd(weights, "token", "context", "pmi", size, tolerance=tolerance)
+    return factors.truncated_svd(lambda: positive_pmi(tokenized, window).select("token", "context", "pmi"), "token", "context", "pmi", size, tolerance=tolerance)

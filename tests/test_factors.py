@@ -109,6 +109,20 @@ def test_the_start_is_the_hash_that_sql_gives(spark):
     np.testing.assert_array_equal(factors._start(np.array([r[0] for r in rows]), 4), [r[1:] for r in rows])
 
 
+def test_word_vectors_leave_no_pairs(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from inkwell.session import shared_dir
+
+    folder = Path(urlparse(shared_dir(spark)).path)
+    there = lambda: {p.name for n in ("pairs", "single", "words", "entries", "blocks") for p in folder.glob(f"{n}-*")}
+    old = there()
+    texts = spark.createDataFrame([(["a", "b", "c"],), (["a", "c", "c"],)], "tokens array<string>")
+    assert cooccurrence.word_vectors(texts, 1, 2).rows.count()
+    assert there() == old
+
+
 def test_word_vectors_bring_like_words_together(spark):
     # cat and dog never meet, but have the same neighbours; so have car and bus.
     texts = [[w, "fur", "purr"] for w in ("cat", "dog")] * 20 + [[w, "road", "wheel"] for w in ("car", "bus")] * 20
