@@ -81,3 +81,14 @@ def test_registered_queries_need_no_vocabulary_on_the_driver(spark, monkeypatch,
     monkeypatch.setattr(catalog.L, "fit_tfidf", None)
     found = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert sorted(found.drop("p1").collect()) == sorted(wanted)
+
+
+def test_marked_rows_are_grouped_alike(spark):
+    context = spark.sparkContext
+    one = context.parallelize([(i, f"a{i}") for i in range(9)], 3).partitionBy(4)
+    two = context.parallelize([(i % 9, i) for i in range(18)], 2)
+    plain = {k: [a, sorted(b)] for k, (a, b) in logistic._together(4, one, two).collect()}
+    kept = logistic._first(one).persist(logistic.LEVEL)
+    marked = logistic._together(4, kept, two, marked=True)
+    assert {k: [a, sorted(b)] for k, (a, b) in marked.collect()} == plain == {i: [[f"a{i}"], [i, i + 9]] for i in range(9)}
+    kept.unpersist()
